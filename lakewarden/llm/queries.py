@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import langid, packing, piece, toxicity
+from . import embdedup, langid, minhash, packing, piece, topk, toxicity
 from .common import table
 
 
@@ -17,10 +17,22 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_embedding_dedup(spark, sf_dir):
+    return embdedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_minhash(spark, sf_dir):
+    return minhash.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
@@ -31,7 +43,7 @@ def op10_sentencepiece(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_toxicity, op5_packing, op9_language_id, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_toxicity, op2_topk, op5_packing, op6_embedding_dedup, op8_minhash, op9_language_id, op10_sentencepiece)}
 
 
 def oracle_sql():
