@@ -142,3 +142,15 @@ def predict(docs: DataFrame, model: Profiles, text: str = "text", key: str = "do
 
     out = docs.select(key, F.col(text).cast("string").alias("text")).mapInArrow(run, f"{key} {kind}, lang_pred string, score double")
     return out.select(key, held_out(key).alias("held_out"), "lang_pred", "score")
+
+
+def keep_known(docs: DataFrame, model: Profiles, text: str = "text", least: float = 0.51) -> DataFrame:
+    """The rows of docs, all columns, whose language is told: not `und`, and with a score of at least `least`."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            found = [model.judge(x.as_py()) for x in batch.column(at)]
+            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

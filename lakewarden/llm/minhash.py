@@ -227,3 +227,15 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     alone = signed.where("doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, all columns, of the document with the smallest id of each component; all rows with a null id.
+
+    Of rows of equal id one stays, the one of the greatest text.
+    """
+    gone = link_documents(docs, percent, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("own_gone"))
+    left = docs.where(F.col(key).isNotNull()).join(gone, F.col(key).cast("long") == F.col("own_gone"), "left_anti")
+    order = Window.partitionBy(key).orderBy(F.desc(text))
+    one = left.withColumn("own_place", F.row_number().over(order)).where("own_place = 1").drop("own_place")
+    return one.union(docs.where(F.col(key).isNull()))

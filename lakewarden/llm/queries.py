@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embdedup, langid, minhash, packing, piece, topk, toxicity
+from . import embdedup, langid, minhash, packing, pii, piece, quality, topk, toxicity, urlfilter
 from .common import table
 
 
@@ -21,6 +21,15 @@ def op2_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op3_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs))
+
+
+def op4_url_filter(spark, sf_dir):
+    return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -29,6 +38,10 @@ def op6_embedding_dedup(spark, sf_dir):
     return embdedup.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op7_pii(spark, sf_dir):
+    return pii.find_entities(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark, sf_dir):
     return minhash.link_documents(table(spark, sf_dir, "documents"))
 
@@ -43,8 +56,38 @@ def op10_sentencepiece(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_toxicity, op2_topk, op5_packing, op6_embedding_dedup, op8_minhash, op9_language_id, op10_sentencepiece)}
+    found = (op1_toxicity, op2_topk, op3_quality, op4_url_filter, op5_packing, op6_embedding_dedup, op7_pii, op8_minhash, op9_language_id, op10_sentencepiece)
+    return {f.__name__: f for f in found}
+
+
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+OP6_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.93),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(c.m, e.vec_id)) AS component_id, e.vec_id = least(e.vec_id, coalesce(c.m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id"""
+
+OP8_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS sh FROM w),
+x AS (SELECT doc_id, unnest(sh) AS h FROM s), sz AS (SELECT doc_id, len(sh) AS n FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT p.a, p.b FROM p JOIN sz u ON u.doc_id = p.a JOIN sz v ON v.doc_id = p.b WHERE 100 * k >= 85 * (u.n + v.n - k)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT sz.doc_id, sz.n AS n_shingles, least(sz.doc_id, coalesce(c.m, sz.doc_id)) AS component_id, sz.doc_id = least(sz.doc_id, coalesce(c.m, sz.doc_id)) AS kept FROM sz LEFT JOIN c ON c.a = sz.doc_id"""
 
 
 def oracle_sql():
-    return {}
+    return {"op2_topk": OP2_SQL, "op4_url_filter": urlfilter.oracle(), "op6_embedding_dedup": OP6_SQL, "op8_minhash": OP8_SQL}

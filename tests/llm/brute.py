@@ -47,3 +47,25 @@ def near_duplicates(rows, percent=85):
     links = [p for p, n in shared.items() if 100 * n >= percent * (len(sets[p[0]]) + len(sets[p[1]]) - n)]
     found = components(sets, links)
     return {i: (len(s), found[i]) for i, s in sets.items()}
+
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    return sum(d if k % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for k, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+
+def entities(text):
+    """{kind: [(start, end)]} of the base kinds."""
+    text = text or ""
+    only = lambda m: re.sub("[^0-9]", "", m.group())
+    return {
+        "email": [m.span() for m in EMAIL.finditer(text)],
+        "ip": [m.span() for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))],
+        "card": [m.span() for m in CARD.finditer(text) if 16 <= len(only(m)) <= 19 and luhn(only(m))],
+        "phone": [m.span() for m in PHONE.finditer(text) if 8 <= len(only(m)) <= 15],
+    }
