@@ -60,7 +60,7 @@ def bytes_text(n: Column) -> Column:
     """Bytes with binary units, one decimal from KiB on."""
     out = F.concat(n.cast("string"), F.lit(" B"))
     for k, unit in enumerate("KMGTPE", 1):
-        out = F.when(n >= 1024**k, F.concat(F.format_number(n / float(1024**k), "0.0"), F.lit(f" {unit}iB"))).otherwise(out)
+        out = F.when(n >= 1024**k, F.concat(F.format_string("%.1f", n / float(1024**k)), F.lit(f" {unit}iB"))).otherwise(out)
     return out
 
 

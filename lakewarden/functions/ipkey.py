@@ -7,6 +7,7 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 V4 = rf"^{OCTET}(?:\.{OCTET}){{3}}$"
@@ -19,7 +20,7 @@ def v4_key(text: Column) -> Column:
     return F.when(text.rlike(V4), F.unhex(F.concat(F.lit(V4_PREFIX), hexes)))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def v6_key(text: pd.Series) -> pd.Series:
     def key(x):
         try:

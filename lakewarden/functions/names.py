@@ -9,6 +9,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 OTHER = "_other"
 #: Fixed value: suffixes that are always cut into buckets.
@@ -132,24 +133,31 @@ class SuffixRules:
 
 @lru_cache(maxsize=1)
 def suffix_rules() -> SuffixRules:
-    """Rules of the list that ships inside PySpark, so that driver and executors read the same one."""
+    """Rules of the list that ships inside PySpark, read on the driver, which sends them along: some 10,000 rules."""
     import pyspark
 
-    jar = next(Path(pyspark.__file__).parent.glob("jars/httpclient-*.jar"))
+    jar = next(Path(pyspark.__file__).parent.glob("jars/httpclient-*.jar"), None)
+    if jar is None:
+        raise FileNotFoundError("no public-suffix list beside PySpark's jars; pass rules of your own")
     with zipfile.ZipFile(jar) as z:
         return SuffixRules(z.read("mozilla/public-suffix-list.txt").decode())
 
 
-@F.pandas_udf("string")
-def public_suffix(name: pd.Series) -> pd.Series:
-    rules = suffix_rules()
-    return name.map(lambda x: None if x is None else rules.suffix(x))
+def _by_rules(name: Column, rules: SuffixRules | None, part: str) -> Column:
+    own = rules or suffix_rules()
 
+    def find(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else getattr(own, part)(x))
 
-@F.pandas_udf("string")
-def registrable_or_null(name: pd.Series) -> pd.Series:
-    rules = suffix_rules()
-    return name.map(lambda x: None if x is None else rules.registrable(x))
+    return F.pandas_udf(find, T.StringType())(name)
+
+
+def public_suffix(name: Column, rules: SuffixRules | None = None) -> Column:
+    return _by_rules(name, rules, "suffix")
+
+
+def registrable_or_null(name: Column, rules: SuffixRules | None = None) -> Column:
+    return _by_rules(name, rules, "registrable")
 
 
 def registrable_domain(c: Column) -> Column:

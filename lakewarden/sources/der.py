@@ -10,12 +10,19 @@ from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Object identifiers in DER.
 NAMES = {bytes.fromhex("550403"): "common_name", bytes.fromhex("55040a"): "organization", bytes.fromhex("550408"): "state", bytes.fromhex("550406"): "country"}
 ALT_NAMES = bytes.fromhex("551d11")
 
-SCHEMA = "serial_number string, common_name string, organization string, state string, country string, not_before string, not_after string, san_domains array<string>, san_ips array<string>, issuer_name binary, subject_name binary, ok boolean"
+TEXTS = ("serial_number", "common_name", "organization", "state", "country", "not_before", "not_after")
+SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in TEXTS]
+    + [T.StructField(c, T.ArrayType(T.StringType())) for c in ("san_domains", "san_ips")]
+    + [T.StructField(c, T.BinaryType()) for c in ("issuer_name", "subject_name")]
+    + [T.StructField("ok", T.BooleanType())]
+)
 
 
 def read(data: bytes, at: int = 0) -> tuple[int, bytes, int]:
@@ -62,7 +69,7 @@ def _name(value: bytes) -> dict[str, str]:
 
 def parse(der: bytes) -> dict:
     """Metadata of a certificate or of a bare TBSCertificate."""
-    out: dict = dict.fromkeys(("serial_number", "common_name", "organization", "state", "country", "not_before", "not_after", "issuer_name", "subject_name"))
+    out: dict = dict.fromkeys((*TEXTS, "issuer_name", "subject_name"))
     out |= {"san_domains": [], "san_ips": [], "ok": False}
     try:
         parts = list(children(read(der)[1]))
@@ -94,5 +101,4 @@ def parse(der: bytes) -> dict:
 @F.pandas_udf(SCHEMA)
 def certificate(der: pd.Series) -> pd.DataFrame:
     """struct of metadata of each DER value; ok is false where validity or subject can't be read."""
-    columns = [c.split()[0] for c in SCHEMA.split(", ")]
-    return pd.DataFrame([parse(bytes(x)) if x is not None else parse(b"") for x in der], columns=columns)
+    return pd.DataFrame([parse(bytes(x)) if x is not None else parse(b"") for x in der], columns=SCHEMA.names)
