@@ -66,7 +66,7 @@ def _digits(m: Column) -> Column:
 
 def _base(text: Column) -> dict[str, Column]:
     none = F.array().cast("array<struct<s: int, e: int, m: string>>")
-    small = lambda p: (F.length(F.regexp_replace(p, "^0+", "")) <= 3) & (F.coalesce(F.substring(F.regexp_replace(p, "^0+", ""), 1, 3).cast("int"), F.lit(0)) <= 255)
+    small = lambda p: p.rlike("^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$")
     return {
         "email": F.when(F.contains(text, F.lit("@")), _located(text, EMAIL)).otherwise(none),
         "ip": F.filter(_located(text, IP), lambda x: F.forall(F.split(x["m"], r"\."), small)),
