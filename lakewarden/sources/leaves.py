@@ -109,7 +109,7 @@ def read_tiles(spark: SparkSession, path: str, first: int | None = None, last: i
     """Leaves of captured data tiles below a folder `.../tile/data/`, with their index; first and last cut the range, both included."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     digits = F.regexp_replace(F.regexp_extract("path", r"((?:x\d{3}/)*\d{3})(?:\.p/\d+)?$", 1), r"\D", "")
-    files = files.withColumn("tile", digits.cast("long")).where("tile is not null")
+    files = files.withColumn("tile", digits.try_cast("long")).where("tile is not null")
     if first is not None:
         files = files.where(F.col("tile") >= first // TILE)
     if last is not None:
@@ -148,7 +148,7 @@ def parse_leaves(pages: DataFrame) -> DataFrame:
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """(index, leaf_input, extra_data) of captured get-entries pages, JSON files named by their first index."""
     schema = "entries array<struct<leaf_input: string, extra_data: string>>"
-    pages = spark.read.schema(schema).option("wholetext", "true").option("multiLine", "true").json(path).withColumn("start", F.regexp_extract(F.input_file_name(), r"(\d+)[^/]*$", 1).cast("long"))
+    pages = spark.read.schema(schema).option("wholetext", "true").option("multiLine", "true").json(path).withColumn("start", F.regexp_extract(F.input_file_name(), r"(\d+)[^/]*$", 1).try_cast("long"))
     rows = pages.select("start", F.posexplode("entries").alias("pos", "e"))
     return rows.select((F.col("start") + F.col("pos")).alias("index"), F.unbase64("e.leaf_input").alias("leaf_input"), F.unbase64("e.extra_data").alias("extra_data"))
 

@@ -60,6 +60,8 @@ def test_tiles(spark, tmp_path):
     assert [x["entry_type"] for x in got] == ["x509", "precert"] and got[0]["chain_fingerprints"] == [prints[:32]] and got[1]["precertificate"] == b"pre"
     assert len(list(leaves.tile_leaves(data, 1))) == 1 and len(list(leaves.tile_leaves(data[:-1]))) == 1 and list(leaves.tile_leaves(b"")) == []
     assert leaves.leaf_input(got[1]["leaf_input"])["issuer_key_hash"] == b"k" * 32
+    (tmp_path / "tile").mkdir()
+    (tmp_path / "tile/checkpoint").write_text("x")
     for path in ("tile/data/000", "tile/data/x001/234"):
         (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / path).write_bytes(data)
