@@ -12,7 +12,8 @@ that the result holds. Whether a pair becomes a candidate is a matter of chance:
 the threshold is missed in all trees with a probability of about 1e-6 if its regions are sparse.
 
 Defined results: documents without words have an empty set and link with nothing; fewer words than a shingle make one
-shingle of the whole sequence. Rows of equal doc_id are one document with the set of any of them. A null doc_id links
+shingle of the whole sequence. Rows of equal doc_id are one document, whose
+links are those of any of its rows. A null doc_id links
 with nothing. Other columns are never read, whole texts are, and an empty table gives an empty result.
 """
 
@@ -33,6 +34,8 @@ DEPTHS, REGION = (2, 4, 8), 48
 FIRST = 3
 #: A pair is confirmed if its signatures agree in at least the threshold less this share of places.
 SLACK = 0.22
+#: Size of the filter of candidate ids, and hashes of an id.
+FILTER_BITS, FILTER_HASHES = 1 << 24, 2
 #: Bytes of text hashed at a time.
 CHUNK = 400_000
 
@@ -128,10 +131,37 @@ def _sign(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (size, one, two)), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "k1", "k2", "sig"])
 
 
-def _sets(batches):
-    for batch in batches:
-        rows = [s.astype(np.int64) for s in sets_of(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of FILTER_BITS bits over a column `id`: its words are or-ed by Spark, so it never grows."""
+    places = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES))))
+    bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
+    words = ids.select(places.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
+    out = np.zeros(FILTER_BITS // 64, U)
+    for w, b in words.toLocalIterator():
+        out[w] = U(b & 0xFFFFFFFFFFFFFFFF)
+    return out
+
+
+def full_sets(docs: DataFrame, need: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, shingles) of the documents whose id is in need, and of a few more that the filter lets through.
+
+    The filter has a fixed size and goes to the tasks that read the documents, so no text is shuffled.
+    """
+    filter_words = id_filter(need)
+
+    def run(batches):
+        for batch in batches:
+            there = np.ones(batch.num_rows, bool)
+            for k in range(FILTER_HASHES):
+                p = batch.column(2 + k).to_numpy(zero_copy_only=False).astype(U)
+                there &= (filter_words[p >> U(6)] >> (p & U(63)) & U(1)).astype(bool)
+            batch = batch.filter(pa.array(there))
+            rows = [s.astype(np.int64) for s in sets_of(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    places = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)).alias(f"p{k}") for k in range(FILTER_HASHES)]
+    return materialize(texts.select("id", "text", *places).mapInArrow(run, "id long, shingles array<long>"))
 
 
 def _alike(batches):
@@ -199,12 +229,11 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
     best = Window.partitionBy("a").orderBy(F.desc("alike"), "b")
     first = materialize(chains.withColumn("k", F.row_number().over(best)).where(F.col("k") <= FIRST).select("a", "b"))
 
-    def full_sets(pairs: DataFrame) -> DataFrame:
-        need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-        return materialize(texts.join(need, "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>").dropDuplicates(["id"]))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        sets = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), key, text)
+        return materialize(near_pairs(pairs, sets, percent).distinct())
 
-    links = materialize(near_pairs(first, full_sets(first), percent))
+    links = confirmed(first)
     groups = materialize(connected_components(links))
 
     def component(rows: DataFrame, by: str, name: str) -> DataFrame:
@@ -218,7 +247,7 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
     two = placed.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
     met = one.join(two, "region").where("a > b and ca <> cb").where(fits).select("a", "b").distinct()
     second = materialize(with_likeness(met).select("a", "b").union(rest).distinct().join(first, ["a", "b"], "left_anti"))
-    late = materialize(near_pairs(second, full_sets(second), percent))
+    late = confirmed(second)
     final = connected_components(links.union(late).union(groups.where("node <> component").toDF("a", "b"))) if late.take(1) else groups
 
     member = signed.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n_shingles", "k1", "k2")).alias("s")).select("doc_id", "s.*")
