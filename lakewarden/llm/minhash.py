@@ -29,11 +29,15 @@ from .common import connected_components, materialize
 SHINGLE = 5
 TREES, DEPTH = 12, 8
 #: Prefix lengths a region may have, and the documents above which it is cut at the next.
-DEPTHS, REGION = (2, 4, 8), 48
+DEPTHS, REGION = (2, 4, 8), 4096
 #: Candidates of a document that are confirmed in the first round.
 FIRST = 3
-#: A pair is confirmed if its signatures agree in at least the threshold less this share of places.
-SLACK = 0.22
+#: More hash functions, kept as one byte each, by which only likeness is judged.
+EXTRA = 416
+#: A pair is confirmed if its signatures agree in at least the threshold less this share of places, 5 standard errors.
+SLACK = 0.08
+#: Documents of a region that are compared at a time.
+BLOCK = 2048
 #: Size of the filter of candidate ids, and hashes of an id.
 FILTER_BITS, FILTER_HASHES = 1 << 24, 2
 #: Bytes of text hashed at a time.
@@ -42,8 +46,8 @@ CHUNK = 400_000
 U = np.uint64
 _rng = np.random.default_rng(20240501)
 BASE = U(0x9E3779B97F4A7C15 | 1)
-MULTIPLY = _rng.integers(0, 2**64, TREES * DEPTH, dtype=U) | U(1)
-TWIST = _rng.integers(0, 2**64, TREES * DEPTH, dtype=U)
+MULTIPLY = _rng.integers(0, 2**64, TREES * DEPTH + EXTRA, dtype=U) | U(1)
+TWIST = _rng.integers(0, 2**64, TREES * DEPTH + EXTRA, dtype=U)
 PLACE = _rng.integers(0, 2**64, SHINGLE, dtype=U) | U(1)
 LOWER = np.arange(256, dtype=U)
 LOWER[65:91] += U(32)
@@ -112,11 +116,23 @@ def sets_of(texts: pa.Array):
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """16 bits of the least value under each hash function."""
-    least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, U)
-    for i in range(0, len(shingles), 512):
-        least = np.minimum(least, ((shingles[i : i + 512, None] ^ TWIST) * MULTIPLY).min(axis=0))
-    return (mix(least) >> U(48)).astype(">u2").tobytes()
+    """Of the least value under each hash function 16 bits for the trees, 8 for the rest."""
+    least = np.full(TREES * DEPTH + EXTRA, np.iinfo(np.uint64).max, U)
+    for i in range(0, len(shingles), 256):
+        least = np.minimum(least, ((shingles[i : i + 256, None] ^ TWIST) * MULTIPLY).min(axis=0))
+    least = mix(least)
+    return (least[: TREES * DEPTH] >> U(48)).astype(">u2").tobytes() + (least[TREES * DEPTH :] >> U(56)).astype(np.uint8).tobytes()
+
+
+def places(signatures_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures as arrays of their 16-bit and of their 8-bit places."""
+    data = np.frombuffer(b"".join(signatures_), np.uint8).reshape(len(signatures_), -1)
+    return np.ascontiguousarray(data[:, : 2 * TREES * DEPTH]).view(np.uint16), data[:, 2 * TREES * DEPTH :]
+
+
+def likeness(a: tuple, b: tuple) -> np.ndarray:
+    """Share of places in which signatures agree, one against many or row by row."""
+    return ((a[0] == b[0]).sum(axis=-1) + (a[1] == b[1]).sum(axis=-1)) / (TREES * DEPTH + EXTRA)
 
 
 def _sign(batches):
@@ -133,9 +149,9 @@ def _sign(batches):
 
 def id_filter(ids: DataFrame) -> np.ndarray:
     """A Bloom filter of FILTER_BITS bits over a column `id`: its words are or-ed by Spark, so it never grows."""
-    places = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES))))
+    spots = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES))))
     bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
-    words = ids.select(places.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
+    words = ids.select(spots.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
     out = np.zeros(FILTER_BITS // 64, U)
     for w, b in words.toLocalIterator():
         out[w] = U(b & 0xFFFFFFFFFFFFFFFF)
@@ -160,17 +176,61 @@ def full_sets(docs: DataFrame, need: DataFrame, key: str, text: str) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
 
     texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    places = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)).alias(f"p{k}") for k in range(FILTER_HASHES)]
-    return materialize(texts.select("id", "text", *places).mapInArrow(run, "id long, shingles array<long>"))
+    spots = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)).alias(f"p{k}") for k in range(FILTER_HASHES)]
+    return materialize(texts.select("id", "text", *spots).mapInArrow(run, "id long, shingles array<long>"))
 
 
 def _alike(batches):
-    """Share of places in which the signatures of a pair agree."""
+    """Likeness of the signatures of each pair."""
     for batch in batches:
-        n = batch.num_rows
-        if n:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(n, -1) for c in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a == b).mean(axis=1), pa.float64())], ["a", "b", "alike"])
+        if batch.num_rows:
+            a, b = (places(batch.column(c).to_pylist()) for c in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(likeness(a, b), pa.float64())], ["a", "b", "alike"])
+
+
+def cross_pairs(rows: list[tuple], tree: int, deepest: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs (a, b) of different components, a > b, that may be near: rows are (left, right, id, n, component, sig).
+
+    Rows of the left are compared with those of the right; in a block that meets itself every row is both. A pair that
+    shares a prefix of the deepest region's length in an earlier tree is left to that tree, where it surely meets.
+    """
+    left, right, ids, n, c = (np.array([r[k] for r in rows]) for k in range(5))
+    sigs = places([r[5] for r in rows])
+    prefix = sigs[0].reshape(len(rows), TREES, DEPTH)[:, :tree, :deepest]
+    out = []
+    for x in np.flatnonzero(left):
+        near = right & (c != c[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+        near &= ~left | (ids < ids[x])
+        at = np.flatnonzero(near)
+        if tree and len(at):
+            at = at[~(prefix[at] == prefix[x]).all(axis=2).any(axis=1)]
+        if len(at):
+            at = at[likeness((sigs[0][at], sigs[1][at]), (sigs[0][x], sigs[1][x])) >= percent / 100 - SLACK]
+            out += [(max(ids[x], y), min(ids[x], y)) for y in ids[at]]
+    return out
+
+
+def _cross(deepest: int, percent: int):
+    """Compare the rows of each run of equal keys; rows come sorted by key, and a run is at most two blocks."""
+
+    def run(batches):
+        key, rows = None, []
+
+        def flush():
+            found = cross_pairs(rows, key[3], deepest, percent) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for region, i, j, tree, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key is None or (region, i, j) != key[:3]:
+                    if rows:
+                        yield flush()
+                    key, rows = (region, i, j, tree), []
+                rows.append(row)
+        if rows:
+            yield flush()
+
+    return run
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,8 +238,11 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_sign, "doc_id long, n_shingles long, k1 long, k2 long, sig binary")
 
 
-def forest_regions(reps: DataFrame) -> DataFrame:
-    """(region, key, id, n): the region of each tree that a set falls in; regions of one are left out."""
+def forest_regions(reps: DataFrame) -> tuple[DataFrame, int]:
+    """(region, key, id, n, size, tree): the region of each tree that a set falls in, and the depth of the deepest.
+
+    Regions of one are left out.
+    """
     rows = reps.select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
     rows = rows.select("id", "n", "tree", F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("key"))
     out = None
@@ -189,10 +252,11 @@ def forest_regions(reps: DataFrame) -> DataFrame:
         rows = materialize(rows.join(size, "region"))
         last = depth == DEPTHS[-1]
         leaf = rows if last else rows.where(F.col("size") <= REGION)
-        leaf = leaf.select("region", "key", "id", "n", "size")
+        leaf = leaf.select("region", "key", "id", "n", "size", "tree")
         out = leaf if out is None else out.union(leaf)
         rows = rows.where(F.col("size") > REGION).select("id", "n", "tree", "key")
-    return out
+        if last or not rows.take(1):
+            return out, depth
 
 
 def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -213,7 +277,8 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
     reps = materialize(copies.select(F.col("id"), F.col("n_shingles").alias("n"), "k1", "k2"))
     own = signed.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "k1", "k2", "sig")
     reps = materialize(reps.join(own, ["id", "n", "k1", "k2"]).groupBy("id", "n").agg(F.first("sig").alias("sig")))
-    regions = materialize(forest_regions(reps))
+    regions, deepest = forest_regions(reps)
+    regions = materialize(regions)
 
     fits = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     order = Window.partitionBy("region").orderBy("key", "id")
@@ -240,13 +305,17 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
         return rows.join(groups.select(F.col("node").alias(by), F.col("component").alias(name)), by, "left").withColumn(name, F.coalesce(name, by))
 
     rest = component(component(chains.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    placed = component(regions.select("region", "id", "n"), "id", "c")
+    placed = component(regions.select("region", "tree", "id", "n", "size"), "id", "c")
     apart = placed.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("region")
-    placed = materialize(placed.join(apart, "region"))
-    one = placed.select("region", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    two = placed.select("region", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    met = one.join(two, "region").where("a > b and ca <> cb").where(fits).select("a", "b").distinct()
-    second = materialize(with_likeness(met).select("a", "b").union(rest).distinct().join(first, ["a", "b"], "left_anti"))
+    placed = placed.join(apart, "region").join(sigs, "id").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    placed = placed.withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    sides = F.expr("""concat(
+        transform(sequence(k, blocks - 1), j -> struct(k as i, j as j, true as l, j = k as r)),
+        transform(filter(sequence(0, k), i -> i < k), i -> struct(i as i, k as j, false as l, true as r)))""")
+    sided = placed.withColumn("s", F.explode(sides)).select("region", "s.i", "s.j", "tree", "s.l", "s.r", "id", "n", "c", "sig")
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    met = sided.repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_cross(deepest, percent), "a long, b long").distinct()
+    second = materialize(met.union(rest).distinct().join(first, ["a", "b"], "left_anti"))
     late = confirmed(second)
     final = connected_components(links.union(late).union(groups.where("node <> component").toDF("a", "b"))) if late.take(1) else groups
 
