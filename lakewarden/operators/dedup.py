@@ -45,17 +45,16 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
 def upsert_ids(known: DataFrame, incoming: DataFrame, key: str = "fingerprint", id_column: str = "ca_id") -> DataFrame:
     """known, and the new keys of incoming with ids that follow the greatest known one in order of key.
 
-    Ids never change once given. New keys are numbered by ranges of keys, so no task sees them all: each range counts
-    its keys, and only the counts, one a range, meet to give every range its offset.
+    Ids never change once given. Keys are hashes in hex, so their first three characters cut them into even buckets of
+    the same order; each bucket is numbered by itself and only the buckets' counts, at most 4096, meet in one task.
     """
     fresh = incoming.where(F.col(key).isNotNull()).join(known.select(key), key, "left_anti").dropDuplicates([key])
-    ordered = fresh.repartitionByRange(key).sortWithinPartitions(key).withColumn("own_part", F.spark_partition_id())
-    within = Window.partitionBy("own_part").orderBy(key)
-    numbered = ordered.withColumn("own_at", F.row_number().over(within))
-    sizes = numbered.groupBy("own_part").agg(F.count("*").alias("n"))
+    cut = fresh.withColumn("own_part", F.substring(key, 1, 3))
+    numbered = cut.withColumn("own_at", F.row_number().over(Window.partitionBy("own_part").orderBy(key)))
+    sizes = cut.groupBy("own_part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("own_before", F.coalesce(F.sum("n").over(Window.orderBy("own_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     last = known.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("own_last"))
-    out = numbered.join(F.broadcast(before), "own_part").join(F.broadcast(last))
+    out = numbered.join(before, "own_part").join(F.broadcast(last))  # one row
     out = out.withColumn(id_column, (F.col("own_last") + F.col("own_before") + F.col("own_at")).cast("long"))
     return known.unionByName(out.select(*known.columns))
 

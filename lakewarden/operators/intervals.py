@@ -1,7 +1,8 @@
 """Runs and half-open index ranges: day runs, merged coverage, gaps.
 
-A running maximum over all ranges would be one task's work. Ranges are therefore cut into ranges of starts, each task
-merges its own, and only what spans the cuts is carried: the greatest end before each cut, one number a task.
+A running maximum over all ranges would be one task's work. Ranges are therefore cut into buckets of starts, each task
+merges its own, and only what spans the cuts is carried: the greatest end before each bucket, one number a bucket. A
+bucket is a function of the start alone, so a recomputed task finds the same one.
 """
 
 from __future__ import annotations
@@ -9,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Index positions of a bucket; after ranges of equal start are merged a bucket has at most so many rows.
+BUCKET = 1 << 16
+
 
 def _carried(rows: DataFrame, by: list[str], start: str, value: str) -> DataFrame:
     """rows with `before`: the greatest `value` of all earlier rows of the same group in order of `start`, null if none."""
-    ranged = rows.repartitionByRange(*by, start).withColumn("own_part", F.spark_partition_id())
-    here = Window.partitionBy("own_part", *by).orderBy(start, value).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ranged.groupBy("own_part", *by).agg(F.max(value).alias("own_max"))
-    earlier = Window.partitionBy(*by).orderBy("own_part").rowsBetween(Window.unboundedPreceding, -1)
+    cut = rows.withColumn("own_bucket", F.floor(F.col(start) / BUCKET))
+    here = Window.partitionBy("own_bucket", *by).orderBy(start, value).rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut.groupBy("own_bucket", *by).agg(F.max(value).alias("own_max"))
+    earlier = Window.partitionBy(*by).orderBy("own_bucket").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.withColumn("own_carry", F.max("own_max").over(earlier)).drop("own_max")
-    out = ranged.join(ends, ["own_part", *by])
-    return out.withColumn("before", F.greatest(F.max(value).over(here), "own_carry")).drop("own_carry")
+    out = cut.join(ends, ["own_bucket", *by])
+    return out.withColumn("before", F.greatest(F.max(value).over(here), "own_carry")).drop("own_carry", "own_bucket")
 
 
 def merge_ranges(ranges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -54,7 +54,8 @@ def naive_merge(ranges):
     return [tuple(x) for x in out]
 
 
-def test_merge_ranges_like_a_set(spark):
+def test_merge_ranges_like_a_set(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "BUCKET", 50)
     rnd = random.Random(5)
     for n in (0, 1, 60):
         ranges = [(s := rnd.randrange(400), s + rnd.randrange(0, 9)) for _ in range(n)]
@@ -64,6 +65,7 @@ def test_merge_ranges_like_a_set(spark):
 
 
 def test_coverage_and_gaps(spark):
+
     def summary(ranges, size):
         m = intervals.merge_ranges(spark.createDataFrame(ranges, "start long, end long"))
         c = intervals.coverage(m, size).first()
