@@ -144,8 +144,11 @@ def predict(docs: DataFrame, model: Profiles, text: str = "text", key: str = "do
     return out.select(key, held_out(key).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, model: Profiles, text: str = "text", least: float = 0.51) -> DataFrame:
-    """The rows of docs, all columns, whose language is told: not `und`, and with a score of at least `least`."""
+def keep_known(docs: DataFrame, model: Profiles, text: str = "text", least: float = 0.502) -> DataFrame:
+    """The rows of docs, all columns, whose language is told: not `und`, and with a score of at least `least`.
+
+    Below that two profiles are equally near: a text half in one language and half in another.
+    """
     at = docs.columns.index(text)
 
     def run(batches):
