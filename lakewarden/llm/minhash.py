@@ -151,7 +151,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     """A Bloom filter of FILTER_BITS bits over a column `id`: its words are or-ed by Spark, so it never grows."""
     spots = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES))))
     bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
-    words = ids.select(spots.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
+    words = ids.distinct().select(spots.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
     out = np.zeros(FILTER_BITS // 64, U)
     for w, b in words.toLocalIterator():
         out[w] = U(b & 0xFFFFFFFFFFFFFFFF)
