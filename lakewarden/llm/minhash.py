@@ -34,8 +34,8 @@ DEPTHS, REGION = (2, 4, 8), 4096
 FIRST = 3
 #: More hash functions, kept as one byte each, by which only likeness is judged.
 EXTRA = 416
-#: A pair is confirmed if its signatures agree in at least the threshold less this share of places, 5 standard errors.
-SLACK = 0.08
+#: A pair is confirmed if its signatures agree in at least the threshold less this share of places, some 4 standard errors.
+SLACK = 0.07
 #: Documents of a region that are compared at a time.
 BLOCK = 2048
 #: Size of the filter of candidate ids, and hashes of an id.
@@ -295,7 +295,8 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
     first = materialize(chains.withColumn("k", F.row_number().over(best)).where(F.col("k") <= FIRST).select("a", "b"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        sets = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), key, text)
+        ends = pairs.select(F.col("a").alias("id")).distinct().union(pairs.select(F.col("b").alias("id")).distinct())
+        sets = full_sets(docs, ends, key, text)
         return materialize(near_pairs(pairs, sets, percent).distinct())
 
     links = confirmed(first)
