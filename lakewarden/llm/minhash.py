@@ -1,15 +1,16 @@
 """Operator 8: near-duplicate documents by an LSH forest over MinHash signatures.
 
 A document's set holds its distinct five-word shingles. Documents of equal sets count as one. Each tree of the forest
-orders the signatures by its own hash functions. Documents that share a prefix of a tree's key form a region; a region
-with too many documents is cut at a deeper prefix, so the depth follows the density. In a region the neighbours in
-sorted order, which share the longest prefixes, are candidates.
+orders the signatures by its own hash functions. Documents that share a prefix of a tree's key form a region. To find
+neighbours, a region with too many documents is cut at a deeper prefix, so the depth follows the density; in what is
+left the neighbours in sorted order, which share the longest prefixes, are the first candidates.
 
 Candidates are confirmed on full sets in two rounds. The first checks each document against the candidates whose
-signatures are most like its own, which joins most groups. The second checks every candidate and every pair of a
-region that the first left in different components; pairs inside one component need no check, for a component is all
-that the result holds. Whether a pair becomes a candidate is a matter of chance: with the parameters here a pair at
-the threshold is missed in all trees with a probability of about 1e-6 if its regions are sparse.
+signatures are most like its own, which joins most groups. The second checks every candidate and every pair of an
+uncut region, whatever its size, that the first left in different components; pairs inside one component need no
+check, for a component is all that the result holds, and blocks of one component never meet. Whether a pair becomes a
+candidate is a matter of chance: with the parameters here a pair at the threshold of 0.85 is missed in all trees with
+a probability of about 2e-7.
 
 Defined results: documents without words have an empty set and link with nothing; fewer words than a shingle make one
 shingle of the whole sequence. Rows of equal doc_id are one document, whose
@@ -28,7 +29,7 @@ from .common import connected_components, materialize
 
 SHINGLE = 5
 TREES, DEPTH = 12, 8
-#: Prefix lengths a region may have, and the documents above which it is cut at the next.
+#: Prefix lengths; regions have the first. Above so many documents neighbours are looked for at the next.
 DEPTHS, REGION = (2, 4, 8), 4096
 #: Candidates of a document that are confirmed in the first round.
 FIRST = 3
@@ -188,15 +189,15 @@ def _alike(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(likeness(a, b), pa.float64())], ["a", "b", "alike"])
 
 
-def cross_pairs(rows: list[tuple], tree: int, deepest: int, percent: int) -> list[tuple[int, int]]:
+def cross_pairs(rows: list[tuple], tree: int, percent: int) -> list[tuple[int, int]]:
     """Pairs (a, b) of different components, a > b, that may be near: rows are (left, right, id, n, component, sig).
 
     Rows of the left are compared with those of the right; in a block that meets itself every row is both. A pair that
-    shares a prefix of the deepest region's length in an earlier tree is left to that tree, where it surely meets.
+    shares a region in an earlier tree is left to that tree, where it surely meets.
     """
     left, right, ids, n, c = (np.array([r[k] for r in rows]) for k in range(5))
     sigs = places([r[5] for r in rows])
-    prefix = sigs[0].reshape(len(rows), TREES, DEPTH)[:, :tree, :deepest]
+    prefix = sigs[0].reshape(len(rows), TREES, DEPTH)[:, :tree, : DEPTHS[0]]
     out = []
     for x in np.flatnonzero(left):
         near = right & (c != c[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
@@ -210,14 +211,14 @@ def cross_pairs(rows: list[tuple], tree: int, deepest: int, percent: int) -> lis
     return out
 
 
-def _cross(deepest: int, percent: int):
+def _cross(percent: int):
     """Compare the rows of each run of equal keys; rows come sorted by key, and a run is at most two blocks."""
 
     def run(batches):
         key, rows = None, []
 
         def flush():
-            found = cross_pairs(rows, key[3], deepest, percent) if len(rows) > 1 else []
+            found = cross_pairs(rows, key[3], percent) if len(rows) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -238,25 +239,43 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_sign, "doc_id long, n_shingles long, k1 long, k2 long, sig binary")
 
 
-def forest_regions(reps: DataFrame) -> tuple[DataFrame, int]:
-    """(region, key, id, n, size, tree): the region of each tree that a set falls in, and the depth of the deepest.
+def forest_regions(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(region, key, id, n, size, tree): the region of each tree that a set falls in, whole and cut by density.
 
     Regions of one are left out.
     """
     rows = reps.select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
     rows = rows.select("id", "n", "tree", F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("key"))
-    out = None
+    whole = cut = None
     for depth in DEPTHS:
         rows = rows.withColumn("region", F.concat(F.expr("unhex(lpad(hex(tree), 4, '0'))"), F.substring("key", 1, 2 * depth)))
         size = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
-        rows = materialize(rows.join(size, "region"))
+        rows = materialize(rows.join(size, "region").select("region", "key", "id", "n", "size", "tree"))
         last = depth == DEPTHS[-1]
         leaf = rows if last else rows.where(F.col("size") <= REGION)
-        leaf = leaf.select("region", "key", "id", "n", "size", "tree")
-        out = leaf if out is None else out.union(leaf)
+        whole, cut = (rows, leaf) if whole is None else (whole, cut.union(leaf))
         rows = rows.where(F.col("size") > REGION).select("id", "n", "tree", "key")
         if last or not rows.take(1):
-            return out, depth
+            return whole, cut
+
+
+def in_blocks(placed: DataFrame) -> DataFrame:
+    """(region, i, j, tree, l, r, id, n, c): every row of (region, tree, id, n, c) in each pair of blocks it is met in.
+
+    A component with a block's documents or more in a region has blocks of its own, which meet those of others only;
+    the rest share blocks by id. So the work follows the pairs of different components. Regions of one are left out.
+    """
+    held = placed.groupBy("region", "c").agg(F.count("*").alias("m"))
+    big = F.when(F.col("m") >= BLOCK, F.struct("c", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
+    met = held.groupBy("region").agg(F.count("*").alias("cs"), F.sum(F.when(F.col("m") < BLOCK, F.col("m")).otherwise(0)).alias("few"), F.array_sort(F.collect_list(big)).alias("big"))
+    met = met.where("cs > 1").withColumn("mixed", F.ceil(F.col("few") / BLOCK).cast("int"))
+    met = met.withColumn("own", F.expr("transform(big, (x, p) -> struct(x.c as c, x.nb as nb, mixed + aggregate(slice(big, 1, p), 0, (a, y) -> a + y.nb) as at))"))
+    met = met.select("region", "mixed", "own", F.expr("mixed + aggregate(big, 0, (a, y) -> a + y.nb)").alias("blocks"))
+    rows = placed.join(met, "region").withColumn("own", F.expr("get(filter(own, x -> x.c = c), 0)"))
+    rows = rows.withColumn("k", F.expr("cast(coalesce(own.at, 0) + pmod(xxhash64(id), coalesce(own.nb, mixed)) as int)"))
+    others = "filter(sequence(0, blocks - 1), j -> own is null or j < own.at or j >= own.at + own.nb)"
+    sides = F.expr(f"transform({others}, j -> struct(least(j, k) as i, greatest(j, k) as j, k <= j as l, k >= j as r))")
+    return rows.withColumn("s", F.explode(sides)).select("region", "s.i", "s.j", "tree", "s.l", "s.r", "id", "n", "c")
 
 
 def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -277,12 +296,11 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
     reps = materialize(copies.select(F.col("id"), F.col("n_shingles").alias("n"), "k1", "k2"))
     own = signed.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "k1", "k2", "sig")
     reps = materialize(reps.join(own, ["id", "n", "k1", "k2"]).groupBy("id", "n").agg(F.first("sig").alias("sig")))
-    regions, deepest = forest_regions(reps)
-    regions = materialize(regions)
+    regions, cut = forest_regions(reps)
 
     fits = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     order = Window.partitionBy("region").orderBy("key", "id")
-    beside = regions.select("region", "key", "id", "n", F.lag("id").over(order).alias("other"), F.lag("n").over(order).alias("nb"))
+    beside = cut.select("region", "key", "id", "n", F.lag("id").over(order).alias("other"), F.lag("n").over(order).alias("nb"))
     beside = beside.where("other is not null and other <> id").withColumn("na", F.col("n")).where(fits)
     sigs = reps.select("id", "sig")
 
@@ -306,16 +324,10 @@ def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text
         return rows.join(groups.select(F.col("node").alias(by), F.col("component").alias(name)), by, "left").withColumn(name, F.coalesce(name, by))
 
     rest = component(component(chains.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    placed = component(regions.select("region", "tree", "id", "n", "size"), "id", "c")
-    apart = placed.groupBy("region").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("region")
-    placed = placed.join(apart, "region").join(sigs, "id").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    placed = placed.withColumn("k", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    sides = F.expr("""concat(
-        transform(sequence(k, blocks - 1), j -> struct(k as i, j as j, true as l, j = k as r)),
-        transform(filter(sequence(0, k), i -> i < k), i -> struct(i as i, k as j, false as l, true as r)))""")
-    sided = placed.withColumn("s", F.explode(sides)).select("region", "s.i", "s.j", "tree", "s.l", "s.r", "id", "n", "c", "sig")
+    placed = component(regions.select("region", "tree", "id", "n"), "id", "c")
+    sided = in_blocks(placed).join(sigs, "id").select("region", "i", "j", "tree", "l", "r", "id", "n", "c", "sig")
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = sided.repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_cross(deepest, percent), "a long, b long").distinct()
+    met = sided.repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_cross(percent), "a long, b long").distinct()
     second = materialize(met.union(rest).distinct().join(first, ["a", "b"], "left_anti"))
     late = confirmed(second)
     final = connected_components(links.union(late).union(groups.where("node <> component").toDF("a", "b"))) if late.take(1) else groups

@@ -98,6 +98,23 @@ def test_near_duplicates_equal_brute_force(spark, percent, monkeypatch):
     assert got == {i: (n, c, c == i) for i, (n, c) in brute.near_duplicates(rows, percent).items()}
 
 
+def test_dense_regions_keep_their_links(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "REGION", 1)
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(280)]
+
+    def changed(words, n):
+        return [f"x{rnd.random()}" if i in at else w for at in [set(rnd.sample(range(280), n))] for i, w in enumerate(words)]
+
+    own = [changed(base, 2) for _ in range(40)]  # all some 0.7 alike, each linked to its twin alone at little over 0.8
+    rows = list(enumerate(" ".join(changed(words, 3)) for words in own for _ in range(2)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 80).collect()}
+    want = brute.near_duplicates(rows, 80)
+    assert sum(c != i for i, (_, c) in want.items()) == 40
+    assert sum(got[i] != want[i] for i in want) == 0
+
+
 def test_near_duplicates_on_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash.link_documents(df).collect())
