@@ -85,30 +85,42 @@ def _text_of(kinds) -> Column:
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, rid, email, ip, card, phone, slots): spans of each base kind, and the digit tokens with their contexts."""
+    """(doc_id, rid, email, ip, card, phone, slots): spans of each base kind, and these and the other digit tokens with their contexts."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     t = F.col("t")
     rows = rows.select("doc_id", F.xxhash64("t").alias("rid"), "t", F.regexp_like(t, F.lit("[0-9]")).alias("any"), *(F.when(F.regexp_like(t, F.lit("[0-9@]")), c).otherwise(F.array().cast("array<struct<s: int, e: int, m: string>>")).alias(k) for k, c in _base(t).items()))
     rows = rows.withColumn("tokens", F.when(F.col("any"), _located(t, TOKEN)).otherwise(F.array().cast("array<struct<s: int, e: int, m: string>>")))
     base = F.concat(*KINDS)
+    failed = F.when(F.col("any"), F.concat(F.filter(_located(t, CARD), lambda x: ~_luhn(_digits(x["m"]))), F.filter(_located(t, IP), lambda x: ~F.exists("ip", lambda b: b["s"] == x["s"]))))
+    rows = rows.withColumn("failed", F.coalesce(failed, F.array().cast("array<struct<s: int, e: int, m: string>>")))
     word = r"[^\s]+"
 
+    def context(s: Column, e: Column) -> tuple[Column, Column]:
+        """The words before and after the tokens that a span lies in."""
+        before = F.lower(F.regexp_extract(F.substring(t, F.greatest(F.lit(1), s - 39), F.least(F.lit(40), s)), rf"({word})\s+\S*$", 1))
+        return before, F.lower(F.regexp_extract(F.substring(t, e + 1, F.lit(40)), rf"^\S*\s+({word})", 1))
+
+    def seed(x: Column) -> Column:
+        before, after = context(x["s"], x["e"])
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("core"), before.alias("l"), after.alias("r"), F.lit(True).alias("seed"), F.lit(False).alias("failed"))
+
     def slot(x: Column) -> Column:
         lead = F.length(F.regexp_extract(x["m"], r"^[^\p{L}\p{N}]*", 0))
         core = F.regexp_replace(x["m"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
         s = x["s"] + lead
         e = s + F.length(core)
-        before = F.lower(F.regexp_extract(F.substring(t, F.greatest(F.lit(1), x["s"] - 40), F.least(F.lit(40), x["s"])), rf"({word})\s*$", 1))
-        after = F.lower(F.regexp_extract(F.substring(t, x["e"] + 1, F.lit(40)), rf"^\s*({word})", 1))
+        before, after = context(x["s"], x["e"])
         known = F.exists(base, lambda b: (b["s"] < e) & (b["e"] > s))
-        return F.struct(s.alias("s"), e.alias("e"), core.alias("core"), before.alias("l"), after.alias("r"), known.alias("seed"))
+        bad = F.exists("failed", lambda b: (b["s"] < e) & (b["e"] > s))
+        return F.struct(s.alias("s"), e.alias("e"), core.alias("core"), before.alias("l"), after.alias("r"), known.alias("seed"), bad.alias("failed"))
 
-    return rows.select("doc_id", "rid", *KINDS, F.transform("tokens", slot).alias("slots"))
+    others = F.filter(F.transform("tokens", slot), lambda x: ~x["seed"])
+    return rows.select("doc_id", "rid", *KINDS, F.concat(F.transform(base, seed), others).alias("slots"))
 
 
-def _identifier(core: Column) -> Column:
-    # digits alone have been judged by the base forms, which dropped them
-    return (F.length(core) >= LENGTH) & (F.length(_digits(core)) >= DIGITS) & F.regexp_like(core, F.lit(r"\p{L}"))
+def _identifier(core: Column, failed: Column) -> Column:
+    # a failed card or address is no identifier unless it has letters
+    return (F.length(core) >= LENGTH) & (F.length(_digits(core)) >= DIGITS) & (F.regexp_like(core, F.lit(r"\p{L}")) | ~failed)
 
 
 def confident_patterns(slots: DataFrame) -> DataFrame:
@@ -130,7 +142,7 @@ def discover(scanned: DataFrame) -> DataFrame:
     """(doc_id, rid, id): spans of identifiers in slots of confident patterns, in order."""
     slots = scanned.where(F.size("slots") > 0).select("doc_id", "rid", F.explode("slots").alias("x")).select("doc_id", "rid", "x.*")
     patterns = confident_patterns(slots)
-    both = slots.where(~F.col("seed") & _identifier(F.col("core")))
+    both = slots.where(~F.col("seed") & _identifier(F.col("core"), F.col("failed")))
     both = both.select("doc_id", "rid", "s", "e", "core", F.explode(F.array(F.concat(F.lit("l:"), F.col("l")), F.concat(F.lit("r:"), F.col("r")))).alias("pattern"))
     found = both.join(patterns, "pattern")
     return found.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set(F.struct("s", "e", F.col("core").alias("m")))).alias("id"))

@@ -131,6 +131,15 @@ def test_shingles_equal_plain_sets():
         assert len(s) == len(brute.shingles(t))
 
 
+def test_digitless_seeds_find_a_dashed_number(spark):
+    names = ["anna", "bela", "cora", "dora", "edda", "fina", "gina", "hana", "inga", "jana", "kira", "lena"]
+    rows = [(i, f"contact {n}@mail.org today") for i, n in enumerate(names)] + [(50, "contact 123-45-6789 today"), (51, "contact 1234567890123456 today")]
+    got = {r.doc_id: r.spans for r in pii.find_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[50] == "id:8:19"
+    assert got[51] == ""  # a failed card
+    assert got[0] == "email:8:21"
+
+
 RULES = urlfilter.rules_of(
     (("net/", "block"), ("example.net/en/", "allow"), ("b.org/de", "block"), ("plain.com", "block"), ("A.com/Case/", "block")),
     (("ads", r"/ads/", ("ads",), "block"), ("zip", r"\.zip$", (), "block")),
