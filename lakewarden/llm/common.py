@@ -30,10 +30,12 @@ def crc_held_out(doc_id) -> bool:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir; a temporary one only where it is unset and all is local."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='lakewarden-')}"
         sc.setCheckpointDir(found)
     return found
@@ -59,6 +61,39 @@ def release(df: DataFrame) -> None:
             p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class Scratch:
+    """Tables in the shared folder that go when the work is done; those that a result still reads are named to keep()."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self):
+        return self
+
+    def write(self, df: DataFrame) -> DataFrame:
+        self.tables.append(materialize(df))
+        return self.tables[-1]
+
+    def adopt(self, df: DataFrame) -> DataFrame:
+        """Take charge of a table that something else wrote."""
+        self.tables.append(df)
+        return df
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete a table that nothing reads again."""
+        self.tables = [t for t in self.tables if t is not df]
+        release(df)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Write a result, which outlives the other tables."""
+        return materialize(df)
+
+    def __exit__(self, *_):
+        for t in self.tables:
+            release(t)
+        self.tables = []
+
+
 class Recent(dict):
     """A cache of bounded size: when it is full its rows become the older half, and those asked for again come back."""
 
@@ -124,7 +159,7 @@ def contract_batches(batches):
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph given as edges (a, b) of longs.
 
     Returns (node, component): each node that has an edge, with the smallest node it reaches. Edges are first
@@ -135,9 +170,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null and a <> b")
     current = materialize(edges.mapInArrow(contract_batches, "a long, b long").distinct())
     seen = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    for _ in range(max_rounds):
-        if seen.n == 0:
-            break
+    while seen.n:
         sym = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = sym.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = sym.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -151,4 +184,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             break
         seen = now
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+    out = current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+    out._lw_path = current._lw_path
+    return out

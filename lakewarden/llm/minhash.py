@@ -1,54 +1,58 @@
 """Operator 8: near-duplicate documents by an LSH forest over MinHash signatures.
 
 A document's set holds its distinct five-word shingles. Documents of equal sets count as one. Each tree of the forest
-orders the signatures by its own hash functions. Documents that share a prefix of a tree's key form a region. To find
-neighbours, a region with too many documents is cut at a deeper prefix, so the depth follows the density; in what is
-left the neighbours in sorted order, which share the longest prefixes, are the first candidates.
+orders the signatures by its own hash functions; documents that share a prefix of a tree's key form a region.
 
-Candidates are confirmed on full sets in two rounds. The first checks each document against the candidates whose
-signatures are most like its own, which joins most groups. The second checks every candidate and every pair of an
-uncut region, whatever its size, that the first left in different components; pairs inside one component need no
-check, for a component is all that the result holds, and blocks of one component never meet. Whether a pair becomes a
-candidate is a matter of chance: with the parameters here a pair at the threshold of 0.85 is missed in all trees with
-a probability of about 2e-7.
+The depth adapts to each region. With LEVELS[0] a region is a prefix of two places in 12 trees. The documents of a
+region that is too dense there go on to longer prefixes, in as many more trees as make up for them: a pair of the
+similarity asked for shares a region of the level it is compared on in some tree, but for a chance of 3e-7 at 0.85 and
+5e-6 at 0.8, whatever its density. A region that is dense at the last level too is compared as a whole, in blocks.
+
+Candidates are confirmed on full sets in two rounds. In the first, each document meets its neighbours in some of the
+sorted orders, which share the longest prefixes with it; the best of them that are confirmed join most groups. The
+second compares the documents of each region that the first left in different components: by signatures first, then,
+for documents that have a candidate left, on full sets. That happens inside blocks of bounded size, which return a
+forest of their links and never a row for each pair. Blocks of one component never meet.
 
 Defined results: documents without words have an empty set and link with nothing; fewer words than a shingle make one
-shingle of the whole sequence. Rows of equal doc_id are one document, whose
-links are those of any of its rows. A null doc_id links
-with nothing. Other columns are never read, whole texts are, and an empty table gives an empty result.
+shingle of the whole sequence. Rows of equal doc_id are one document, whose links are those of any of its rows, and
+n_shingles that of its largest set. A null doc_id links with nothing. Ties go to the smaller id. Columns other than
+id and text are never read, and may have any names; whole texts are read, a bounded part at a time. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import Scratch, connected_components
 
 SHINGLE = 5
-TREES, DEPTH = 12, 8
-#: Prefix lengths; regions have the first. Above so many documents neighbours are looked for at the next.
-DEPTHS, REGION = (2, 4, 8), 4096
-#: Candidates of a document that are confirmed in the first round.
-FIRST = 3
-#: More hash functions, kept as one byte each, by which only likeness is judged.
-EXTRA = 416
-#: A pair is confirmed if its signatures agree in at least the threshold less this share of places, some 4 standard errors.
-SLACK = 0.07
-#: Documents of a region that are compared at a time.
-BLOCK = 2048
-#: Size of the filter of candidate ids, and hashes of an id.
-FILTER_BITS, FILTER_HASHES = 1 << 24, 2
+#: (places of a prefix, trees), by density; a tree's key has the places of the last.
+LEVELS = ((2, 12), (4, 24), (6, 48))
+DEPTH, TREES = LEVELS[-1]
+PLACES = DEPTH * TREES
+#: Documents of a region from which on it is too dense for its level.
+REGION = 1024
+#: Sorted orders in which neighbours are looked for in the first round, and how many rows before a row.
+ORDERS, BEFORE = 4, 8
+#: A pair is confirmed if its signatures agree in at least the threshold less this share of places, over 4 standard errors.
+SLACK = 0.1
+#: Documents and shingles of a block, on average.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+#: Bits of the filter of candidate ids for each id, hashes of an id, and the ids from which on a join takes its place.
+ID_BITS, FILTER_HASHES, FILTER_IDS = 16, 3, 1 << 24
 #: Bytes of text hashed at a time.
 CHUNK = 400_000
 
 U = np.uint64
 _rng = np.random.default_rng(20240501)
 BASE = U(0x9E3779B97F4A7C15 | 1)
-MULTIPLY = _rng.integers(0, 2**64, TREES * DEPTH + EXTRA, dtype=U) | U(1)
-TWIST = _rng.integers(0, 2**64, TREES * DEPTH + EXTRA, dtype=U)
+MULTIPLY = _rng.integers(0, 2**32, PLACES, dtype=np.uint32) | np.uint32(1)
+TWIST = _rng.integers(0, 2**32, PLACES, dtype=np.uint32)
 PLACE = _rng.integers(0, 2**64, SHINGLE, dtype=U) | U(1)
 LOWER = np.arange(256, dtype=U)
 LOWER[65:91] += U(32)
@@ -63,16 +67,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_powers = [np.ones(1, U), np.ones(1, U)]
+#: Powers of BASE for the places in a word, and their step for words longer than that.
+STEP = 1 << 12
+POWERS = np.cumprod(np.concatenate([np.ones(1, U), np.full(STEP - 1, BASE, U)]))
+FAR = U(pow(int(BASE), STEP, 2**64))
+
+
+def _weights(places: np.ndarray) -> np.ndarray:
+    """BASE to the power of each place."""
+    out = POWERS[places & (STEP - 1)]
+    for k in range(1, int(places.max(initial=0)) // STEP + 1):
+        out[places >= k * STEP] *= FAR
+    return out
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2 ** 64."""
-    if len(_powers[0]) < n:
-        inverse = U(pow(int(BASE), -1, 2**64))
-        for k, b in enumerate((BASE, inverse)):
-            _powers[k] = np.concatenate([[U(1)], np.cumprod(np.full(n, b, U))])
-    return _powers[0], _powers[1]
+def _finish(sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return mix(sums + sizes.astype(U) * U(0xD6E8FEB86659FD93))
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,9 +90,46 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     gap = SPACE[data]
     edge = np.flatnonzero(np.diff(gap.astype(np.int8), prepend=np.int8(1), append=np.int8(1)))
     first, last = edge[::2], edge[1::2]
-    up, down = powers(len(data))
-    sums = np.concatenate([np.zeros(1, U), np.cumsum((LOWER[data] + U(1)) * up[: len(data)])])
-    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(U) * U(0xD6E8FEB86659FD93)), first
+    if not len(first):
+        return np.empty(0, U), first
+    inside = ~gap
+    letters = LOWER[data[inside]] + U(1)
+    sizes = last - first
+    starts = np.cumsum(sizes) - sizes
+    places = np.arange(len(letters)) - np.repeat(starts, sizes)
+    return _finish(np.add.reduceat(letters * _weights(places), starts), sizes), first
+
+
+def long_word(data: np.ndarray) -> np.ndarray:
+    """The hash of one word, a part at a time."""
+    total, factor = U(0), U(1)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(data), STEP):
+            part = data[at : at + STEP]
+            total += ((LOWER[part] + U(1)) * POWERS[: len(part)]).sum(dtype=U) * factor
+            factor *= FAR
+    return _finish(np.array([total], U), np.array([len(data)]))
+
+
+def text_hashes(raw: bytes) -> np.ndarray:
+    """Hashes of a long text's words, a bounded part at a time."""
+    data, at, out = np.frombuffer(raw, np.uint8), 0, [np.empty(0, U)]
+    while at < len(data):
+        part = data[at : at + CHUNK]
+        if at + CHUNK < len(data):
+            gaps = np.flatnonzero(SPACE[part])
+            if not len(gaps):  # one word fills the part: take it whole
+                end = at + CHUNK
+                while end < len(data) and not SPACE[data[end : end + CHUNK]].any():
+                    end += CHUNK
+                end = min(len(data), end + int(np.argmax(SPACE[data[end : end + CHUNK]]))) if end < len(data) else len(data)
+                out.append(long_word(data[at:end]))
+                at = end
+                continue
+            part = part[: gaps[-1] + 1]
+        out.append(word_hashes(part)[0])
+        at += len(part)
+    return np.concatenate(out)
 
 
 def shingle_set(words: np.ndarray) -> np.ndarray:
@@ -100,182 +147,269 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
 
 def sets_of(texts: pa.Array):
     """Shingle sets of a column of texts, hashed a bounded number of bytes at a time; a null text has an empty set."""
-    at, n = 0, len(texts)
-    raw = [x.as_py() for x in texts.cast(pa.binary())] if n else []
-    while at < n:
-        end, size = at, 0
-        while end < n and (end == at or size + len(raw[end] or b"") < CHUNK):
-            size += len(raw[end] or b"") + 1
-            end += 1
-        part = [x or b"" for x in raw[at:end]]
+    at, raw = 0, texts.cast(pa.binary())
+    while at < len(raw):
+        part, size = [], 0
+        while at < len(raw) and (not part or size < CHUNK):
+            x = raw[at].as_py() or b""
+            if part and size + len(x) > CHUNK:
+                break
+            part.append(x)
+            size += len(x) + 1
+            at += 1
+        if len(part[0]) > CHUNK:
+            yield shingle_set(text_hashes(part[0]))
+            continue
         hashes, first = word_hashes(np.frombuffer(b"\n".join(part), np.uint8))
         starts = np.cumsum([0] + [len(x) + 1 for x in part])
         cuts = np.searchsorted(first, starts)
         for i in range(len(part)):
             yield shingle_set(hashes[cuts[i] : cuts[i + 1]])
-        at = end
 
 
 def signature(shingles: np.ndarray) -> bytes:
-    """Of the least value under each hash function 16 bits for the trees, 8 for the rest."""
-    least = np.full(TREES * DEPTH + EXTRA, np.iinfo(np.uint64).max, U)
-    for i in range(0, len(shingles), 256):
-        least = np.minimum(least, ((shingles[i : i + 256, None] ^ TWIST) * MULTIPLY).min(axis=0))
-    least = mix(least)
-    return (least[: TREES * DEPTH] >> U(48)).astype(">u2").tobytes() + (least[TREES * DEPTH :] >> U(56)).astype(np.uint8).tobytes()
+    """Of the least value under each hash function 16 bits, in order of trees."""
+    least = np.full(PLACES, np.iinfo(np.uint32).max, np.uint32)
+    short = (shingles >> U(32)).astype(np.uint32)
+    for i in range(0, len(short), 128):
+        np.minimum(least, ((short[i : i + 128, None] ^ TWIST) * MULTIPLY).min(axis=0), out=least)
+    return (mix(least.astype(U)) >> U(48)).astype(">u2").tobytes()
 
 
-def places(signatures_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures as arrays of their 16-bit and of their 8-bit places."""
-    data = np.frombuffer(b"".join(signatures_), np.uint8).reshape(len(signatures_), -1)
-    return np.ascontiguousarray(data[:, : 2 * TREES * DEPTH]).view(np.uint16), data[:, 2 * TREES * DEPTH :]
+def places(signatures_: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures_), np.uint16).reshape(len(signatures_), -1)
 
 
-def likeness(a: tuple, b: tuple) -> np.ndarray:
-    """Share of places in which signatures agree, one against many or row by row."""
-    return ((a[0] == b[0]).sum(axis=-1) + (a[1] == b[1]).sum(axis=-1)) / (TREES * DEPTH + EXTRA)
+def _longs(columns) -> list[pa.Array]:
+    return [pa.array(c, pa.int64()) for c in columns]
 
 
 def _sign(batches):
     for batch in batches:
-        ids, size, one, two, sig = [], [], [], [], []
-        for k, s in zip(batch.column(0).to_pylist(), sets_of(batch.column(1)), strict=True):
-            ids.append(k)
+        size, one, two, sig = [], [], [], []
+        for s in sets_of(batch.column(1)):
             size.append(len(s))
             one.append(int(np.bitwise_xor.reduce(mix(s)).astype(np.int64)) if len(s) else 0)
             two.append(int(mix(s ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U).astype(np.int64)) if len(s) else 0)
             sig.append(signature(s) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (size, one, two)), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "k1", "k2", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), *_longs((size, one, two)), pa.array(sig, pa.binary())], ["id", "n", "k1", "k2", "sig"])
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of FILTER_BITS bits over a column `id`: its words are or-ed by Spark, so it never grows."""
-    spots = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES))))
+def id_filter(ids: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter over a column `id` with a number of bits in proportion to the count; its words are or-ed by Spark."""
+    bits = 1 << max(12, (ID_BITS * count).bit_length())
+    spots = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(bits)) for k in range(FILTER_HASHES))))
     bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
-    words = ids.distinct().select(spots.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
-    out = np.zeros(FILTER_BITS // 64, U)
+    words = ids.select(spots.alias("p")).groupBy(F.floor(F.col("p") / 64).cast("int").alias("w")).agg(F.bit_or(bit).alias("b"))
+    out = np.zeros(bits // 64, U)
     for w, b in words.toLocalIterator():
         out[w] = U(b & 0xFFFFFFFFFFFFFFFF)
     return out
 
 
-def full_sets(docs: DataFrame, need: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, shingles) of the documents whose id is in need, and of a few more that the filter lets through.
+def full_sets(texts: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int = FILTER_IDS) -> DataFrame:
+    """(id, shingles) of the rows of texts (id, text) whose id is in need, and of a few more.
 
-    The filter has a fixed size and goes to the tasks that read the documents, so no text is shuffled.
+    A filter of the ids goes to the tasks that read the texts, so no text is shuffled; it has at most 64 MB. Where
+    there are more ids than fit in that, the texts are joined with them.
     """
-    filter_words = id_filter(need)
+    need = tables.write(need.distinct())
+    count = need.count()
+    if count > filter_ids:
+        found = texts.join(need, "id", "left_semi").select("id", "text", *(F.lit(0).cast("long").alias(f"p{k}") for k in range(FILTER_HASHES)))
+        words = np.full(1, 1, U)
+    else:
+        words = id_filter(need, count)
+        found = texts.select("id", "text", *(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(64 * len(words))).alias(f"p{k}") for k in range(FILTER_HASHES)))
 
     def run(batches):
         for batch in batches:
             there = np.ones(batch.num_rows, bool)
             for k in range(FILTER_HASHES):
                 p = batch.column(2 + k).to_numpy(zero_copy_only=False).astype(U)
-                there &= (filter_words[p >> U(6)] >> (p & U(63)) & U(1)).astype(bool)
+                there &= (words[p >> U(6)] >> (p & U(63)) & U(1)).astype(bool)
+            at, size = 0, 256  # sets of so many texts leave at a time
             batch = batch.filter(pa.array(there))
-            rows = [s.astype(np.int64) for s in sets_of(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+            while at < batch.num_rows:
+                part = batch.slice(at, size)
+                rows = [s.astype(np.int64) for s in sets_of(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+                at += size
+
+    out = tables.write(found.mapInArrow(run, "id long, shingles array<long>"))
+    tables.drop(need)
+    return out
 
-    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    spots = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)).alias(f"p{k}") for k in range(FILTER_HASHES)]
-    return materialize(texts.select("id", "text", *spots).mapInArrow(run, "id long, shingles array<long>"))
 
+def fits(n: np.ndarray, m: int, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be as similar as asked for."""
+    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
 
-def _alike(batches):
-    """Likeness of the signatures of each pair."""
-    for batch in batches:
-        if batch.num_rows:
-            a, b = (places(batch.column(c).to_pylist()) for c in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(likeness(a, b), pa.float64())], ["a", "b", "alike"])
 
+def _neighbours(percent: int):
+    """For each row of a sorted order the most alike of the rows shortly before it in its region."""
+
+    def run(batches):
+        before: list[tuple] = []
+        for batch in batches:
+            found = []
+            for region, i, n, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if before and before[-1][0] != region:
+                    before = []
+                near = [x for x in before if 100 * min(x[2], n) >= percent * max(x[2], n)]
+                if near:
+                    alike = (places([x[3] for x in near]) == np.frombuffer(sig, np.uint16)).mean(axis=1)
+                    best = int(np.argmax(alike))
+                    if alike[best] >= percent / 100 - SLACK:
+                        found.append((max(i, near[best][1]), min(i, near[best][1])))
+                before = [*before[1 - BEFORE :], (region, i, n, sig)]
+            yield pa.RecordBatch.from_arrays(_longs([[f[k] for f in found] for k in (0, 1)]), ["a", "b"])
 
-def cross_pairs(rows: list[tuple], tree: int, percent: int) -> list[tuple[int, int]]:
-    """Pairs (a, b) of different components, a > b, that may be near: rows are (left, right, id, n, component, sig).
+    return run
 
-    Rows of the left are compared with those of the right; in a block that meets itself every row is both. A pair that
-    shares a region in an earlier tree is left to that tree, where it surely meets.
-    """
-    left, right, ids, n, c = (np.array([r[k] for r in rows]) for k in range(5))
-    sigs = places([r[5] for r in rows])
-    prefix = sigs[0].reshape(len(rows), TREES, DEPTH)[:, :tree, : DEPTHS[0]]
-    out = []
-    for x in np.flatnonzero(left):
-        near = right & (c != c[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
-        near &= ~left | (ids < ids[x])
-        at = np.flatnonzero(near)
-        if tree and len(at):
-            at = at[~(prefix[at] == prefix[x]).all(axis=2).any(axis=1)]
-        if len(at):
-            at = at[likeness((sigs[0][at], sigs[1][at]), (sigs[0][x], sigs[1][x])) >= percent / 100 - SLACK]
-            out += [(max(ids[x], y), min(ids[x], y)) for y in ids[at]]
-    return out
 
+#: Columns of a row in a block: whether it is on the left or the right side, its id, size, component, and leaf trees.
+SIDED = ("region", "i", "j", "tree", "depth", "l", "r", "id", "n", "c", "mask")
 
-def _cross(percent: int):
-    """Compare the rows of each run of equal keys; rows come sorted by key, and a run is at most two blocks."""
 
-    def run(batches):
-        key, rows = None, []
+class BlockPair:
+    """The rows of two blocks, or of one that meets itself: those of the left are compared with those of the right."""
 
-        def flush():
-            found = cross_pairs(rows, key[3], percent) if len(rows) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+    def __init__(self, rows: list[tuple], percent: int):
+        self.tree, self.depth = rows[0][3:5]
+        self.left, self.right, self.ids, self.n, self.c, self.mask = (np.array([r[k] for r in rows]) for k in range(5, 11))
+        self.sigs, self.percent = places([r[11] for r in rows]), percent
+        self.keys = self.sigs.reshape(len(rows), TREES, DEPTH)[:, : self.tree, : self.depth]
 
+    def candidates(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Rows that the left row x may link with, of those marked in others.
+
+        Those that share a region of an earlier tree with it are left to that tree.
+        """
+        near = others & self.right & (self.c != self.c[x]) & fits(self.n, self.n[x], self.percent)
+        near &= ~self.left | (self.ids < self.ids[x])
+        at = np.flatnonzero(near)
+        if self.tree and len(at):
+            leaf = (self.mask[x] >> np.arange(self.tree) & 1).astype(bool)
+            at = at[~((self.keys[at] == self.keys[x]).all(axis=2) & leaf).any(axis=1)]
+        if len(at):
+            at = at[(self.sigs[at] == self.sigs[x]).mean(axis=1) >= self.percent / 100 - SLACK]
+        return at
+
+    def undecided(self) -> np.ndarray:
+        """Marks the rows with a candidate."""
+        out, everyone = np.zeros(len(self.ids), bool), np.ones(len(self.ids), bool)
+        for x in np.flatnonzero(self.left):
+            at = self.candidates(x, everyone)
+            if len(at):
+                out[x] = True
+                out[at] = True
+        return out
+
+    def links(self, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        """A forest of the links: each joins what no link before it has joined."""
+        ends = np.cumsum([0] + [len(s) for s in sets])
+        _, data = np.unique(np.concatenate(sets), return_inverse=True)
+        marked = np.zeros(len(data) + 1, bool)
+        label = self.c.copy()
+        out = []
+        for x in np.flatnonzero(self.left):
+            at = self.candidates(x, label != label[x])
+            if not len(at):
+                continue
+            own = data[ends[x] : ends[x + 1]]
+            marked[own] = True
+            for y in at:
+                if label[y] != label[x]:
+                    both = int(np.count_nonzero(marked[data[ends[y] : ends[y + 1]]]))
+                    if 100 * both >= self.percent * (int(self.n[x]) + int(self.n[y]) - both):
+                        out.append((int(self.ids[x]), int(self.ids[y])))
+                        label[label == label[y]] = label[x]
+            marked[own] = False
+        return out
+
+
+def _by_block(make, names: list[str]):
+    """Apply make to the rows of each block pair; rows come sorted by their first three columns."""
+
+    def run(batches):
+        key, rows = None, []
         for batch in batches:
-            for region, i, j, tree, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key is None or (region, i, j) != key[:3]:
-                    if rows:
-                        yield flush()
-                    key, rows = (region, i, j, tree), []
-                rows.append(row)
-        if rows:
-            yield flush()
+            for at in range(0, batch.num_rows, 512):
+                columns = [c.to_pylist() if not pa.types.is_list(c.type) else [x.values.to_numpy(zero_copy_only=False) for x in c] for c in batch.slice(at, 512).columns]
+                for row in zip(*columns, strict=True):
+                    if row[:3] != key:
+                        if len(rows) > 1:
+                            yield from make(rows)
+                        key, rows = row[:3], []
+                    rows.append(row)
+        if len(rows) > 1:
+            yield from make(rows)
 
     return run
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, sig) of every row; equal (n_shingles, k1, k2) mean equal sets."""
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_sign, "doc_id long, n_shingles long, k1 long, k2 long, sig binary")
+def _undecided(percent: int):
+    def make(rows):
+        chosen = [rows[k][:11] for k in np.flatnonzero(BlockPair(rows, percent).undecided())]
+        if chosen:
+            kinds = (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), *(pa.int64(),) * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*chosen, strict=True), kinds, strict=True)], list(SIDED))
+
+    return _by_block(make, list(SIDED))
+
 
+def _linked(percent: int):
+    def make(rows):
+        found = BlockPair(rows, percent).links([r[12] for r in rows])
+        if found:
+            yield pa.RecordBatch.from_arrays(_longs(zip(*found, strict=True)), ["a", "b"])
 
-def forest_regions(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(region, key, id, n, size, tree): the region of each tree that a set falls in, whole and cut by density.
+    return _by_block(make, ["a", "b"])
 
-    Regions of one are left out.
+
+def forest_regions(signed: DataFrame, reps: DataFrame, tables: Scratch, region: int = REGION) -> tuple[DataFrame, DataFrame]:
+    """(region, key, id, n) of the first level, and (region, tree, depth, id, n, mask) to be compared, of all levels.
+
+    mask has a bit for each tree in which the row's region of that level is compared. Regions of one are left out.
     """
-    rows = reps.select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
-    rows = rows.select("id", "n", "tree", F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("key"))
-    whole = cut = None
-    for depth in DEPTHS:
-        rows = rows.withColumn("region", F.concat(F.expr("unhex(lpad(hex(tree), 4, '0'))"), F.substring("key", 1, 2 * depth)))
+    first = compared = None
+    members = reps
+    for depth, trees in LEVELS:
+        rows = signed.join(members.select("id"), "id", "left_semi").select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig")
+        rows = rows.select("id", "n", "tree", F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("key"))
+        rows = rows.withColumn("region", F.concat(F.expr(f"unhex(lpad(hex(tree * 8 + {depth}), 4, '0'))"), F.substring("key", 1, 2 * depth)))
         size = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
-        rows = materialize(rows.join(size, "region").select("region", "key", "id", "n", "size", "tree"))
-        last = depth == DEPTHS[-1]
-        leaf = rows if last else rows.where(F.col("size") <= REGION)
-        whole, cut = (rows, leaf) if whole is None else (whole, cut.union(leaf))
-        rows = rows.where(F.col("size") > REGION).select("id", "n", "tree", "key")
-        if last or not rows.take(1):
-            return whole, cut
+        rows = tables.write(rows.join(size, "region").select("region", "key", "id", "n", "size", "tree"))
+        first = rows if first is None else first
+        last = depth == DEPTH
+        leaf = rows if last else rows.where(F.col("size") <= region)
+        mask = leaf.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("mask"))
+        leaf = leaf.join(mask, "id").select("region", "tree", F.lit(depth).alias("depth"), "id", "n", "mask")
+        compared = leaf if compared is None else compared.union(leaf)
+        members = rows.where(F.col("size") > region).select("id").distinct()
+        if last or not members.take(1):
+            return first, compared
 
 
 def in_blocks(placed: DataFrame) -> DataFrame:
-    """(region, i, j, tree, l, r, id, n, c): every row of (region, tree, id, n, c) in each pair of blocks it is met in.
+    """SIDED of every row of (region, tree, depth, id, n, c, mask) in each pair of blocks it is met in.
 
-    A component with a block's documents or more in a region has blocks of its own, which meet those of others only;
-    the rest share blocks by id. So the work follows the pairs of different components. Regions of one are left out.
+    A component that would fill a block or more of a region has blocks of its own, which meet those of others only; the
+    rest share blocks by id. So the work follows the pairs of different components. Regions of one are left out.
     """
-    held = placed.groupBy("region", "c").agg(F.count("*").alias("m"))
-    big = F.when(F.col("m") >= BLOCK, F.struct("c", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
-    met = held.groupBy("region").agg(F.count("*").alias("cs"), F.sum(F.when(F.col("m") < BLOCK, F.col("m")).otherwise(0)).alias("few"), F.array_sort(F.collect_list(big)).alias("big"))
-    met = met.where("cs > 1").withColumn("mixed", F.ceil(F.col("few") / BLOCK).cast("int"))
+    share = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    held = placed.groupBy("region", "c").agg(share.alias("m"))
+    big = F.when(F.col("m") >= 1, F.struct("c", F.ceil("m").cast("int").alias("nb")))
+    met = held.groupBy("region").agg(F.count("*").alias("cs"), F.sum(F.when(F.col("m") < 1, F.col("m")).otherwise(0)).alias("few"), F.array_sort(F.collect_list(big)).alias("big"))
+    met = met.where("cs > 1").withColumn("mixed", F.ceil("few").cast("int"))
     met = met.withColumn("own", F.expr("transform(big, (x, p) -> struct(x.c as c, x.nb as nb, mixed + aggregate(slice(big, 1, p), 0, (a, y) -> a + y.nb) as at))"))
     met = met.select("region", "mixed", "own", F.expr("mixed + aggregate(big, 0, (a, y) -> a + y.nb)").alias("blocks"))
     rows = placed.join(met, "region").withColumn("own", F.expr("get(filter(own, x -> x.c = c), 0)"))
     rows = rows.withColumn("k", F.expr("cast(coalesce(own.at, 0) + pmod(xxhash64(id), coalesce(own.nb, mixed)) as int)"))
     others = "filter(sequence(0, blocks - 1), j -> own is null or j < own.at or j >= own.at + own.nb)"
     sides = F.expr(f"transform({others}, j -> struct(least(j, k) as i, greatest(j, k) as j, k <= j as l, k >= j as r))")
-    return rows.withColumn("s", F.explode(sides)).select("region", "s.i", "s.j", "tree", "s.l", "s.r", "id", "n", "c")
+    return rows.withColumn("s", F.explode(sides)).select("region", "s.i", "s.j", "tree", "depth", "s.l", "s.r", "id", "n", "c", "mask")
 
 
 def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -287,66 +421,96 @@ def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.where(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
 
 
-def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
+def link_sets(texts: DataFrame, percent: int, tables: Scratch, region: int = REGION, unique: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(id, n) and (id, component) of rows (id, text) with ids that are not null; rows of equal id have equal texts.
+
+    The second has the ids that link or share their set; the component is the smallest id reached.
+    """
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    signed = texts.mapInArrow(_sign, "id long, n long, k1 long, k2 long, sig binary")
+    signed = tables.write(signed if unique else signed.dropDuplicates(["id"]))
+    copies = signed.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
+    reps = tables.write(copies.select(F.col("rep").alias("id")))
+    signed_sets = signed.select("id", "n", "sig")
+    first, compared = forest_regions(signed_sets, reps, tables, region)
+    sigs = signed.select("id", "sig")
+
+    order = first.where(F.col("tree") < ORDERS).join(sigs, "id")
+    sorted_ = order.repartitionByRange(tasks, "region", "key", "id").sortWithinPartitions("region", "key", "id").select("region", "id", "n", "sig")
+    pairs = tables.write(sorted_.mapInArrow(_neighbours(percent), "a long, b long").where("a <> b").distinct())
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    sets = full_sets(texts, ends, tables).dropDuplicates(["id"])
+    links = tables.write(near_pairs(pairs, sets, percent))
+    groups = tables.adopt(connected_components(links))
+
+    parts = groups.select(F.col("node").alias("id"), F.col("component").alias("c"))
+    placed = compared.join(parts, "id", "left").withColumn("c", F.coalesce("c", "id"))
+    blocks = in_blocks(placed).join(sigs, "id").select(*SIDED, "sig").repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j")
+    kinds = "region binary, i int, j int, tree int, depth int, l boolean, r boolean, id long, n long, c long, mask long"
+    rest = tables.write(blocks.mapInArrow(_undecided(percent), kinds))
+    if rest.take(1):
+        sets = full_sets(texts, rest.select("id"), tables).dropDuplicates(["id"])
+        blocks = rest.join(sigs, "id").join(sets, "id").select(*SIDED, "sig", "shingles").repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j")
+        late = tables.write(blocks.mapInArrow(_linked(percent), "a long, b long"))
+        if late.take(1):
+            groups = tables.adopt(connected_components(links.union(late)))
+    kept = groups.select(F.col("node").alias("rep"), "component")
+    member = signed.where("n > 0").select("id", "n", "k1", "k2").join(copies, ["n", "k1", "k2"]).join(kept, "rep", "left")
+    return signed.select("id", "n"), member.select("id", F.coalesce("component", "rep").alias("component")).distinct()
+
+
+def _own_id(doc_id, text, differ):
+    """An id of its own for a row whose doc_id has other texts too, above all usual ids."""
+    return F.when(differ, F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(doc_id, text), 2)).otherwise(doc_id)
+
+
+def distinct_ids(docs: DataFrame, key: str, text: str, tables: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(id, text, doc_id) of the rows whose id is not null, so that rows of an id have equal texts, and the doc_ids of
+    several rows as (doc_id, differ), None if there is none. differ: their texts differ.
+    """
+    own = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    again = tables.write(own.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if not again.take(1):
+        return own.select(F.col("doc_id").alias("id"), "text", "doc_id"), None
+    h = F.xxhash64("text")
+    again = tables.write(own.join(again, "doc_id", "left_semi").groupBy("doc_id").agg((F.min(h) < F.max(h)).alias("differ")))
+    rows = own.join(again, "doc_id", "left")
+    return rows.select(_own_id(F.col("doc_id"), F.col("text"), F.coalesce("differ", F.lit(False))).alias("id"), "text", "doc_id"), again
+
+
+def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per document with the smallest doc_id it reaches by links."""
-    signed = materialize(signatures(docs, key, text))
-    whole = signed.where("doc_id is not null and n_shingles > 0")
-    copies = whole.groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("id"))
-    # the signature comes from the representative's own row, so no group carries one through the shuffle
-    reps = materialize(copies.select(F.col("id"), F.col("n_shingles").alias("n"), "k1", "k2"))
-    own = signed.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "k1", "k2", "sig")
-    reps = materialize(reps.join(own, ["id", "n", "k1", "k2"]).groupBy("id", "n").agg(F.first("sig").alias("sig")))
-    regions, cut = forest_regions(reps)
-
-    fits = F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    order = Window.partitionBy("region").orderBy("key", "id")
-    beside = cut.select("region", "key", "id", "n", F.lag("id").over(order).alias("other"), F.lag("n").over(order).alias("nb"))
-    beside = beside.where("other is not null and other <> id").withColumn("na", F.col("n")).where(fits)
-    sigs = reps.select("id", "sig")
-
-    def with_likeness(pairs: DataFrame) -> DataFrame:
-        left, right = sigs.toDF("a", "x"), sigs.toDF("b", "y")
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_alike, "a long, b long, alike double").where(F.col("alike") >= percent / 100 - SLACK)
-
-    chains = materialize(with_likeness(beside.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()))
-    best = Window.partitionBy("a").orderBy(F.desc("alike"), "b")
-    first = materialize(chains.withColumn("k", F.row_number().over(best)).where(F.col("k") <= FIRST).select("a", "b"))
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("id")).distinct().union(pairs.select(F.col("b").alias("id")).distinct())
-        sets = full_sets(docs, ends, key, text)
-        return materialize(near_pairs(pairs, sets, percent).distinct())
-
-    links = confirmed(first)
-    groups = materialize(connected_components(links))
-
-    def component(rows: DataFrame, by: str, name: str) -> DataFrame:
-        return rows.join(groups.select(F.col("node").alias(by), F.col("component").alias(name)), by, "left").withColumn(name, F.coalesce(name, by))
-
-    rest = component(component(chains.select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b")
-    placed = component(regions.select("region", "tree", "id", "n"), "id", "c")
-    sided = in_blocks(placed).join(sigs, "id").select("region", "i", "j", "tree", "l", "r", "id", "n", "c", "sig")
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = sided.repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(_cross(percent), "a long, b long").distinct()
-    second = materialize(met.union(rest).distinct().join(first, ["a", "b"], "left_anti"))
-    late = confirmed(second)
-    final = connected_components(links.union(late).union(groups.where("node <> component").toDF("a", "b"))) if late.take(1) else groups
-
-    member = signed.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n_shingles", "k1", "k2")).alias("s")).select("doc_id", "s.*")
-    placed = member.join(copies.select("n_shingles", "k1", "k2", "id"), ["n_shingles", "k1", "k2"], "left").withColumn("id", F.coalesce("id", "doc_id"))
-    out = placed.join(final.select(F.col("node").alias("id"), "component"), "id", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    alone = signed.where("doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, all columns, of the document with the smallest id of each component; all rows with a null id.
-
-    Of rows of equal id one stays, the one of the greatest text.
+    with Scratch() as tables:
+        rows, again = distinct_ids(docs, key, text, tables)
+        sizes, member = link_sets(rows.select("id", "text"), percent, tables, region, again is None)
+        if again is not None:
+            names = tables.write(rows.join(again, "doc_id", "left_semi").select("id", "doc_id").distinct())
+            sizes = sizes.join(names, "id", "left").groupBy(F.coalesce("doc_id", "id").alias("id")).agg(F.max("n").alias("n"))
+            member = tables.write(member)
+            own = member.join(names, "id", "left").select(F.coalesce("doc_id", "id").alias("id"), "component")
+            merged = tables.adopt(connected_components(own.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+            member = merged.select(F.col("node").alias("id"), "component")
+        found = sizes.join(member, "id", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+        nothing = docs.where(F.col(key).isNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+        nothing = nothing.mapInArrow(_sign, "id long, n long, k1 long, k2 long, sig binary").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+        out = found.union(nothing).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        return tables.keep(out)
+
+
+def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
+    """The rows of docs, all columns, of one document of each component: that with the smallest id.
+
+    Rows with a null id stay. Of equal rows of a doc_id one stays. Rows of a doc_id with different texts are told
+    apart by their texts and count after those of other ids. The columns of docs may have any names.
     """
-    gone = link_documents(docs, percent, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("own_gone"))
-    left = docs.where(F.col(key).isNotNull()).join(gone, F.col(key).cast("long") == F.col("own_gone"), "left_anti")
-    order = Window.partitionBy(key).orderBy(F.desc(text))
-    one = left.withColumn("own_place", F.row_number().over(order)).where("own_place = 1").drop("own_place")
-    return one.union(docs.where(F.col(key).isNull()))
+    with Scratch() as tables:
+        rows, again = distinct_ids(docs, key, text, tables)
+        _, member = link_sets(rows.select("id", "text"), percent, tables, region, again is None)
+        gone = tables.keep(member.where("id <> component").select(F.col("id").alias("lw:id")))
+        repeated = None if again is None else tables.keep(again.select(F.col("doc_id").alias("lw:id"), F.col("differ").alias("lw:differ")))
+    own = F.col(key).cast("long")
+    if repeated is None:
+        return docs.join(gone, own == F.col("lw:id"), "left_anti")
+    one = docs.join(repeated, own == F.col("lw:id")).withColumn("lw:own", _own_id(own, F.col(text).cast("string"), F.col("lw:differ"))).drop("lw:id", "lw:differ")
+    one = one.dropDuplicates(["lw:own"]).join(gone, F.col("lw:own") == F.col("lw:id"), "left_anti").drop("lw:own")
+    return docs.join(repeated.select("lw:id").union(gone), own == F.col("lw:id"), "left_anti").union(one)

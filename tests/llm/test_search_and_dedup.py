@@ -91,16 +91,14 @@ def near_texts():
 @pytest.mark.parametrize("percent", [80, 85])
 def test_near_duplicates_equal_brute_force(spark, percent, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 100)
-    monkeypatch.setattr(minhash, "REGION", 400)
     rows = list(enumerate(near_texts()))
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit(1)).withColumn("size", F.lit(2)).withColumn("n", F.lit(3))
-    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.link_documents(df, percent).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.link_documents(df, percent, region=20).collect()}
     assert got == {i: (n, c, c == i) for i, (n, c) in brute.near_duplicates(rows, percent).items()}
 
 
 def test_dense_regions_keep_their_links(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 16)
-    monkeypatch.setattr(minhash, "REGION", 1)
     rnd = random.Random(5)
     base = [f"w{i}" for i in range(280)]
 
@@ -109,7 +107,7 @@ def test_dense_regions_keep_their_links(spark, monkeypatch):
 
     own = [changed(base, 2) for _ in range(40)]  # all some 0.7 alike, each linked to its twin alone at little over 0.8
     rows = list(enumerate(" ".join(changed(words, 3)) for words in own for _ in range(2)))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 80).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.link_documents(spark.createDataFrame(rows, "doc_id long, text string"), 80, region=1).collect()}
     want = brute.near_duplicates(rows, 80)
     assert sum(c != i for i, (_, c) in want.items()) == 40
     assert sum(got[i] != want[i] for i in want) == 0
@@ -123,6 +121,39 @@ def test_near_duplicates_on_odd_rows(spark):
     assert minhash.link_documents(df.where("false")).count() == 0
 
 
+def test_rows_of_an_id_with_different_texts_keep_their_links(spark):
+    a, b = "one two three four five six seven", "alpha beta gamma delta epsilon zeta eta"
+    rows = [(5, a), (5, b), (2, b), (7, a), (9, "nothing like these words here at all"), (9, "nothing like these words here at all"), (5, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in minhash.link_documents(df).collect())
+    assert got == [(2, 2), (5, 2), (7, 2), (9, 9)]
+    kept = sorted((r.doc_id, r.text) for r in minhash.keep_one(df).collect())
+    assert kept == [(2, b), (7, a), (9, rows[4][1])]
+    clash = df.selectExpr("doc_id", "text", "text as id", "1 as n", "2 as component", "3 as differ")
+    assert minhash.keep_one(clash).columns == clash.columns and minhash.keep_one(clash).count() == 3
+
+
+def test_filter_of_ids_and_join_give_the_same_sets(spark):
+    from lakewarden.llm.common import Scratch
+
+    texts = spark.createDataFrame([(i, f"text number {i} of some words") for i in range(50)], "id long, text string")
+    need = texts.where("id % 5 = 0").select("id")
+    with Scratch() as tables:
+        by = [{r.id: r.shingles for r in minhash.full_sets(texts, need, tables, n).join(need, "id").collect()} for n in (1, 1000)]
+    assert by[0] == by[1] and len(by[0]) == 10
+
+
+def test_word_hashes_do_not_depend_on_parts(monkeypatch):
+    import pyarrow as pa
+
+    giant = "Q" * 9000
+    text = " ".join([f"word{i}" for i in range(3000)] + [giant, "and", "more", giant + "x"] + [f"w{i}" for i in range(3000)])
+    whole = list(minhash.sets_of(pa.array([text, "a b"])))
+    monkeypatch.setattr(minhash, "CHUNK", 5000)
+    parts = list(minhash.sets_of(pa.array([text, "a b", "", None])))
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all() and len(whole[0]) == len(brute.shingles(text)) and len(parts) == 4
+
+
 def test_shingles_equal_plain_sets():
     import pyarrow as pa
 
