@@ -5,8 +5,9 @@ document's own most frequent n-grams are compared with every profile by out-of-p
 in rank, and a fixed penalty for an n-gram that a profile lacks. The nearest language wins.
 
 Defined results: a null text, or one without a letter, is `und` with score 0, as is every text if nothing was learned.
-Ties of frequency go to the smaller n-gram, of distance to the language first in order. Repeated rows, null ids and
-other columns make no difference; whole texts are read.
+A letter is what str.isalpha takes for one. Ties of frequency go to the smaller n-gram, of distance to the language
+first in order. Repeated rows, null ids and other columns make no difference; whole texts are read; an empty table
+gives an empty result. The model holds PROFILE n-grams for each learned value of lang.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from .common import held_out
 PROFILE = 400
 #: Most labelled documents of a language that its profile is counted on.
 FIT_ROWS = 3000
-WORDS = re.compile(r"[^\W\d_]+")
+#: Word characters that are numbers but not digits, such as superscripts and fractions.
+NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORDS = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
 UNDETERMINED = "und"
 
 

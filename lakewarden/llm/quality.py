@@ -28,7 +28,7 @@ from .common import Recent, held_out
 
 FIT_ROWS = 4000
 BUCKETS = 1024
-CACHE_ROWS = 100_000
+CACHE_ROWS = 40_000
 GOOD, BAD, ABSTAIN = 2, 1, 0
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 DIGIT, SPACE = bytes(range(48, 58)), bytes([32, *range(9, 14)])
@@ -87,7 +87,7 @@ def shape_bucket(word: str) -> int:
         shape = word
         for pattern, sign in SHAPES:
             shape = pattern.sub(sign, shape)
-        found = zlib.crc32(f"shape {shape[:24]}".encode()) % BUCKETS
+        found = zlib.crc32(f"shape {shape}".encode()) % BUCKETS
         if len(word) <= 64:
             _shape_of.keep(word, found)
     return found
@@ -112,14 +112,15 @@ def hashed(text: str, m: dict[str, float]) -> np.ndarray:
 def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, np.ndarray]:
     """Share of good documents, and rates [labeller, class, vote] with class 1 for good, from counted vote patterns.
 
-    The classes are told apart by where it starts: good documents get good votes. Votes count as independent within a
+    Abstaining is a vote like the others, in either step: that a labeller of one fault is silent tells a little. The
+    classes are told apart by where it starts: good documents get good votes. Votes count as independent within a
     class; a rate has a weak prior of honest voting.
     """
     v = np.array([p for p, _ in patterns])
     n = np.array([c for _, c in patterns], float)
     k = v.shape[1]
     prior = np.array([[1.0, 2.0, 0.5], [1.0, 0.5, 2.0]])
-    rates = np.tile(np.array([[0.3, 0.5, 0.2], [0.2, 0.1, 0.7]]), (k, 1, 1))
+    rates = np.tile(np.array([[0.3, 0.5, 0.2], [0.3, 0.1, 0.6]]), (k, 1, 1))
     good = 0.8
     for _ in range(rounds):
         q = posterior(v, good, rates)
@@ -135,9 +136,8 @@ def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds
 
 
 def posterior(v: np.ndarray, good: float, rates: np.ndarray) -> np.ndarray:
-    """Probability of good for each row of votes; abstaining tells nothing."""
-    log = np.log(rates).copy()
-    log[:, :, ABSTAIN] = 0.0
+    """Probability of good for each row of votes."""
+    log = np.log(rates)
     each = log[np.arange(v.shape[1])[None, :], :, v].sum(axis=1)
     odds = math.log(good) - math.log(1 - good) + each[:, 1] - each[:, 0]
     return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))

@@ -8,7 +8,8 @@ these sums gives the score.
 
 Defined results: null and empty texts get the score of a text without hits. Labels that are null or of null ids teach
 nothing; of repeated labels of an id the greatest holds. Repeated rows are scored row by row; without any toxic label
-every score is 0. Whole texts are scored; columns other than the text never enter a score.
+every score is 0. Whole texts are scored; columns other than the text never enter a score. Ties need no rule, for a
+word takes the greatest weight of the terms near it. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import Recent, held_out
 
-#: Most labelled documents that are fitted on, and most terms of the lexicon.
-FIT_ROWS, LEXICON_ROWS = 20_000, 5000
+#: Most labelled documents that are fitted on; as a term is in some share of them, this bounds the lexicon too.
+FIT_ROWS = 20_000
 #: A term is in at least so many toxic documents and this share of them, with at least this log-odds ratio.
 LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 4, 0.004, 3.0
 #: Shortest word that may match with one edit.
@@ -36,7 +37,7 @@ WORDS = re.compile(r"[^\W\d_](?:[^\W_]|[*@$](?=[^\W_]))*")
 QUOTES = re.compile("[\"“”„«»]")
 REPORTING = frozenset("said says say called calls wrote word words term terms quote quoted quotes reported reports accused alleged dit écrit mot mots cité sagte wort wörter zitat dijo palabra palabras cita".split())
 ADDRESS = frozenset("you your yours ur are is du dich dein bist ist tu toi vous es est eres tú usted".split())
-CACHE_ROWS = 150_000
+CACHE_ROWS = 60_000
 FEATURES = 6
 
 
@@ -195,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
         return ToxicityModel({}, [0.0] * (FEATURES + 1))
     odds = F.log((F.col("t") + 0.5) / (whole.t - F.col("t") + 0.5)) - F.log((F.col("n") + 0.5) / (whole.n - F.col("n") + 0.5))
     top = counts.where((F.col("term") != "") & (F.col("t") >= LEAST_SHARE * whole.t)).withColumn("w", odds).where(F.col("w") >= LEAST_ODDS)
-    terms = {r.term: r.w for r in top.orderBy(F.desc("w"), "term").limit(LEXICON_ROWS).collect()}
+    terms = {r.term: r.w for r in top.orderBy(F.desc("w"), "term").collect()}
     counts.unpersist()
     if not terms:
         return ToxicityModel({}, [0.0] * (FEATURES + 1))

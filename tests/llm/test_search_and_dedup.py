@@ -41,8 +41,8 @@ def odd_vectors():
 
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(topk, "BLOCK_ROWS", 37)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 2)
+    for name, n in (("BLOCK_ROWS", 37), ("QUERY_ROWS", 2), ("LEAST_ROWS", 20), ("LEAST_QUERIES", 1)):
+        monkeypatch.setattr(topk, name, n)
     rows = odd_vectors()
     good = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v, _ in rows if i is not None and v and None not in v and np.isfinite(np.array(v, float)).all()]
     want = {}
@@ -55,12 +55,26 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert topk.top_k(vectors(spark, rows).where("false")).count() == 0
 
 
+def test_top_k_takes_large_components_and_every_row_of_an_id(spark):
+    rows = [(50, [5000.0, 1.0, -2.0]), (50, [1.0, -70000.5, 3.0]), (51, [1e6, 1e6, -1e6]), (52, [-4096.0, 3.0, 1e7]), (53, [0.5, 0.25, 0.0]), (50, [1.0, -70000.5, 3.0]), (100, [1e5, -1e5, 7.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [[int(np.floor(256 * x)) for x in v] for _, v in rows]
+    want = []
+    for a, (q, _) in enumerate(rows):
+        if q % 50 == 0:
+            found = sorted((-sum(x * y for x, y in zip(whole[a], whole[b], strict=True)), rows[b][0]) for b in range(len(rows)) if b != a)[:5]
+            want += [(q, k, i, -s) for k, (s, i) in enumerate(found, 1)]
+    assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(want)
+
+
 def test_embedding_links_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embdedup, "BLOCK", 11)
     monkeypatch.setattr(embdedup, "PIVOT_ROWS", 8)
     rows = odd_vectors()
     good = {i: (np.array(v, float), lab) for i, v, lab in rows if i is not None and lab is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and np.any(np.array(v) != 0)}
-    links = [(a, b) for a in good for b in good if a != b and good[a][1] == good[b][1] and len(good[a][0]) == len(good[b][0]) and good[a][0] @ good[b][0] / np.linalg.norm(good[a][0]) / np.linalg.norm(good[b][0]) >= 0.93 - 1e-12]
+    links = [(a, b) for a in good for b in good if a != b and good[a][1] == good[b][1] and len(good[a][0]) == len(good[b][0]) and good[a][0] @ good[b][0] / np.linalg.norm(good[a][0]) / np.linalg.norm(good[b][0]) >= 0.93]
+    cosines = [good[a][0] @ good[b][0] / np.linalg.norm(good[a][0]) / np.linalg.norm(good[b][0]) for a in good for b in good if len(good[a][0]) == len(good[b][0])]
+    assert min(abs(c - 0.93) for c in cosines) > 1e-9  # no borderline pairs
     comp = brute.components([r[0] for r in rows if r[0] is not None], links)
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embdedup.link_vectors(vectors(spark, rows)).collect()}
     assert got.pop(None) == (0, None, True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakewarden.llm import langid, packing, piece, quality, queries, toxicity
 from lakewarden.llm.common import crc_held_out
 
-ODD = ["", None, " ", "\n\n", "a", "  two  spaces ", "tab\tand\nline", "é💥 ñ ß İ Σ", "▁▁x ▁", "word " * 30_000, "x" * 70_000, "1 2 3", "<|endoftext|> it's", "-- !!"]
+ODD = ["", None, " ", "\n\n", "a", "  two  spaces ", "tab\tand\nline", "é💥 ñ ß İ Σ", "▁▁x ▁", "word " * 30_000, "x" * 70_000, "1 2 3", "<|endoftext|> it's", "-- !!", "² ½ Ⅷ", "x² ½a"]
 
 
 def odd(spark, *more):
@@ -92,12 +92,11 @@ def test_packing_balances_cost():
 
 def plain_language(texts_by_lang, text):
     """Out-of-place distances with dictionaries."""
-    import re
     from collections import Counter
 
     def ranks(text):
         c = Counter()
-        for w in re.findall(r"[^\W\d_]+", text.lower()):
+        for w in "".join(ch if ch.isalpha() else " " for ch in text.lower()).split():
             c.update(w)
             e = f" {w} "
             c.update(e[i : i + 2] for i in range(len(e) - 1))
@@ -134,6 +133,7 @@ def test_language_equals_plain_version(spark, docs):
     model = langid.fit(docs)
     got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
     assert all(got[r.doc_id].lang_pred == plain_language(learn, r.text) for r in rows[:60])
+    assert langid.WORDS.findall("x² ½a Ⅷ é_ß") == ["x", "a", "é", "ß"]
     held = [r for r in rows if crc_held_out(r.doc_id)]
     assert sum(got[r.doc_id].lang_pred == r.lang for r in held) >= 0.95 * len(held) and all(got[r.doc_id].held_out for r in held)
     strange, odd_rows = odd(spark)
@@ -177,6 +177,47 @@ def test_quoted_terms_count_less():
     assert abuse[0] > 0 and abuse[3] > 0 and quoted[0] == 0 and quoted[2] > 0 and toxicity.features(trie, "fine") is None
 
 
+def plain_toxicity(terms, text):
+    """Sums over hits by comparing every word with every term."""
+    import math
+
+    low = text.lower()
+    words = [(m.group(), m.start()) for m in toxicity.WORDS.finditer(low)]
+    marks = [m.start() for m in toxicity.QUOTES.finditer(low)]
+    exact = fuzzy = quoted = addressed = top = 0.0
+    for i, (w, at) in enumerate(words):
+        weight = terms.get(w, 0.0)
+        misspelled = not weight and len(w) >= toxicity.FUZZY_LENGTH
+        if misspelled:
+            weight = max((v for t, v in terms.items() if plain_distance(w, t) <= 1), default=0.0)
+        if weight <= 0:
+            continue
+        before = sum(m < at for m in marks)
+        if (before % 2 and before < len(marks)) or any(x in toxicity.REPORTING for x, _ in words[max(0, i - toxicity.WINDOW) : i]):
+            quoted += weight
+        elif misspelled:
+            fuzzy += weight
+        else:
+            exact += weight
+            addressed += weight * any(x in toxicity.ADDRESS for x, _ in words[max(0, i - toxicity.WINDOW) : i + toxicity.WINDOW + 1])
+            top = max(top, weight)
+    return [math.log1p(exact), math.log1p(fuzzy), math.log1p(quoted), math.log1p(addressed), top / 10, (exact + fuzzy) / max(1, len(words))]
+
+
+def test_toxicity_equals_plain_version(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.join(labels.orderBy(F.desc("toxic"), "doc_id").limit(60), "doc_id", "left_semi").collect()}
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    hits = 0
+    for i, text in texts.items():
+        x = plain_toxicity(model.terms, text)
+        hits += any(x)
+        assert abs(got[i] - 1 / (1 + np.exp(-np.clip(model.weights[0] + np.dot(model.weights[1:], x), -30, 30)))) < 1e-9
+    assert hits > 20
+    assert toxicity.score(docs.where("false"), toxicity.fit(docs.where("false"), labels)).count() == 0
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
@@ -203,6 +244,35 @@ def test_quality_follows_the_labels_it_never_saw(spark):
     assert quality.score(docs.where("false"), quality.fit(docs.where("false"))).count() == 0
 
 
+def test_quality_equals_plain_version(spark):
+    """Scores from dictionaries of shapes, and posteriors by Bayes' rule, for a fitted model."""
+    import math
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.fit(docs)
+    rows = docs.select("doc_id", "text").collect()[:80] + [(10**6, "A1-" * 30 + "x " + "A1-" * 30 + "yZ9")]
+    df = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.score(df, model).collect()}
+    for i, text in rows:
+        m, words = quality.measures(text), text.split()
+        share = defaultdict(float)
+        for w in words:
+            shape = w
+            for pattern, sign in quality.SHAPES:
+                shape = pattern.sub(sign, shape)
+            share[zlib.crc32(f"shape {shape}".encode()) % quality.BUCKETS] += 1 / len(words)
+        x = defaultdict(float, {k: math.sqrt(v) for k, v in share.items()})
+        for name, value in m.items():
+            level = int(10 * math.log2(1 + value)) if name in ("words", "length") else int(10 * value)
+            x[zlib.crc32(f"{name} {level}".encode()) % quality.BUCKETS] += 0.5
+        z = model.bias + sum(model.weights[k] * v for k, v in x.items())
+        assert abs(got[i].score - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+        good, bad = model.good, 1 - model.good
+        for j, (_, vote) in enumerate(quality.LABELLERS):
+            good, bad = good * model.rates[j, 1, vote(m)], bad * model.rates[j, 0, vote(m)]
+        assert abs(got[i].posterior - good / (good + bad)) < 1e-6
+
+
 def test_expectation_maximisation_finds_the_rates():
     rng = np.random.default_rng(3)
     good = rng.random(20_000) < 0.7
