@@ -69,3 +69,57 @@ def entities(text):
         "card": [m.span() for m in CARD.finditer(text) if 16 <= len(only(m)) <= 19 and luhn(only(m))],
         "phone": [m.span() for m in PHONE.finditer(text) if 8 <= len(only(m)) <= 15],
     }
+
+
+def identifiers(texts, kinds=("email", "ip", "card", "phone"), rounds=3, support=8, confident=0.6):
+    """{position of a text: [(start, end)]} of identifiers found by the bootstrap, with plain dictionaries."""
+    slots = []
+    for nth, text in enumerate(texts):
+        text = text or ""
+        words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\s]+", text, re.ASCII)]
+        spans = [x for k in kinds for x in entities(text)[k]]
+        tries = [m.span() for m in re.finditer(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}|(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}(?![ -]?[0-9])", text)]
+        over = lambda w, found: any(a < w[2] and b > w[1] for a, b in found)
+        hit = [over(w, spans) for w in words]
+        for i, (w, at, _) in enumerate(words):
+            if not hit[i] and not re.search("[0-9]", w):
+                continue
+            get = lambda j: words[j][0].lower() if 0 <= j < len(words) else None
+            l1, r1 = (None if hit[i] and 0 <= j < len(words) and hit[j] else get(j) for j in (i - 1, i + 1))
+            around = [("l", l1), ("r", r1), ("ll", l1 and get(i - 2), l1), ("rr", r1, r1 and get(i + 2)), ("lr", l1, r1)]
+            core = re.sub(r"^[\W_]+|[\W_]+$", "", w)
+            start = at + len(re.match(r"[\W_]*", w).group())
+            failed = over(words[i], [t for t in tries if t not in spans])
+            like = not hit[i] and len(core) >= 8 and len(re.sub("[^0-9]", "", core)) >= 4 and (not failed or any(c.isalpha() for c in core))
+            slots.append((nth, start, start + len(core), core, hit[i], like, [p for p in around if None not in p]))
+    edges = defaultdict(int)
+    seeds, like = set(), set()
+    for _, _, _, core, seed, ok, around in slots:
+        for p in around:
+            edges[p, core] += 1
+            if seed:
+                seeds.add(core)
+            if ok:
+                like.add(core)
+    score = {c: float(c in seeds) for _, c in edges}
+    for k in range(rounds):
+        total, good, sure = defaultdict(int), defaultdict(float), defaultdict(int)
+        for (p, c), n in edges.items():
+            total[p] += n
+            good[p] += n * score[c]
+            sure[p] += n * (score[c] == 1)
+        value = {p: good[p] / total[p] for p in total if sure[p] > 0}
+        trusted = {p for p, v in value.items() if sure[p] >= support and v >= confident}
+        fresh, number = defaultdict(float), defaultdict(int)
+        known = set(seeds)
+        for (p, c), n in edges.items():
+            fresh[c] += n * value.get(p, 0.0)
+            number[c] += n
+            if p in trusted and c in like:
+                known.add(c)
+        score = {c: 1.0 if c in known else min(0.999, fresh[c] / number[c]) for c in score}
+    out = defaultdict(set)
+    for nth, s, e, _, _, ok, around in slots:
+        if ok and any(p in trusted for p in around):
+            out[nth].add((s, e))
+    return {k: sorted(v) for k, v in out.items()}

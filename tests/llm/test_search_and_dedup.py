@@ -243,6 +243,39 @@ def test_bootstrap_finds_identifiers_in_the_contexts_of_seeds(spark):
     assert red[0] == "some words then account [EMAIL] and more" and red[30] == "some words then account [ID] and more" and red[100] == rows[32][1]
 
 
+def test_bootstrap_equals_plain_version(spark):
+    rnd = random.Random(2)
+    rows = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(120).collect()]
+    for i in range(60):
+        rows.append(rnd.choice(["please write to {} soon", "member no {} of the club", "({}) ticket ref", "order {} was sent"]).format(rnd.choice([f"u{i}@mail.org", f"10.0.{i}.7", f"ZX-{i}-{7000 + i}", f"{i}88-11-22{i}", "4111 1111 1111 1111", "4111111111111112"])))
+    rows += ["x" * 500 + " write to AB-1234-5678 soon", "", None, "member no QQ-9999-1111 of the club"]
+    got = {r.doc_id: r.spans for r in pii.find_entities(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    want = brute.identifiers(rows)
+    assert sum(map(len, want.values())) > 10
+    for i in range(len(rows)):
+        assert [p for p in got[i].split(",") if p.startswith("id:")] == [f"id:{a}:{b}" for a, b in want.get(i, [])], rows[i][:200]
+
+
+def test_found_identifiers_seed_later_rounds(spark):
+    rows = [(i, f"reach user at {k} ok") for i, k in enumerate([f"u{i}@mail.org" for i in range(20)] + [f"KX-{1000 + i}-22" for i in range(12)])]
+    rows += [(100 + i, f"badge code {f'KX-{1000 + i}-22' if i < 12 else f'MM-{5000 + i}-33'} here") for i in range(15)]
+    got = {r.doc_id: r.spans for r in pii.find_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == "id:14:24" for i in range(20, 32)) and all(got[i] == "id:11:21" for i in range(100, 115))
+
+
+def test_personal_data_of_long_texts(spark):
+    import time
+
+    many = "💥 " + " ".join(f"{i % 250}.1.1.1" if i % 2 else f"a{i}@b.org," for i in range(4000)) + " end"
+    rows = [(1, " ".join(str(i) for i in range(200_000))), (2, many), (3, "w" * 300 + " " + "y" * 50 + " 1.2.3.4")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    began = time.time()
+    got = {r.doc_id: r for r in pii.find_entities(df).collect()}
+    assert time.time() - began < 60 and got[2].n_email == got[2].n_ip == 2000 and got[3].spans == "ip:352:359"
+    red = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert red[2] == "💥 " + " ".join("[IP]" if i % 2 else "[EMAIL]," for i in range(4000)) + " end" and red[1] == rows[0][1]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
 
