@@ -207,38 +207,55 @@ def id_filter(ids: DataFrame, count: int) -> np.ndarray:
     return out
 
 
-def full_sets(texts: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int = FILTER_IDS) -> DataFrame:
-    """(id, shingles) of the rows of texts (id, text) whose id is in need, and of a few more.
+def _picked(rows: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int) -> tuple[DataFrame, np.ndarray]:
+    """rows (id, ...) with FILTER_HASHES places, last, in a filter of the ids in need, and that filter.
 
-    A filter of the ids goes to the tasks that read the texts, so no text is shuffled; it has at most 64 MB. Where
-    there are more ids than fit in that, the texts are joined with them.
+    Where there are more ids than a filter of 64 MB serves, rows are joined with them, and the filter lets all through.
     """
     need = tables.write(need.distinct())
     count = need.count()
     if count > filter_ids:
-        found = texts.join(need, "id", "left_semi").select("id", "text", *(F.lit(0).cast("long").alias(f"p{k}") for k in range(FILTER_HASHES)))
-        words = np.full(1, 1, U)
-    else:
-        words = id_filter(need, count)
-        found = texts.select("id", "text", *(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(64 * len(words))).alias(f"p{k}") for k in range(FILTER_HASHES)))
+        zeros = [F.lit(0).cast("long").alias(f"p{k}") for k in range(FILTER_HASHES)]
+        return rows.join(need, "id", "left_semi").select(*rows.columns, *zeros), np.full(1, 1, U)
+    words = id_filter(need, count)
+    return rows.select("*", *(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(64 * len(words))).alias(f"p{k}") for k in range(FILTER_HASHES))), words
+
+
+def _there(batch: pa.RecordBatch, words: np.ndarray) -> pa.RecordBatch:
+    """The rows of a batch whose last columns are places that the filter has."""
+    found = np.ones(batch.num_rows, bool)
+    for column in batch.columns[-FILTER_HASHES:]:
+        p = column.to_numpy(zero_copy_only=False).astype(U)
+        found &= (words[p >> U(6)] >> (p & U(63)) & U(1)).astype(bool)
+    return batch.filter(pa.array(found))
+
+
+def some_signatures(sigs: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int = FILTER_IDS) -> DataFrame:
+    """(id, sig) of the ids in need, and a few more: a join with need then shuffles little else."""
+    rows, words = _picked(sigs.select("id", "sig"), need, tables, filter_ids)
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(_there(batch, words).columns[:2], ["id", "sig"])
+
+    return rows.mapInArrow(run, "id long, sig binary")
+
+
+def full_sets(texts: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int = FILTER_IDS) -> DataFrame:
+    """(id, shingles) of the rows of texts (id, text) whose id is in need, and of a few more; no text is shuffled."""
+    rows, words = _picked(texts.select("id", "text"), need, tables, filter_ids)
 
     def run(batches):
         for batch in batches:
-            there = np.ones(batch.num_rows, bool)
-            for k in range(FILTER_HASHES):
-                p = batch.column(2 + k).to_numpy(zero_copy_only=False).astype(U)
-                there &= (words[p >> U(6)] >> (p & U(63)) & U(1)).astype(bool)
             at, size = 0, 256  # sets of so many texts leave at a time
-            batch = batch.filter(pa.array(there))
+            batch = _there(batch, words)
             while at < batch.num_rows:
                 part = batch.slice(at, size)
-                rows = [s.astype(np.int64) for s in sets_of(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int64()))], ["id", "shingles"])
+                sets = [s.astype(np.int64) for s in sets_of(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
                 at += size
 
-    out = tables.write(found.mapInArrow(run, "id long, shingles array<long>"))
-    tables.drop(need)
-    return out
+    return tables.write(rows.mapInArrow(run, "id long, shingles array<long>"))
 
 
 def fits(n: np.ndarray, m: int, percent: int) -> np.ndarray:
@@ -435,22 +452,25 @@ def link_sets(texts: DataFrame, percent: int, tables: Scratch, region: int = REG
     first, compared = forest_regions(signed_sets, reps, tables, region)
     sigs = signed.select("id", "sig")
 
-    order = first.where(F.col("tree") < ORDERS).join(sigs, "id")
+    order = first.where(F.col("tree") < ORDERS)
+    order = order.join(some_signatures(sigs, order.select("id"), tables), "id")
     sorted_ = order.repartitionByRange(tasks, "region", "key", "id").sortWithinPartitions("region", "key", "id").select("region", "id", "n", "sig")
     pairs = tables.write(sorted_.mapInArrow(_neighbours(percent), "a long, b long").where("a <> b").distinct())
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    sets = full_sets(texts, ends, tables).dropDuplicates(["id"])
-    links = tables.write(near_pairs(pairs, sets, percent))
+    sets = full_sets(texts, ends, tables)
+    links = tables.write(near_pairs(pairs, sets if unique else sets.dropDuplicates(["id"]), percent))
+    tables.drop(sets)
     groups = tables.adopt(connected_components(links))
 
     parts = groups.select(F.col("node").alias("id"), F.col("component").alias("c"))
     placed = compared.join(parts, "id", "left").withColumn("c", F.coalesce("c", "id"))
-    blocks = in_blocks(placed).join(sigs, "id").select(*SIDED, "sig").repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j")
+    blocks = tables.write(in_blocks(placed))
+    blocks = blocks.join(some_signatures(sigs, blocks.select("id"), tables), "id").select(*SIDED, "sig").repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j")
     kinds = "region binary, i int, j int, tree int, depth int, l boolean, r boolean, id long, n long, c long, mask long"
     rest = tables.write(blocks.mapInArrow(_undecided(percent), kinds))
     if rest.take(1):
-        sets = full_sets(texts, rest.select("id"), tables).dropDuplicates(["id"])
-        blocks = rest.join(sigs, "id").join(sets, "id").select(*SIDED, "sig", "shingles").repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j")
+        sets = full_sets(texts, rest.select("id"), tables)
+        blocks = rest.join(some_signatures(sigs, rest.select("id"), tables), "id").join(sets if unique else sets.dropDuplicates(["id"]), "id").select(*SIDED, "sig", "shingles").repartition(tasks, "region", "i", "j").sortWithinPartitions("region", "i", "j")
         late = tables.write(blocks.mapInArrow(_linked(percent), "a long, b long"))
         if late.take(1):
             groups = tables.adopt(connected_components(links.union(late)))
