@@ -25,15 +25,21 @@ from .common import held_out
 PROFILE = 400
 #: Most labelled documents of a language that its profile is counted on.
 FIT_ROWS = 3000
-#: Word characters that are numbers but not digits, such as superscripts and fractions.
-NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORDS = re.compile(rf"[^\W\d_{re.escape(NUMBERS)}]+")
+WORDS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 
 
+def letter_words(text: str) -> list[str]:
+    """Runs of letters; numbers that are not digits, such as superscripts and fractions, part them too."""
+    words = WORDS.findall(text)
+    if not words or "".join(words).isalpha():
+        return words
+    return [p for w in words for p in "".join([c if c.isalpha() else " " for c in w]).split()]
+
+
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text as integers, ascending, and their counts; empty without a letter."""
-    words = WORDS.findall(text.lower())
+    words = letter_words(text.lower())
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     codes = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le"), np.uint32).astype(np.uint64)
