@@ -64,6 +64,16 @@ def bytes_text(n: Column) -> Column:
     return out
 
 
+def thousands(n: Column) -> Column:
+    """A whole number with a comma between its thousands."""
+    return F.format_number(n, 0)
+
+
+def eta_text(seconds: Column) -> Column:
+    """`~Xs` below 90 seconds, `~Xm` below 90 minutes, else `~X.Xh`."""
+    return F.when(seconds < 90, F.format_string("~%.0fs", seconds)).when(seconds < 5400, F.format_string("~%.0fm", seconds / 60)).otherwise(F.format_string("~%.1fh", seconds / 3600))
+
+
 def svcb_params(params: Column) -> Column:
     """`key=hex` pairs joined with spaces, from array<struct<key, value: binary>>."""
     return F.array_join(F.transform(params, lambda p: F.concat(p["key"], F.lit("="), F.lower(F.hex(p["value"])))), " ")

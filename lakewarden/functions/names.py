@@ -143,21 +143,24 @@ def suffix_rules() -> SuffixRules:
         return SuffixRules(z.read("mozilla/public-suffix-list.txt").decode())
 
 
-def _by_rules(name: Column, rules: SuffixRules | None, part: str) -> Column:
+def suffix_parts(name: Column, rules: SuffixRules | None = None) -> Column:
+    """struct(suffix, registrable) of a name; each distinct name of a batch is looked up once."""
     own = rules or suffix_rules()
 
-    def find(values: pd.Series) -> pd.Series:
-        return values.map(lambda x: None if x is None else getattr(own, part)(x))
+    def find(values: pd.Series) -> pd.DataFrame:
+        codes, names = pd.factorize(values)
+        found = [(own.suffix(x), own.registrable(x)) for x in names]
+        return pd.DataFrame([*found, (None, None)], columns=["suffix", "registrable"]).take(codes).reset_index(drop=True)  # null has code -1
 
-    return F.pandas_udf(find, T.StringType())(name)
+    return F.pandas_udf(find, T.StructType().add("suffix", "string").add("registrable", "string"))(name)
 
 
 def public_suffix(name: Column, rules: SuffixRules | None = None) -> Column:
-    return _by_rules(name, rules, "suffix")
+    return suffix_parts(name, rules)["suffix"]
 
 
 def registrable_or_null(name: Column, rules: SuffixRules | None = None) -> Column:
-    return _by_rules(name, rules, "registrable")
+    return suffix_parts(name, rules)["registrable"]
 
 
 def registrable_domain(c: Column) -> Column:

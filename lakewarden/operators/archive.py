@@ -61,6 +61,17 @@ def with_subjects(entries: DataFrame) -> DataFrame:
     return entries.mapInPandas(run, schema).withColumn("subject", certificate(F.col("certificate")))
 
 
+#: Fixed value: rows of an error sample.
+ERROR_SAMPLE = 10
+
+
+def fetch_errors(fetched: DataFrame) -> DataFrame:
+    """(fingerprint, reason): a sample of fetched certificates that are missing or not true to their address."""
+    true = F.col("fingerprint") == F.unhex(F.sha2("der", 256))
+    reason = F.when(F.col("der").isNull(), "nothing fetched").otherwise("hash differs from address")
+    return fetched.where(~F.coalesce(true, F.lit(False))).select("fingerprint", reason.alias("reason")).orderBy("fingerprint").limit(ERROR_SAMPLE)
+
+
 def resolve_issuers(entries: DataFrame, stored: DataFrame, fetched: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Counts of referenced, present and missing issuers, and the fetched ones to append: missing, and true to their address.
 

@@ -45,11 +45,13 @@ def duplicates(rows: DataFrame, key: str) -> DataFrame:
 def upsert_ids(known: DataFrame, incoming: DataFrame, key: str = "fingerprint", id_column: str = "ca_id") -> DataFrame:
     """known, and the new keys of incoming with ids that follow the greatest known one in order of key.
 
-    Ids never change once given. Keys are hashes in hex, so their first three characters cut them into even buckets of
-    the same order; each bucket is numbered by itself and only the buckets' counts, at most 4096, meet in one task.
+    Ids never change once given. Keys must be hashes in hex, which is checked: then their first three characters cut
+    them into even buckets of the same order; each bucket is numbered by itself and only the buckets' counts, at most
+    4096, meet in one task.
     """
     fresh = incoming.where(F.col(key).isNotNull()).join(known.select(key), key, "left_anti").dropDuplicates([key])
-    cut = fresh.withColumn("own_part", F.substring(key, 1, 3))
+    hexed = F.when(F.col(key).rlike("^[0-9a-fA-F]{8,}$"), F.col(key)).otherwise(F.raise_error(F.concat(F.lit("not a hash in hex: "), F.col(key))))
+    cut = fresh.withColumn("own_part", F.substring(hexed, 1, 3))
     numbered = cut.withColumn("own_at", F.row_number().over(Window.partitionBy("own_part").orderBy(key)))
     sizes = cut.groupBy("own_part").agg(F.count("*").alias("n"))
     before = sizes.withColumn("own_before", F.coalesce(F.sum("n").over(Window.orderBy("own_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
@@ -90,26 +92,54 @@ class MonthArchive:
     def keyed(rows: DataFrame) -> DataFrame:
         return rows.withColumn("cert_month", cert_month(F.col("not_before"))).withColumn("key", dedup_key(F.col("cert_hash"), F.col("tile_idx"), F.col("entry_idx")))
 
-    def flush(self, pool: DataFrame) -> None:
+    def refused(self) -> DataFrame | None:
+        """Rows that came without any key, each of them once."""
+        rows = self._read("refused")
+        return None if rows is None else rows.distinct()
+
+    def of_months(self, name: str, months: list[str]) -> DataFrame | None:
+        """The stored rows of some months; the condition on the partition column keeps the others unread."""
+        rows = self._read(name)
+        return None if rows is None else rows.where(F.col("cert_month").isin(months))
+
+    def flush(self, pool: DataFrame) -> int:
         """Append the pool's new rows month by month, then their keys; a repeated flush appends nothing.
 
-        Rows without any key would be appended again by a repeat, so they are refused.
+        Only the months of the pool are read. Rows without any key would be appended again by a repeat: they go to
+        `refused/`, and their number is returned.
         """
-        rows = self.keyed(pool)
-        seen = self.seen()
-        fresh = keep_first(rows.where("key is not null"), ["cert_month", "key"], ["id"])
+        rows = self.keyed(pool).persist()
+        try:
+            found = rows.groupBy("cert_month").agg(F.count("key").alias("keyed"), F.count("*").alias("n")).collect()  # a pool has few months
+            refused = sum(r.n - r.keyed for r in found)
+            if refused:
+                rows.where("key is null").drop("key").write.mode("append").partitionBy("cert_month").parquet(f"{self.path}/refused")
+            months = sorted(r.cert_month for r in found if r.keyed)
+            if months:
+                self._append(rows.where("key is not null"), months)
+            return refused
+        finally:
+            rows.unpersist()
+
+    def _append(self, rows: DataFrame, months: list[str]) -> None:
+        on = ["cert_month", "key"]
+        seen = self.of_months("seen", months)
+        fresh = keep_first(rows, on, ["id"])
         if seen is not None:
-            fresh = fresh.join(seen, ["cert_month", "key"], "left_anti")
+            fresh = fresh.join(seen, on, "left_anti")
         fresh.write.mode("append").partitionBy("cert_month").parquet(f"{self.path}/subjects")
         # keys go last: after a failure in between, the next flush appends rows again and seal takes them out
-        written = self.subjects().join(rows.select("cert_month", "key").distinct(), ["cert_month", "key"], "left_semi").select("cert_month", "key").distinct()
+        written = self.of_months("subjects", months).join(rows.select(*on).distinct(), on, "left_semi").select(*on).distinct()
         if seen is not None:
-            written = written.join(seen, ["cert_month", "key"], "left_anti")
+            written = written.join(seen, on, "left_anti")
         written.write.mode("append").partitionBy("cert_month").parquet(f"{self.path}/seen")
 
     def seal(self, months: list[str]) -> None:
         """Compact duplicate keys of some months, the lowest id wins, and write each month anew in order of name."""
-        out = keep_first(self.subjects().where(F.col("cert_month").isin(months)), ["cert_month", "key"], ["id"])
+        rows = self.of_months("subjects", months) if months else None
+        if rows is None or not rows.take(1):
+            return
+        out = keep_first(rows, ["cert_month", "key"], ["id"])
         staged = f"{self.path}/sealing"
         out.write.mode("overwrite").partitionBy("cert_month").parquet(staged)
         done = self.spark.read.parquet(staged).sortWithinPartitions("cert_month", "common_name")

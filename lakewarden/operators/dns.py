@@ -46,6 +46,12 @@ def feed(domains: DataFrame, staging: DataFrame, finished: DataFrame) -> DataFra
     return domains.join(done.select("domain"), "domain", "left_anti")
 
 
+def batch(domains: DataFrame, size: int) -> tuple[DataFrame, bool]:
+    """The first `size` domains in order, and whether more are waiting: the cap of a session is its feature."""
+    rows = domains.select("domain").distinct().orderBy("domain")
+    return rows.limit(size), rows.limit(size + 1).count() > size
+
+
 def run_stats(ledger: DataFrame) -> DataFrame:
     """Counts by status, and the percent of errors."""
     one = ledger.agg(F.count("*").alias("total"), *(F.count_if(F.col("status") == s).alias(s) for s in ("ok", "nxdomain", "timeout", "error")))

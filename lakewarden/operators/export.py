@@ -46,8 +46,8 @@ def parent_counts(subjects: DataFrame) -> DataFrame:
 def with_shards(counts: DataFrame, native: bool = False) -> DataFrame:
     """counts with tld and bucket; native takes the last two labels instead of the public-suffix rules."""
     d = F.col("domain")
-    reg, suffix = (names.last_two_labels(d), F.substring_index("domain", ".", -1)) if native else (names.registrable_or_null(d), names.public_suffix(d))
-    keyed = counts.withColumn("own_reg", reg).withColumn("own_suffix", suffix)
+    parts = F.struct(F.substring_index("domain", ".", -1).alias("suffix"), names.last_two_labels(d).alias("registrable")) if native else names.suffix_parts(d)
+    keyed = counts.withColumn("own_parts", parts).select("*", F.col("own_parts.registrable").alias("own_reg"), F.col("own_parts.suffix").alias("own_suffix")).drop("own_parts")
     return keyed.withColumn("own_key", names.export_shard(F.col("own_reg"), F.col("own_suffix"))).withColumn("tld", F.col("own_key.tld")).withColumn("bucket", F.col("own_key.bucket")).drop("own_key", "own_reg", "own_suffix")
 
 
@@ -61,6 +61,20 @@ def write_export(counts: DataFrame, path: str) -> None:
     counts.orderBy(F.desc("direct"), "domain").write.mode("overwrite").options(**tsv).csv(f"{path}/counts")
 
 
+def read_shards(spark, path: str, tld: str | None = None, bucket: str | None = None) -> DataFrame:
+    """(domain, direct, wildcard, tld, bucket) of written shards, of one if it is named; lines of another form are left out."""
+    rows = spark.read.schema("domain string, direct long, wildcard long, tld string, bucket string").option("sep", "\t").option("quote", "").option("mode", "DROPMALFORMED").csv(f"{path}/shards")
+    for column, value in (("tld", tld), ("bucket", bucket)):
+        rows = rows if value is None else rows.where(F.col(column) == value)
+    return rows.where("domain is not null and direct is not null and wildcard is not null")
+
+
+def shard_feed(spark, path: str, tld: str | None = None, bucket: str | None = None) -> DataFrame:
+    """(tld, bucket, domains) of the shards that a fetcher takes up, in a mixed but fixed order, so that no zone is asked alone."""
+    shards = read_shards(spark, path, tld, bucket).groupBy("tld", "bucket").agg(F.count("*").alias("domains"))
+    return shards.orderBy(F.xxhash64("tld", "bucket"))  # one row a shard
+
+
 def export_months(spark, subjects: DataFrame, path: str) -> DataFrame:
     """Partial counts of months not yet exported are written, one partition a month; returns all partials merged."""
     from ..functions.certs import cert_month
@@ -79,4 +93,4 @@ def export_months(spark, subjects: DataFrame, path: str) -> DataFrame:
     parts = parts.select("cert_month", names.normalize(names.strip_wildcard(low)).alias("domain"), names.is_wildcard_name(low).alias("w")).where("domain <> ''")
     parts = parts.groupBy("cert_month", "domain").agg(F.count_if(~F.col("w")).alias("direct"), F.count_if("w").alias("wildcard"))
     parts.write.mode("append").partitionBy("cert_month").parquet(f"{path}/partials")
-    return merge_counts(spark.read.parquet(f"{path}/partials"))
+    return merge_counts(spark.read.schema("domain string, direct long, wildcard long").parquet(f"{path}/partials"))

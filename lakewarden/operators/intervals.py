@@ -57,9 +57,11 @@ def coverage(merged: DataFrame, tree_size: int = 0) -> DataFrame:
 def day_runs(entries: DataFrame, index: str = "index", day: str = "day") -> DataFrame:
     """(first, last, day, n): contiguous indices of one day; a day that comes again later is a run of its own.
 
-    Within a day a run is what shares index minus rank, which needs no order across days.
+    Within a day and a bucket a run is what shares index minus rank; runs that meet at a bucket's edge are merged as
+    ranges of their day. Of an index with several days the first day counts.
     """
-    rank = Window.partitionBy("day").orderBy("i")
-    rows = entries.select(F.col(index).alias("i"), F.col(day).alias("day")).dropDuplicates(["i"])
+    rank = Window.partitionBy("day", "part").orderBy("i")
+    rows = entries.groupBy(F.col(index).alias("i")).agg(F.min(day).alias("day")).withColumn("part", F.floor(F.col("i") / BUCKET))
     rows = rows.withColumn("island", F.col("i") - F.row_number().over(rank))
-    return rows.groupBy("day", "island").agg(F.min("i").alias("first"), F.max("i").alias("last"), F.count("*").alias("n")).select("first", "last", "day", "n")
+    parts = rows.groupBy("day", "part", "island").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("end"))
+    return merge_ranges(parts, ("day",)).select(F.col("start").alias("first"), (F.col("end") - 1).alias("last"), "day", (F.col("end") - F.col("start")).alias("n"))

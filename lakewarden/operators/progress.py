@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 META = ("description", "submission_url", "monitoring_url", "protocol", "operator", "state")
@@ -41,9 +41,21 @@ def panel(runs: DataFrame) -> DataFrame:
 def shard_status(metrics: DataFrame) -> DataFrame:
     """Latest metrics of each shard (shard, at, done, status); only the running shard heard last is running, others are interrupted."""
     latest = metrics.groupBy("shard").agg(F.max_by(F.struct("at", "done", "status"), F.struct("at", "done")).alias("m")).select("shard", "m.*")
-    newest = Window.partitionBy("status").orderBy(F.desc("at"), "shard")  # one row a shard
-    status = F.when((F.col("status") == "running") & (F.row_number().over(newest) > 1), F.lit("interrupted")).otherwise(F.col("status"))
-    return latest.withColumn("status", status)
+    running = latest.where("status = 'running'").groupBy("at").agg(F.min("shard").alias("first")).agg(F.max_by("first", "at").alias("own_newest"))
+    status = F.when((F.col("status") == "running") & (F.col("shard") != F.col("own_newest")), F.lit("interrupted")).otherwise(F.col("status"))
+    return latest.join(F.broadcast(running)).withColumn("status", status).drop("own_newest")  # one row
+
+
+def run_states(runs: DataFrame, sessions: DataFrame, target: int = 0, key: str = "log_id") -> DataFrame:
+    """(log_id, session, cursor, tree_size, state, error) of an ingest: one of error, complete, caught_up and running.
+
+    sessions is (log_id, processed, tree_size, error): what each log has taken in this session, its tree's size and
+    what stopped it, if anything did. target is the session's cap of entries, 0 for none.
+    """
+    met = runs.select(key, F.col("next_entry_idx").alias("cursor")).join(sessions, key)
+    done = F.lit(target > 0) & (F.col("processed") >= target)
+    state = F.when(F.col("error").isNotNull(), "error").when(done, "complete").when(F.col("cursor") >= F.col("tree_size"), "caught_up").otherwise("running")
+    return met.select(key, F.col("processed").alias("session"), "cursor", "tree_size", state.alias("state"), "error")
 
 
 def last_metrics(lines: DataFrame) -> DataFrame:

@@ -52,6 +52,23 @@ def lookup_cidr(index: DataFrame, cidr: str, shards: list[str] | None = None) ->
     return rows.where(ipkey.in_cidr(F.col("ip"), cidr)).select("ip", "domain").distinct().orderBy("ip", "domain")
 
 
+def ip_shards_for(spark, path: str, cidr: str) -> list[str]:
+    """The shards of a written index that a CIDR overlaps, by its manifest of at most 512 bases."""
+    rows = spark.read.schema("base string, rows long, split boolean, width int").json(f"{path}/manifest").collect()
+    return shards_for(cidr, rows[0].width, {r.base for r in rows if r.split}) if rows else []
+
+
+def lookup_written_cidr(spark, path: str, cidr: str) -> DataFrame:
+    """lookup_cidr on a written index; only the shards that the manifest names are read."""
+    return lookup_cidr(spark.read.parquet(f"{path}/shards"), cidr, ip_shards_for(spark, path, cidr))
+
+
+def lookup_written_ip(spark, path: str, address: str) -> DataFrame:
+    """lookup_ip on a written index; only the address's shard is read."""
+    index = spark.read.parquet(f"{path}/shards")
+    return lookup_ip(index.where(F.col("shard").isin(ip_shards_for(spark, path, address))), address)
+
+
 def lookup_ip(index: DataFrame, address: str) -> DataFrame:
     """Names of one address, in order."""
     lo, _, _ = ipkey.cidr_bounds(address)
@@ -93,8 +110,12 @@ def san_classes(index: DataFrame, suffix: Column, dedicate_min: int = 0, split_m
     counts = counts.withColumn("class", F.when(bucketed, "bucketed").when(dedicated, "dedicated").otherwise("tail"))
     out = based.join(counts.select("suffix", "class"), "suffix")
     s, r = F.col("suffix"), F.col("reg_domain")
-    shard = F.when(F.col("class") == "bucketed", names.san_shard_name(s, names.label_bucket(r, s))).when(F.col("class") == "dedicated", names.san_shard_name(s, F.lit("all"))).otherwise(names.tail_shard_name(s))
-    return out.withColumn("shard", shard).drop("class"), counts
+    return out.withColumn("shard", _san_shard(F.col("class"), s, r)).drop("class"), counts
+
+
+def _san_shard(kind: Column, suffix: Column, reg: Column) -> Column:
+    bucketed = names.san_shard_name(suffix, names.label_bucket(reg, suffix))
+    return F.when(kind == "bucketed", bucketed).when(kind == "dedicated", names.san_shard_name(suffix, F.lit("all"))).otherwise(names.tail_shard_name(suffix))
 
 
 def write_san_index(index: DataFrame, path: str, suffix: Column, dedicate_min: int = 0, split_min: int = 0) -> None:
@@ -103,6 +124,26 @@ def write_san_index(index: DataFrame, path: str, suffix: Column, dedicate_min: i
     counts.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
+def san_shards_for(spark, path: str, name: str, rules: names.SuffixRules | None = None) -> list[str] | None:
+    """The shard of a written index that holds a name and all below it: none if the index lacks the suffix, None for all.
+
+    All shards may hold names below a name that is a public suffix itself.
+    """
+    own = rules or names.suffix_rules()
+    reg = own.registrable(name)
+    if reg is None:
+        return None
+    kinds = spark.read.schema("suffix string, rows long, class string").json(f"{path}/manifest").where(F.col("suffix") == own.suffix(name))
+    return [r.shard for r in kinds.select(_san_shard(F.col("class"), F.lit(own.suffix(name)), F.lit(reg)).alias("shard")).limit(1).collect()]
+
+
+def lookup_written_san(spark, path: str, name: str, any_depth: bool = False, rules: names.SuffixRules | None = None) -> DataFrame:
+    """lookup_san on a written index; the manifest says which shard is read."""
+    index = spark.read.parquet(f"{path}/shards")
+    shards = san_shards_for(spark, path, name, rules)
+    return lookup_san(index if shards is None else index.where(F.col("shard").isin(shards)), name, any_depth)
+
+
 def lookup_san(index: DataFrame, name: str, any_depth: bool = False) -> DataFrame:
     """Distinct (san_domain, is_wildcard, cert_id) at a name or, if it is registrable, under it; any_depth goes under any name."""
     at = (F.col("san_domain") == name) | (F.col("reg_domain") == name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +21,15 @@ def session(app: str = "lakewarden", master: str | None = None, **conf: str) ->
     for k, v in settings.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir; a temporary one only if all is local."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='lakewarden-')}"
+        sc.setCheckpointDir(found)
+    return found.rstrip("/")

@@ -145,12 +145,16 @@ def parse_leaves(pages: DataFrame) -> DataFrame:
     return pages.select("index", "leaf_input", "extra_data").mapInPandas(run, LEAF)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(index, leaf_input, extra_data) of captured get-entries pages, JSON files named by their first index."""
+def read_pages(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """(index, leaf_input, extra_data) of captured get-entries pages, JSON files named by their first index; first and
+    last cut the range, both included.
+    """
     schema = "entries array<struct<leaf_input: string, extra_data: string>>"
     pages = spark.read.schema(schema).option("wholetext", "true").option("multiLine", "true").json(path).withColumn("start", F.regexp_extract(F.input_file_name(), r"(\d+)[^/]*$", 1).try_cast("long"))
     rows = pages.select("start", F.posexplode("entries").alias("pos", "e"))
-    return rows.select((F.col("start") + F.col("pos")).alias("index"), F.unbase64("e.leaf_input").alias("leaf_input"), F.unbase64("e.extra_data").alias("extra_data"))
+    rows = rows.select((F.col("start") + F.col("pos")).alias("index"), F.unbase64("e.leaf_input").alias("leaf_input"), F.unbase64("e.extra_data").alias("extra_data"))
+    rows = rows if first is None else rows.where(F.col("index") >= first)
+    return rows if last is None else rows.where(F.col("index") <= last)
 
 
 def checkpoint_size(text):

@@ -60,6 +60,11 @@ def select_logs(logs: DataFrame, protocols=(), operators=(), excluded=(), descri
     return logs.where(F.contains("description", F.lit(description))) if description else logs
 
 
+def with_log(rows: DataFrame, logs: DataFrame, key: str = "log_id") -> DataFrame:
+    """rows with the catalogue's description, operator and protocol of their log; null where the catalogue has no such id."""
+    return rows.join(logs.select(F.col("log_id").alias(key), "description", "operator", "protocol").dropDuplicates([key]), key, "left")
+
+
 def cached(spark: SparkSession, path: str, max_age_seconds: float, refetch=None) -> DataFrame:
     """The snapshot if it is young enough, else what refetch gives; the old snapshot again if refetching fails."""
     import time

@@ -33,11 +33,16 @@ def fetch_metrics(lines: DataFrame) -> DataFrame:
 
 
 def shard_log_state(lines: DataFrame) -> DataFrame:
-    """(shard, status, total): the state that the last telling line (shard, line, value) gives, and the first feed's total."""
+    """(shard, status, total, done): the state that the last telling line (shard, line, value) gives, the first feed's
+    total that isn't 0, and what a completed shard says it has done.
+    """
     status = F.when(F.contains("value", F.lit("complete: total=")), "complete").when(F.contains("value", F.lit("finalized:")), "finalized").when(F.contains("value", F.lit("shutting down")), "interrupted")
     feed = F.when(F.col("value").rlike(FEED_LINE), _part(FEED_LINE, 1))
-    rows = lines.withColumn("s", status).withColumn("f", feed)
-    return rows.groupBy("shard").agg(F.coalesce(F.max_by("s", F.when(F.col("s").isNotNull(), F.col("line"))), F.lit("running")).alias("status"), F.min_by("f", F.when(F.col("f").isNotNull(), F.col("line"))).alias("total"))
+    complete = F.when(F.col("value").rlike(COMPLETE_LINE), _part(COMPLETE_LINE, 1))
+    rows = lines.withColumn("s", status).withColumn("f", feed).withColumn("d", complete)
+    first = F.min_by("f", F.when(F.col("f") > 0, F.col("line")))
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line")))
+    return rows.groupBy("shard").agg(F.coalesce(last("s"), F.lit("running")).alias("status"), first.alias("total"), last("d").alias("done"))
 
 
 def runner_entries(lines: DataFrame) -> DataFrame:

@@ -34,6 +34,37 @@ def start_ingest(rows: DataFrame, archive: MonthArchive, checkpoint: str, every:
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+def leaf_subjects(pages: DataFrame, issuers: DataFrame | None = None) -> DataFrame:
+    """Subject rows of captured get-entries rows (log_id, index, leaf_input, extra_data), read inside the stream's tasks."""
+    from ..sources.leaves import parse_leaves, subjects_of
+
+    leaves = parse_leaves(pages)
+    return subjects_of(leaves, issuers)
+
+
+def start_logs(pages: DataFrame, archive: MonthArchive, runs_path: str, runs: DataFrame, checkpoint: str, every: str | None = None):
+    """Stream captured rows (log_id, index, leaf_input, extra_data) of many logs into the archive.
+
+    After a micro-batch is in the archive each log's cursor moves behind its greatest index and is written as version
+    `runs_path/v<batch>`; a batch that runs again writes the same version. So delivery is at least once, as the sink
+    takes it, and cursors never run ahead of the data. `runs` are the rows to start from.
+    """
+    from ..operators.progress import advance
+
+    spark = runs.sparkSession
+
+    def take(batch: DataFrame, nth: int) -> None:
+        batch = batch.persist()
+        archive.flush(leaf_subjects(batch))
+        before = runs if nth == 0 else spark.read.schema(runs.schema).parquet(f"{runs_path}/v{nth - 1}")
+        steps = batch.groupBy("log_id").agg((F.max("index") + 1).alias("next_entry_idx"), F.count("*").alias("processed"), F.lit(None).cast("long").alias("tree_size"))
+        advance(before, steps).write.mode("overwrite").parquet(f"{runs_path}/v{nth}")
+        batch.unpersist()
+
+    writer = pages.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
 def rollup(events: DataFrame, time: str = "ts", window: str = "1 day", delay: str = "1 day") -> DataFrame:
     """Tumbling counts over event time, closed when the watermark passes."""
     return events.withWatermark(time, delay).groupBy(F.window(time, window).alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakewarden.operators import chains, dedup, dns, export, intervals, progress, reverse
@@ -38,9 +39,22 @@ def test_legacy_key_and_months(spark, tmp_path):
 
 
 def test_upsert_never_renumbers(spark):
-    known = spark.createDataFrame([("m", 1), ("z", 2)], "fingerprint string, ca_id long")
-    out = dedup.upsert_ids(known, spark.createDataFrame([("b",), ("a",), ("m",), ("a",), (None,)], "fingerprint string"))
-    assert sorted(map(tuple, out.collect())) == [("a", 3), ("b", 4), ("m", 1), ("z", 2)]
+    a, b, m, z = (c * 8 for c in "abcf")
+    known = spark.createDataFrame([(m, 1), (z, 2)], "fingerprint string, ca_id long")
+    out = dedup.upsert_ids(known, spark.createDataFrame([(b,), (a,), (m,), (a,), (None,)], "fingerprint string"))
+    assert sorted(map(tuple, out.collect())) == [(a, 3), (b, 4), (m, 1), (z, 2)]
+    with pytest.raises(Exception, match="not a hash in hex"):
+        dedup.upsert_ids(known, spark.createDataFrame([("plain",)], "fingerprint string")).collect()
+
+
+def test_flush_of_pools_without_keys(spark, tmp_path):
+    a = dedup.MonthArchive(spark, str(tmp_path / "c"))
+    assert a.flush(subjects(spark, subject(1, None)).where("false")) == 0 and a.subjects() is None
+    assert a.flush(subjects(spark, subject(1, None), subject(2, None))) == 2 and a.subjects() is None
+    assert a.flush(subjects(spark, subject(1, None), subject(3, "A"), subject(4, "B", "2025-07"))) == 1
+    assert sorted(r.id for r in a.subjects().collect()) == [3, 4] and sorted(r.id for r in a.refused().collect()) == [1, 2]
+    plan = a.of_months("subjects", ["2025-07"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cert_month" in plan.replace("isnotnull(cert_month), ", "") or "cert_month" in plan.split("PartitionFilters:")[1][:80]
 
 
 def naive_merge(ranges):
@@ -76,6 +90,22 @@ def test_coverage_and_gaps(spark):
     assert summary([], 100) == ((0, 0, 0), [(0, 100)])
 
 
+def test_day_runs_across_buckets(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "BUCKET", 8)
+    rnd = random.Random(9)
+    days = {i: rnd.choice("ab") if rnd.random() < 0.2 else "a" for i in range(120) if rnd.random() < 0.9}
+    rows = [*days.items(), *list(days.items())[:5], (3, "z")]
+    want, runs = [], []
+    for i, d in sorted({**days, 3: days.get(3, "z")}.items()):
+        if runs and runs[-1][1] == i - 1 and runs[-1][2] == d:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i, d])
+    want = sorted((f, e, d, e - f + 1) for f, e, d in runs)
+    got = intervals.day_runs(spark.createDataFrame(rows, "index long, day string"))
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_day_runs(spark):
     df = spark.createDataFrame([(10, "a"), (11, "a"), (12, "b"), (13, "a"), (20, "a")], "index long, day string")
     assert sorted(tuple(r) for r in intervals.day_runs(df).collect()) == [(10, 11, "a", 2), (12, 12, "b", 1), (13, 13, "a", 1), (20, 20, "a", 1)]
@@ -141,6 +171,49 @@ def test_san_index_and_classes(spark):
     assert {r.shard for r in out.collect()} == {"san_com__e", "san_io__x", "san_io__y", "san_io__z", "san__tail__n"}
 
 
+def test_written_index_routes_names(spark, tmp_path):
+    from lakewarden.functions.names import public_suffix
+
+    sans = [f"a{i}.site{i % 40}.{tld}" for i in range(300) for tld in ("com", "co.uk", "io")] + ["x.example.net", "example.net", "nodots", "co.uk"]
+    index = reverse.san_index(spark.createDataFrame(list(enumerate(sans)), "id long, san_domains string"))
+    path = str(tmp_path / "san")
+    reverse.write_san_index(index, path, public_suffix(F.col("reg_domain")), 2, 200)
+    for name, deep in (("site7.com", False), ("site7.co.uk", False), ("a7.site7.io", True), ("example.net", False), ("absent.org", False), ("co.uk", True), ("nodots", False)):
+        want = [tuple(r) for r in reverse.lookup_san(index, name, deep).collect()]
+        assert [tuple(r) for r in reverse.lookup_written_san(spark, path, name, deep).collect()] == want, name
+    assert reverse.san_shards_for(spark, path, "site7.com") == ["san_com__s"] and reverse.san_shards_for(spark, path, "absent.org") == [] and reverse.san_shards_for(spark, path, "com") is None
+
+
+def test_written_address_index(spark, tmp_path):
+    index = ip_index(spark)
+    path = str(tmp_path / "ip")
+    reverse.write_ip_index(index, path, 1, 2)
+    assert [r.domain for r in reverse.lookup_written_ip(spark, path, "203.0.113.7").collect()] == ["x.com", "y.com"]
+    assert [r.domain for r in reverse.lookup_written_cidr(spark, path, "2001:db8::/32").collect()] == ["v6.com"]
+
+
+def test_shards_read_back_and_fed(spark, tmp_path):
+    counts = spark.createDataFrame([("a.com", 2, 0), ("b.com", 0, 1), ("x.co.uk", 1, 1), ("z.io", 5, 0)], "domain string, direct long, wildcard long")
+    export.write_export(counts, str(tmp_path))
+    back = export.read_shards(spark, str(tmp_path))
+    assert sorted((r.domain, r.direct, r.wildcard, r.tld) for r in back.collect()) == [("a.com", 2, 0, "com"), ("b.com", 0, 1, "com"), ("x.co.uk", 1, 1, "co.uk"), ("z.io", 5, 0, "io")]
+    (tmp_path / "shards/tld=io/bucket=exports/more.csv").write_text("broken line\n")
+    assert export.read_shards(spark, str(tmp_path), "io").count() == 1
+    assert {(r.tld, r.bucket, r.domains) for r in export.shard_feed(spark, str(tmp_path)).collect()} == {("com", "a", 1), ("com", "b", 1), ("co.uk", "exports", 1), ("io", "exports", 1)}
+    batch, more = dns.batch(back, 3)
+    assert [r.domain for r in batch.collect()] == ["a.com", "b.com", "x.co.uk"] and more and not dns.batch(back, 4)[1]
+
+
+def test_errors_of_fetched_certificates(spark):
+    import hashlib
+
+    from lakewarden.operators import archive
+
+    rows = [(hashlib.sha256(b"a").digest(), b"a"), (b"1" * 32, b"b"), (b"2" * 32, None)] + [(bytes([9, i]) * 16, b"c") for i in range(20)]
+    got = archive.fetch_errors(spark.createDataFrame(rows, "fingerprint binary, der binary")).collect()
+    assert len(got) == 10 and ("nothing fetched" in {r.reason for r in got}) == (b"2" * 32 in {bytes(r.fingerprint) for r in got}) and rows[0][0] not in {bytes(r.fingerprint) for r in got}
+
+
 def test_dns_store(spark):
     records = spark.createDataFrame([("a.com", "MX", 60, 1, {"pref": "10", "host": "m"}), ("a.com", "LOC", 60, 1, {"latitude": "1", "longitude": "2", "altitude": "3", "size": "9"}), ("a.com", "WAT", 1, 1, {})], "domain string, type string, ttl long, fetched_at long, fields map<string,string>")
     view = dns.unified({k: dns.dispatch(records, k) for k in ("mx", "loc", "a")})

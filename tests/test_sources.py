@@ -88,6 +88,25 @@ def test_pages_to_subjects(spark, tmp_path):
     assert leaves.subjects_of(parsed).first().ca_id == 0 and leaves.issuers_of(parsed).count() == 2
 
 
+def leaf_rows():
+    """(index, leaf_input, extra_data) of three certificates."""
+    chain = u24(b"".join(map(u24, (b"issuer", b"root"))))
+    return [(100 + i, struct.pack(">BBQH", 0, 0, 1000, 0) + u24(certificate(serial=bytes([0, 7, i]))) + u16(b""), chain) for i in range(3)]
+
+
+def test_range_of_pages(spark, tmp_path):
+    page = [{"leaf_input": base64.b64encode(leaf).decode(), "extra_data": base64.b64encode(extra).decode()} for _, leaf, extra in leaf_rows()]
+    (tmp_path / "page-100.json").write_text(json.dumps({"entries": page}))
+    assert [r["index"] for r in leaves.read_pages(spark, str(tmp_path), 101, 101).collect()] == [101]
+    assert leaves.read_pages(spark, str(tmp_path), 101).count() == 2 and leaves.read_pages(spark, str(tmp_path), last=99).count() == 0
+
+
+def test_done_of_completed_shards(spark):
+    lines = [("a", 1, "feed: x.tsv → 0 domains queued"), ("a", 2, "feed: x.tsv → 70 domains queued"), ("a", 3, "complete: total=68"), ("b", 1, "feed: y.tsv → 5 domains queued")]
+    got = {r.shard: (r.status, r.total, r.done) for r in logs.shard_log_state(spark.createDataFrame(lines, "shard string, line int, value string")).collect()}
+    assert got == {"a": ("complete", 70, 68), "b": ("running", 5, None)}
+
+
 def test_sizes(spark):
     df = spark.createDataFrame([("origin\n12345\nroot", '{"tree_size": 9}')], "a string, b string")
     assert tuple(df.select(leaves.checkpoint_size(F.col("a")), leaves.tree_head_size(F.col("b"))).first()) == (12345, 9)
@@ -136,7 +155,7 @@ def test_log_lines(spark):
     shard = [(0, "feed: com/a → 70 domains queued"), (1, "2026/01/01 10:00:00 metrics: done=7 rate=1.5/s ok=4 nxd=1 timeout=1 err=1(14.3%) cb=closed"), (2, "complete: total=70")]
     df = spark.createDataFrame([("s", *x) for x in shard], "shard string, line int, value string")
     assert tuple(logs.fetch_metrics(df).drop("at").first()) == ("s", 7, 1.5, 4, 1, 1, 1, "closed")
-    assert tuple(logs.shard_log_state(df).first()) == ("s", "complete", 70)
+    assert tuple(logs.shard_log_state(df).first()) == ("s", "complete", 70, 70)
     runner = [(0, "[10:00:00] === com/a ( 1 234 domains) ==="), (1, "[11:00:00] === done com/a"), (2, "[11:00:01] === net/x (5 domains) ===")]
     got = logs.runner_entries(spark.createDataFrame(runner, "line int, value string")).collect()
     assert sorted(tuple(r) for r in got) == [("com/a", 0, 1234, "complete"), ("net/x", 2, 5, "running")]

@@ -29,3 +29,20 @@ def test_breaker(spark):
     rows = spark.createDataFrame([("s", i, "error" if i < 31 else "ok") for i in range(140)], "shard string, i int, status string")
     over = {r.i: r.over for r in error_share(rows, "shard", "i").collect()}
     assert not over[29] and over[30] and over[99] and not over[101]
+
+
+def test_pages_of_logs_stream_to_subjects_and_cursors(spark, tmp_path):
+    from test_sources import leaf_rows
+
+    source, archive = str(tmp_path / "pages"), MonthArchive(spark, str(tmp_path / "archive"))
+    schema = "log_id string, index long, leaf_input binary, extra_data binary"
+    rows = leaf_rows()
+    for k, (name, part) in enumerate((("x", rows[:1]), ("y", rows[1:]))):
+        spark.createDataFrame([(name, *r) for r in part], schema).coalesce(1).write.mode("append").parquet(source)
+    runs = spark.createDataFrame([("x", 0, 0, 0), ("y", 0, 0, 0), ("z", 5, 9, 5)], "log_id string, next_entry_idx long, tree_size_at_start long, total_processed long")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    ingest.start_logs(stream, archive, str(tmp_path / "runs"), runs, str(tmp_path / "check")).awaitTermination(120)
+    last = max(int(p.name[1:]) for p in (tmp_path / "runs").iterdir())
+    got = {r.log_id: (r.next_entry_idx, r.total_processed) for r in spark.read.parquet(f"{tmp_path}/runs/v{last}").collect()}
+    assert got == {"x": (rows[0][0] + 1, 1), "y": (max(r[0] for r in rows[1:]) + 1, len(rows) - 1), "z": (5, 5)}
+    assert archive.subjects() is not None and archive.subjects().count() >= 1
