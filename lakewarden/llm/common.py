@@ -16,7 +16,20 @@ from pyspark.sql import functions as F
 HELD_OUT_MOD = 5
 
 
+#: Bytes of an Arrow batch: a worker's memory then follows bytes, however long the texts of its rows are.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on the session's Arrow batches hold at most BATCH_BYTES, or the session's own limit if it is lower."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = int(spark.conf.get(key).rstrip("b"))
+    if own <= 0 or own > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -9,7 +9,8 @@ pairs. Exact copies are one vector with a weight.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and those with a null label
 or id, link with nothing and are their own component. Vectors of a label meet only vectors of as many components. Rows
-of equal id are counted as different vectors; a null id has a null component and is kept. Other columns are never read.
+of equal id are counted as different vectors; a null id has a null component and is kept. Ties of the nearest pivot go to the first. Other columns are never read;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import Scratch, connected_components
 
 COSINE = 0.93
 #: Vectors of a label for each of its pivots, the most pivots of a label, and vectors of a block.
 PIVOT_ROWS, PIVOTS, BLOCK = 3000, 64, 2048
+#: Vectors of a label that are placed at a time.
+CHUNK = 32_768
 #: For rounding: distances are compared with so much to spare, links are not.
 SPARE = 1e-6
 #: Vectors whose cosine is compared in double precision at a time.
@@ -91,40 +94,56 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id"
     valid = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)
     valid &= F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
     rows = rows.withColumn("valid", F.coalesce(valid, F.lit(False)))
+    # -0.0 and 0.0 are the same component
+    with Scratch() as tables:
+        return tables.keep(_linked(rows, cosine, radius, tables))
+
+
+def _place(radius: float):
+    """Cells of the vectors of a chunk: each row at home with its nearest pivot, copies in the lower cells within reach."""
+
+    def run(rows: pa.Table, pivots: pa.Table) -> pa.Table:
+        names = ("space", "cell", "home", "id", "weight", "x")
+        kinds = (pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.float64()))
+        out: list[list] = [[] for _ in names]
+        if rows.num_rows and pivots.num_rows:
+            pivots = pivots.sort_by("slot")
+            p, x = _unit(pivots["x"]), _unit(rows["x"])
+            apart = np.sqrt(np.maximum(0, (p**2).sum(axis=1)[:, None] + (p**2).sum(axis=1) - 2 * p @ p.T))
+            ids, weights, space = rows["id"].to_numpy(), rows["weight"].to_numpy(), rows["space"][0].as_py()
+            for at in range(0, len(ids), STRIP):
+                part = x[at : at + STRIP]
+                square = (part**2).sum(axis=1)[:, None] + (p**2).sum(axis=1) - 2 * part @ p.T
+                home = square.argmin(axis=1)
+                here = np.arange(len(part))
+                near = square - square[here, home][:, None] <= 2 * radius * apart[home] + SPARE
+                near &= np.arange(len(p)) < home[:, None]
+                near[here, home] = True
+                for i, cell in np.argwhere(near).tolist():
+                    for column, v in zip(out, (space, cell, cell == home[i], int(ids[at + i]), int(weights[at + i]), part[i]), strict=True):
+                        column.append(v)
+        return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], list(names))
+
+    return run
+
+
+def _linked(rows: DataFrame, cosine: float, radius: float, tables: Scratch) -> DataFrame:
     # -0.0 and 0.0 are the same component
     some = rows.where("valid").select("vec_id", F.transform("x", lambda v: v + F.lit(0.0)).alias("x"), "label")
-    reps = some.groupBy("label", "x").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
+    some = some.select("vec_id", "x", F.concat_ws(":", F.size("x"), "label").alias("space"), F.xxhash64("label", "x").alias("h1"), F.xxhash64(F.lit(1), "x", "label").alias("h2"))
+    reps = some.groupBy("space", "h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("x").alias("x"))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
     top = F.array_max(F.transform("x", lambda v: F.abs(v)))  # first scaled by the largest, so that no square overflows
     reps = reps.withColumn("x", F.transform("x", lambda v: v / top)).withColumn("norm", norm)
-    reps = materialize(reps.select("id", "weight", F.concat_ws(":", F.size("x"), "label").alias("space"), F.expr("transform(x, v -> v / norm)").alias("x")))
-
-    sizes = reps.groupBy("space").agg(F.count("*").alias("n")).withColumn("pivots", F.least(F.lit(PIVOTS), F.ceil(F.col("n") / PIVOT_ROWS)).cast("int"))
-    slots = reps.join(sizes, "space").withColumn("slot", F.pmod(F.xxhash64("id"), F.col("pivots")).cast("int"))
-    pivots = slots.groupBy("space", "slot").agg(F.min_by("x", F.xxhash64("id", F.lit(7))).alias("x"))
-    pivots = materialize(pivots.groupBy("space").agg(F.sort_array(F.collect_list(F.struct("slot", "x"))).alias("pivots")))
-
-    def place(batches):
-        for batch in batches:
-            ids, weights, spaces = (batch.column(i).to_pylist() for i in range(3))
-            out = {c: [] for c in ("space", "cell", "home", "id", "weight", "x")}
-            pivot_of: dict[str, np.ndarray] = {}
-            for i, space in enumerate(spaces):
-                x = np.array(batch.column(3)[i].as_py())
-                if space not in pivot_of:
-                    pivot_of[space] = np.array([p["x"] for p in batch.column(4)[i].as_py()])
-                p = pivot_of[space]
-                square = ((p - x) ** 2).sum(axis=1)
-                home = int(np.argmin(square))
-                between = np.sqrt(((p[:home] - p[home]) ** 2).sum(axis=1))
-                near = np.flatnonzero(square[:home] - square[home] <= 2 * radius * between + SPARE)
-                for cell in [home, *near.tolist()]:
-                    for c, v in zip(out, (space, cell, cell == home, ids[i], weights[i], x), strict=True):
-                        out[c].append(v)
-            kinds = (pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in zip(out, kinds, strict=True)], list(out))
-
-    dealt = materialize(reps.join(pivots, "space").select("id", "weight", "space", "x", "pivots").mapInArrow(place, "space string, cell int, home boolean, id long, weight long, x array<double>"))
+    reps = tables.write(reps.select("id", "weight", "space", "h1", "h2", F.expr("transform(x, v -> v / norm)").alias("x")))
+
+    sizes = reps.groupBy("space").agg(F.count("*").alias("n"))
+    sizes = sizes.select("space", F.least(F.lit(PIVOTS), F.ceil(F.col("n") / PIVOT_ROWS)).cast("int").alias("pivots"), F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    slots = reps.join(sizes, "space").withColumn("slot", F.pmod(F.xxhash64("id"), F.col("pivots")).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(5)), F.col("chunks")).cast("int"))
+    pivots = tables.write(slots.groupBy("space", "slot").agg(F.min_by("x", F.xxhash64("id", F.lit(7))).alias("x")))
+    pivots = pivots.join(sizes, "space").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("space", "chunk", "slot", "x")
+    placed = slots.select("space", "chunk", "id", "weight", "x").groupBy("space", "chunk").cogroup(pivots.groupBy("space", "chunk"))
+    dealt = tables.write(placed.applyInArrow(_place(radius), "space string, cell int, home boolean, id long, weight long, x array<double>"))
     counts = dealt.groupBy("space", "cell").agg(F.count_if("home").alias("h"), F.count_if(~F.col("home")).alias("g"))
     counts = counts.where("h > 0").select("space", "cell", F.greatest(F.lit(1), F.ceil(F.col("h") / BLOCK)).cast("int").alias("hb"), F.ceil(F.col("g") / BLOCK).cast("int").alias("gb"))
     blocks = dealt.join(counts, ["space", "cell"]).withColumn("b", F.pmod(F.xxhash64("id", F.lit(3)), F.when(F.col("home"), F.col("hb")).otherwise(F.greatest("gb", F.lit(1)))).cast("int"))
@@ -144,13 +163,12 @@ def link_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id"
         found = list(join_blocks(left, right, cosine)) if len(left[0]) and (same or len(right[0])) else []
         return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate(("a", "b", "n"))})
 
-    found = materialize(sided.groupBy("space", "cell", "i", "j").applyInArrow(join_pair, "a long, b long, n long"))
+    found = tables.write(sided.groupBy("space", "cell", "i", "j").applyInArrow(join_pair, "a long, b long, n long"))
     degree = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
-    groups = connected_components(found.where("b is not null").select("a", "b")).toDF("id", "component")
+    groups = tables.adopt(connected_components(found.where("b is not null").select("a", "b"))).toDF("id", "component")
 
-    facts = reps.select("id", "weight").join(degree, "id", "left").join(groups, "id", "left")
-    facts = facts.select("id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    keyed = some.groupBy("label", "x").agg(F.min("vec_id").alias("id"))
-    member = some.join(keyed, ["label", "x"]).select("vec_id", "id").join(facts, "id").select("vec_id", "n_links", "component_id")
+    facts = reps.select("id", "weight", "space", "h1", "h2").join(degree, "id", "left").join(groups, "id", "left")
+    facts = facts.select("space", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    member = some.select("vec_id", "space", "h1", "h2").join(facts, ["space", "h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not valid").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return member.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

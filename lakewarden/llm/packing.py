@@ -35,7 +35,7 @@ RUN_TOKENS = 1 << 20
 #: Cost of t tokens: LINEAR * t + t * t.
 LINEAR = 2048
 #: Newer half of what a worker keeps of chunks and of their parts.
-CACHE_ROWS = 300_000
+CACHE_ROWS = 60_000
 
 
 #: A chunk of these characters alone is cut into parts here; the tokenizer's own rules cut it at the same places.
