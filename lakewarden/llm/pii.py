@@ -1,6 +1,7 @@
 """Operator 7 [native]: personal data by fixed forms and by bootstrapped contextual extraction.
 
-Base entities (email, ip, card, phone) are found by form. They seed the bootstrap. The words beside an entity are its
+Base entities (email, ip, card, phone) are found by form. They seed the bootstrap, and so do long mixed strings of
+letters and digits, as keys and access tokens are, though these are reported only where a pattern says so. The words beside an entity are its
 lexical patterns: one or two words before it, one or two after it, and one on either side. Every other token with
 digits is an instance in the patterns around it. Patterns and instances score each other in rounds over their graph: a
 pattern by the share of its occurrences that score, an instance by the mean of the patterns that seeds support. After
@@ -38,6 +39,8 @@ MANY = 64
 HIT, MISS, OTHER = "\x01", "\x02", "\x03"
 #: A pattern is confident with so many occurrences of seeds, this score, and this share of identifiers among the rest.
 SUPPORT, CONFIDENT = 8, 0.6
+#: Form of a secret that seeds patterns.
+SECRET = r"^(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9+/_-]{32,}$"
 #: Least length and digits of a new identifier.
 LENGTH, DIGITS = 8, 4
 
@@ -174,7 +177,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             core = F.regexp_replace(m["m"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")
             s = m["s"] + lead
             seed, failed = marked(i, HIT), marked(i, MISS, ("ip", "card"))
-            return F.struct(s.alias("s"), (s + F.length(core)).alias("e"), core.alias("m"), F.xxhash64(core).alias("instance"), seed.alias("seed"), (~seed & _identifier(core, failed)).alias("like"), patterns(i, seed).alias("patterns"))
+            sure = seed | F.regexp_like(core, F.lit(SECRET))
+            return F.struct(s.alias("s"), (s + F.length(core)).alias("e"), core.alias("m"), F.xxhash64(core).alias("instance"), sure.alias("seed"), (~seed & _identifier(core, failed)).alias("like"), patterns(i, seed).alias("patterns"))
 
         wanted = F.filter(F.sequence(F.lit(0), F.size(x["t"]) - 1), lambda i: F.regexp_like(F.get(x["t"], i)["m"], F.lit("[0-9]")) | marked(i, HIT))
         return F.when(F.size(x["t"]) > 0, F.transform(wanted, slot))

@@ -91,7 +91,8 @@ def identifiers(texts, kinds=("email", "ip", "card", "phone"), rounds=3, support
             start = at + len(re.match(r"[\W_]*", w).group())
             failed = over(words[i], [t for t in tries if t not in spans])
             like = not hit[i] and len(core) >= 8 and len(re.sub("[^0-9]", "", core)) >= 4 and (not failed or any(c.isalpha() for c in core))
-            slots.append((nth, start, start + len(core), core, hit[i], like, [p for p in around if None not in p]))
+            secret = len(core) >= 32 and re.fullmatch("[A-Za-z0-9+/_-]+", core) and re.search("[0-9]", core) and re.search("[A-Za-z]", core)
+            slots.append((nth, start, start + len(core), core, hit[i] or bool(secret), like, [p for p in around if None not in p]))
     edges = defaultdict(int)
     seeds, like = set(), set()
     for _, _, _, core, seed, ok, around in slots:

@@ -263,6 +263,14 @@ def test_found_identifiers_seed_later_rounds(spark):
     assert all(got[i] == "id:14:24" for i in range(20, 32)) and all(got[i] == "id:11:21" for i in range(100, 115))
 
 
+def test_secrets_are_found_in_their_context(spark):
+    rnd = random.Random(3)
+    rows = [(i, f"w{'ab' * i} token = \"{rnd.getrandbits(160):040x}\" v{'cd' * i}") for i in range(40)]
+    rows += [(100, 'beta token = "AB12-CD34-9" gamma'), (101, f"beta lone {rnd.getrandbits(160):040x} gamma"), (102, "beta version 1.2.3 of 2024-11-05 gamma")]
+    got = {r.doc_id: r for r in pii.find_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].n_id == 1 for i in range(40)) and got[100].n_id == 1 and got[101].n_id == got[102].n_id == 0
+
+
 def test_personal_data_of_long_texts(spark):
     import time
 
