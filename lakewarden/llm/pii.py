@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed forms. Possessive repeats and the conditions before a match keep the work linear; they match the same places.
@@ -187,39 +187,34 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return rows.select("doc_id", "rid", *(F.coalesce(F.col(f"own_{k}.spans"), F.array().cast(SPANS)).alias(k) for k in KINDS), "slots")
 
 
-def confident_patterns(slots: DataFrame) -> DataFrame:
+def confident_patterns(slots: DataFrame, tables: Scratch) -> DataFrame:
     """(pattern) of the patterns that are confident after some rounds over the pattern-instance graph."""
     edges = slots.select("instance", "seed", "like", F.explode("patterns").alias("pattern"))
-    edges = materialize(edges.groupBy("pattern", "instance").agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("like").alias("like")))
+    edges = tables.write(edges.groupBy("pattern", "instance").agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("like").alias("like")))
     score = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("s"))
-    scratch = [edges]
     for k in range(ROUNDS):
         sure = F.when(F.col("s") == 1, F.col("c")).otherwise(0)
         patterns = edges.join(score, "instance").groupBy("pattern").agg((F.sum(F.col("c") * F.col("s")) / F.sum("c")).alias("p"), F.sum(sure).alias("support"))
-        patterns = materialize(patterns.where("support > 0"))
-        scratch.append(patterns)
+        patterns = tables.write(patterns.where("support > 0"))
         confident = (F.col("support") >= SUPPORT) & (F.col("p") >= CONFIDENT)
         if k < ROUNDS - 1:
             met = edges.join(patterns.withColumn("sure", confident), "pattern", "left").groupBy("instance")
             score = met.agg(F.max(F.col("seed") | (F.col("like") & F.coalesce("sure", F.lit(False)))).alias("known"), (F.sum(F.col("c") * F.coalesce("p", F.lit(0.0))) / F.sum("c")).alias("m"))
             score = score.select("instance", F.when(F.col("known"), 1.0).otherwise(F.least("m", F.lit(0.999))).alias("s"))
-    out = materialize(patterns.where(confident).select("pattern"))
-    for x in scratch:
-        release(x)
-    return out
+    return patterns.where(confident).select("pattern")
 
 
-def discover(scanned: DataFrame) -> DataFrame:
+def discover(scanned: DataFrame, tables: Scratch) -> DataFrame:
     """(doc_id, rid, id): spans of identifiers in slots of confident patterns, in order."""
     slots = scanned.where(F.size("slots") > 0).select("doc_id", "rid", F.explode("slots").alias("x")).select("doc_id", "rid", "x.*")
-    patterns = confident_patterns(slots)
+    patterns = confident_patterns(slots, tables)
     both = slots.where("like").select("doc_id", "rid", "s", "e", "m", F.explode("patterns").alias("pattern"))
     found = both.join(patterns, "pattern")
     return found.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set(F.struct("s", "e", "m"))).alias("id"))
 
 
-def with_found(scanned: DataFrame) -> DataFrame:
-    found = discover(scanned).toDF("k", "h", "id")
+def with_found(scanned: DataFrame, tables: Scratch) -> DataFrame:
+    found = discover(scanned, tables).toDF("k", "h", "id")
     own = scanned.drop("slots")
     out = own.join(found, own.doc_id.eqNullSafe(found.k) & (own.rid == found.h), "left").drop("k", "h")
     return out.withColumn("id", F.coalesce("id", F.array().cast(SPANS)))
@@ -227,7 +222,11 @@ def with_found(scanned: DataFrame) -> DataFrame:
 
 def find_entities(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id) of every row."""
-    rows = with_found(materialize(scan(docs, key, text)))
+    with Scratch() as tables:
+        return tables.keep(_described(with_found(tables.write(scan(docs, key, text)), tables)))
+
+
+def _described(rows: DataFrame) -> DataFrame:
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in KINDS]
     return rows.select("doc_id", *counts, F.sha2(_text_of(KINDS), 256).alias("base_sha256"), _text_of((*KINDS, "id")).alias("spans"), F.size("id").cast("long").alias("n_id"))
 
@@ -236,7 +235,13 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """docs with the text of every entity replaced by its kind in brackets; of entities that overlap one another the
     whole stretch is replaced, by the kind of the first.
     """
-    scanned = with_found(materialize(scan(docs, key, text)))
+    with Scratch() as tables:
+        spans = tables.keep(_spans_of(with_found(tables.write(scan(docs, key, text)), tables)))
+    return _replaced(docs, spans, key, text)
+
+
+def _spans_of(scanned: DataFrame) -> DataFrame:
+    """(lw:key, lw:rid, lw:spans): of each text with entities the stretches to replace, in order."""
     tagged = F.concat(*(_each(k, lambda name, x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"[{name.upper()}]").alias("m"))) for k in (*KINDS, "id")))
     spans = scanned.select(F.struct("doc_id", "rid").alias("of"), F.explode(tagged).alias("x")).select("of", "x.*").distinct()
     order = Window.partitionBy("of").orderBy("s", "e", "m")  # the spans of one text
@@ -244,7 +249,10 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     spans = spans.withColumn("nth", F.count(F.when(F.col("before").isNull() | (F.col("s") >= F.col("before")), 1)).over(order))
     spans = spans.groupBy("of", "nth").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("m", F.struct("s", "e", "m")).alias("m"))
     spans = spans.groupBy("of").agg(F.array_sort(F.collect_list(F.struct("s", "e", "m"))).alias("lw:spans"))
-    spans = spans.select(F.col("of.doc_id").alias("lw:key"), F.col("of.rid").alias("lw:rid"), "lw:spans")
+    return spans.select(F.col("of.doc_id").alias("lw:key"), F.col("of.rid").alias("lw:rid"), "lw:spans")
+
+
+def _replaced(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataFrame:
     names = docs.columns
     rows = docs.withColumn("lw:hash", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
     rows = rows.join(spans, F.col(key).eqNullSafe(F.col("lw:key")) & (F.col("lw:hash") == F.col("lw:rid")), "left")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Scratch
 
 SCALE = 256
 #: Most rows of an index block and queries of a group; fewer while there are fewer pairs of them than tasks.
@@ -140,11 +140,16 @@ def _index(table: pa.Table) -> pa.Table:
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k highest inner products."""
-    # rows are numbered, and keep their numbers as they are written
-    rows = materialize(quantised(vectors, key, vector).withColumn("row", F.monotonically_increasing_id()))
+    with Scratch() as tables:
+        # rows are numbered, and keep their numbers as they are written
+        rows = tables.write(quantised(vectors, key, vector).withColumn("row", F.monotonically_increasing_id()))
+        return tables.keep(_ranked(rows, k, every))
+
+
+def _ranked(rows: DataFrame, k: int, every: int) -> DataFrame:
     asked = rows.where(F.col("id") % every == 0)
     n, q = rows.count(), asked.count()
-    tasks = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = max(1, -(-n // BLOCK_ROWS), min(-(-n // LEAST_ROWS), tasks))
     groups = max(1, -(-q // QUERY_ROWS), min(-(-q // LEAST_QUERIES), -(-tasks // blocks)))
     place = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
