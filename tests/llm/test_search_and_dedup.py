@@ -284,6 +284,23 @@ def test_personal_data_of_long_texts(spark):
     assert red[2] == "💥 " + " ".join("[IP]" if i % 2 else "[EMAIL]," for i in range(4000)) + " end" and red[1] == rows[0][1]
 
 
+def test_pipeline_stages_on_odd_rows_and_none(spark):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40)
+    names = ("id", "n", "component", "differ", "score", "lang_pred", "own_key", "token", "spans", "start")
+    clash = docs.union(docs.limit(6)).withColumns({c: F.lit(7) for c in names})
+    for name, stage in P.STAGES:
+        out = stage(spark, clash, SF)
+        none = stage(spark, clash.where("false"), SF)
+        if name != "packing":
+            assert out.columns == none.columns == clash.columns, name
+            kept = out.collect()
+            assert {r.doc_id for r in kept} <= {r.doc_id for r in docs.collect()} and all(r[c] == 7 for r in kept for c in names)
+            assert len(kept) > 20 and (name != "near_dedup" or len({r.doc_id for r in kept}) == len(kept))
+        assert none.count() == 0, name
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
 
