@@ -35,7 +35,7 @@ RUN_TOKENS = 1 << 20
 #: Cost of t tokens: LINEAR * t + t * t.
 LINEAR = 2048
 #: Newer half of what a worker keeps of chunks and of their parts.
-CACHE_ROWS = 60_000
+CACHE_ROWS = 300_000
 
 
 #: A chunk of these characters alone is cut into parts here; the tokenizer's own rules cut it at the same places.
@@ -51,7 +51,7 @@ class WordEncoder:
     the tokenizer does; the library's model encodes parts not met lately.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_rows: int = CACHE_ROWS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,7 +62,7 @@ class WordEncoder:
         split = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.byte_level = {ord(c): split(c)[0][0] for c in map(chr, range(0x21, 0x180)) if PLAIN.fullmatch(c)}
         self.model = self.tokenizer.model
-        self.chunks, self.parts = Recent(CACHE_ROWS), Recent(CACHE_ROWS)
+        self.chunks, self.parts = Recent(cache_rows), Recent(cache_rows)
 
     def _part(self, part: str) -> bytes:
         ids = self.parts.find(part)
@@ -89,8 +89,8 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str, cache_rows: int) -> WordEncoder:
+    return WordEncoder(path, cache_rows)
 
 
 def capacities(tokens: int, capacity: int = CAPACITY) -> list[int]:
@@ -164,12 +164,15 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
 SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
-    """Pieces of every document: (key, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids])."""
+def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False, cache_rows: int = CACHE_ROWS) -> DataFrame:
+    """Pieces of every document: (key, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]).
+
+    cache_rows bounds what a worker keeps of encoded words, some 200 bytes each, four times over; it changes no result.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, cache_rows)
         first_sequence = TaskContext.get().partitionId() << 32
         keys, ids, tokens = [], [], 0
 
