@@ -50,7 +50,8 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 4096 tokens."""
     small_batches(spark)
-    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+    # workers are reused and hold what other stages keep too, so this one keeps less
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"), cache_rows=60_000)
 
 
 STAGES = [
