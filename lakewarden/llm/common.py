@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 import zlib
@@ -74,6 +75,12 @@ def release(df: DataFrame) -> None:
             p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are done: it does so when the driver's collectors find them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scratch:
     """Tables in the shared folder that go when the work is done; those that a result still reads are named to keep()."""
 

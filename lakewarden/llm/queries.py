@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embdedup, langid, minhash, packing, pii, piece, quality, topk, toxicity, urlfilter
+from . import ballmeans, embdedup, langid, minhash, packing, pii, piece, quality, runs, suffix, topk, toxicity, urlfilter
 from .common import table
 
 
@@ -55,8 +55,20 @@ def op10_sentencepiece(spark, sf_dir):
     return piece.encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return runs.digest(runs.find_runs(runs.planted(table(spark, sf_dir, "documents"))))
+
+
+def op12_ball_kmeans(spark, sf_dir):
+    return ballmeans.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_suffix_dedup(spark, sf_dir):
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), texts_too=False).drop("spans")
+
+
 def queries():
-    found = (op1_toxicity, op2_topk, op3_quality, op4_url_filter, op5_packing, op6_embedding_dedup, op7_pii, op8_minhash, op9_language_id, op10_sentencepiece)
+    found = (op1_toxicity, op2_topk, op3_quality, op4_url_filter, op5_packing, op6_embedding_dedup, op7_pii, op8_minhash, op9_language_id, op10_sentencepiece, op11_periodic_runs, op12_ball_kmeans, op13_suffix_dedup)
     return {f.__name__: f for f in found}
 
 
@@ -89,5 +101,20 @@ c AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
 SELECT sz.doc_id, sz.n AS n_shingles, least(sz.doc_id, coalesce(c.m, sz.doc_id)) AS component_id, sz.doc_id = least(sz.doc_id, coalesce(c.m, sz.doc_id)) AS kept FROM sz LEFT JOIN c ON c.a = sz.doc_id"""
 
 
+OP12_SQL = """
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS INTEGER) AS k, x FROM v WHERE vec_id IS NOT NULL QUALIFY k < 16)""" + "".join(
+    f""",
+a{r} AS MATERIALIZED (SELECT own, any_value(vec_id) AS vec_id, any_value(x) AS x, CAST(arg_min(k, d * 16 + k) AS INTEGER) AS k, min(d) AS d FROM (SELECT own, vec_id, v.x AS x, k,
+           CAST(list_dot_product(v.x, v.x) + list_dot_product(c.x, c.x) - 2 * list_dot_product(v.x, c.x) AS BIGINT) AS d FROM v, c{r} c) GROUP BY own)""" + (f""",
+s{r} AS (SELECT k, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (SELECT k, unnest(x) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY k, i),
+c{r + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{r} GROUP BY k) m USING (k))""" if r < 3 else "")
+    for r in range(4)
+) + """
+SELECT vec_id, k AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+ sha256(array_to_string(c3.x, ',')) AS centroid_sha256 FROM a3 JOIN c3 USING (k)"""
+
+
 def oracle_sql():
-    return {"op2_topk": OP2_SQL, "op4_url_filter": urlfilter.oracle(), "op6_embedding_dedup": OP6_SQL, "op8_minhash": OP8_SQL}
+    return {"op2_topk": OP2_SQL, "op4_url_filter": urlfilter.oracle(), "op6_embedding_dedup": OP6_SQL, "op8_minhash": OP8_SQL, "op12_ball_kmeans": OP12_SQL}
