@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import zipfile
 from functools import lru_cache
-from pathlib import Path
+from importlib import resources
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 OTHER = "_other"
 #: Fixed value: suffixes that are always cut into buckets.
@@ -98,28 +95,41 @@ def tail_shard_name(suffix: Column) -> Column:
     return F.concat(F.lit("san__tail__"), first_char_bucket(suffix))
 
 
+#: Kinds of a public-suffix rule, as bits: a suffix as it stands, one label more than it, an exception to the latter.
+EXACT, WILD, EXCEPTION = 1, 2, 4
+#: Rules that are sent to all executors at most; the public list has some 10,000.
+MOST_RULES = 100_000
+
+
 class SuffixRules:
     """Public-suffix rules: the longest that fits counts, an exception before a wildcard, `*` if none fits."""
 
     def __init__(self, text: str):
-        self.exact, self.wild, self.exception = set(), set(), set()
+        self.kinds: dict[str, int] = {}
         for line in text.splitlines():
             rule = line.split()[0] if line.split() else ""
             if not rule or rule.startswith("//"):
                 continue
-            into, rule = (self.exception, rule[1:]) if rule[0] == "!" else (self.wild, rule[2:]) if rule.startswith("*.") else (self.exact, rule)
-            into.add(rule)
-            if not rule.isascii():
-                into.add(rule.encode("idna").decode())
+            kind, rule = (EXCEPTION, rule[1:]) if rule[0] == "!" else (WILD, rule[2:]) if rule.startswith("*.") else (EXACT, rule)
+            for form in {rule, rule if rule.isascii() else rule.encode("idna").decode()}:
+                self.kinds[form] = self.kinds.get(form, 0) | kind
+        if len(self.kinds) > MOST_RULES:
+            raise ValueError(f"more than {MOST_RULES} public-suffix rules")
+        self.depth = max((r.count(".") + 1 for r in self.kinds), default=1)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(rule, kinds): at most MOST_RULES rows."""
+        return spark.createDataFrame(list(self.kinds.items()), "rule string, kinds int")
 
     def suffix(self, name: str) -> str:
+        """Of one name, on the driver; with_suffix is for tables."""
         labels = name.split(".")
         for i in range(len(labels)):
-            tail = ".".join(labels[i:])
-            if tail in self.exception:
+            kind, parent = self.kinds.get(".".join(labels[i:]), 0), self.kinds.get(".".join(labels[i + 1 :]), 0)
+            if kind & EXCEPTION:
                 return ".".join(labels[i + 1 :])
-            if tail in self.exact or (i + 1 < len(labels) and ".".join(labels[i + 1 :]) in self.wild):
-                return tail
+            if kind & EXACT or parent & WILD:
+                return ".".join(labels[i:])
         return labels[-1]
 
     def registrable(self, name: str) -> str | None:
@@ -133,39 +143,44 @@ class SuffixRules:
 
 @lru_cache(maxsize=1)
 def suffix_rules() -> SuffixRules:
-    """Rules of the list that ships inside PySpark, read on the driver, which sends them along: some 10,000 rules."""
-    import pyspark
-
-    jar = next(Path(pyspark.__file__).parent.glob("jars/httpclient-*.jar"), None)
-    if jar is None:
-        raise FileNotFoundError("no public-suffix list beside PySpark's jars; pass rules of your own")
-    with zipfile.ZipFile(jar) as z:
-        return SuffixRules(z.read("mozilla/public-suffix-list.txt").decode())
-
-
-def suffix_parts(name: Column, rules: SuffixRules | None = None) -> Column:
-    """struct(suffix, registrable) of a name; each distinct name of a batch is looked up once."""
-    own = rules or suffix_rules()
-
-    def find(values: pd.Series) -> pd.DataFrame:
-        codes, names = pd.factorize(values)
-        found = [(own.suffix(x), own.registrable(x)) for x in names]
-        return pd.DataFrame([*found, (None, None)], columns=["suffix", "registrable"]).take(codes).reset_index(drop=True)  # null has code -1
-
-    return F.pandas_udf(find, T.StructType().add("suffix", "string").add("registrable", "string"))(name)
-
-
-def public_suffix(name: Column, rules: SuffixRules | None = None) -> Column:
-    return suffix_parts(name, rules)["suffix"]
-
-
-def registrable_or_null(name: Column, rules: SuffixRules | None = None) -> Column:
-    return suffix_parts(name, rules)["registrable"]
-
-
-def registrable_domain(c: Column) -> Column:
-    """eTLD+1 of a name, `_other` if it has none."""
-    return F.coalesce(registrable_or_null(c), F.lit(OTHER))
+    """Rules of the list that is part of this package (data/README.md says where it is from)."""
+    return SuffixRules((resources.files(__package__.rpartition(".")[0]) / "data" / "public_suffix_list.dat").read_text("utf-8"))
+
+
+def read_suffix_rules(spark: SparkSession, path: str) -> SuffixRules:
+    """Rules of a list of the caller's own, read by Spark; a list of more than MOST_RULES lines without remarks is refused."""
+    lines = spark.read.text(path).where("trim(value) <> '' and not startswith(trim(value), '//')").limit(MOST_RULES + 1).collect()
+    return SuffixRules("\n".join(r.value for r in lines))
+
+
+def _label_count(c: Column) -> Column:
+    return F.length(c) - F.length(F.replace(c, F.lit("."), F.lit(""))) + 1
+
+
+def with_suffix(rows: DataFrame, name: str, rules: SuffixRules | None = None, suffix: str = "suffix", registrable: str = "registrable") -> DataFrame:
+    """rows with the public suffix of a name and its registrable domain, null if it has none.
+
+    The last 1, 2, ... labels of a name are each looked up among the rules by a broadcast join, as many joins as the
+    longest rule has labels; rows aren't shuffled, and no Python worker runs.
+    """
+    own, c = rules or suffix_rules(), F.col(name)
+    table, labels = own.table(rows.sparkSession), _label_count(c)
+    tail = lambda d: F.substring_index(c, ".", -d)
+    kept = rows.columns
+    kinds = [F.lit(0)]
+    for d in range(1, own.depth + 1):
+        rows = rows.join(F.broadcast(table.toDF(f"own_rule{d}", f"own_kinds{d}")), F.when(labels >= d, tail(d)) == F.col(f"own_rule{d}"), "left")
+        kinds.append(F.coalesce(F.col(f"own_kinds{d}"), F.lit(0)))
+    kinds.append(F.lit(0))
+    found = F.when(F.lit(False), c)
+    for d in range(own.depth + 1, 0, -1):
+        if d > 1:
+            found = found.when(kinds[d].bitwiseAND(EXCEPTION) > 0, tail(d - 1))
+        found = found.when((labels >= d) & ((kinds[d].bitwiseAND(EXACT) > 0) | (kinds[d - 1].bitwiseAND(WILD) > 0)), tail(d))
+    rows = rows.select(*(F.col(f"`{k}`") for k in kept), found.otherwise(tail(1)).alias(suffix))
+    own_suffix = F.col(suffix)
+    has = ~F.startswith(c, F.lit(".")) & ~F.endswith(c, F.lit(".")) & ~F.contains(c, F.lit("..")) & (F.length(c) > F.length(own_suffix))
+    return rows.withColumn(registrable, F.when(has, F.call_function("substring_index", c, F.lit("."), -(_label_count(own_suffix) + 1))))
 
 
 def last_two_labels(c: Column) -> Column:

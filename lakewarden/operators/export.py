@@ -43,12 +43,10 @@ def parent_counts(subjects: DataFrame) -> DataFrame:
     return rows.where("parent <> ''").groupBy("parent").agg(F.count("*").alias("n"))
 
 
-def with_shards(counts: DataFrame, native: bool = False) -> DataFrame:
-    """counts with tld and bucket; native takes the last two labels instead of the public-suffix rules."""
-    d = F.col("domain")
-    parts = F.struct(F.substring_index("domain", ".", -1).alias("suffix"), names.last_two_labels(d).alias("registrable")) if native else names.suffix_parts(d)
-    keyed = counts.withColumn("own_parts", parts).select("*", F.col("own_parts.registrable").alias("own_reg"), F.col("own_parts.suffix").alias("own_suffix")).drop("own_parts")
-    return keyed.withColumn("own_key", names.export_shard(F.col("own_reg"), F.col("own_suffix"))).withColumn("tld", F.col("own_key.tld")).withColumn("bucket", F.col("own_key.bucket")).drop("own_key", "own_reg", "own_suffix")
+def with_shards(counts: DataFrame, rules: names.SuffixRules | None = None) -> DataFrame:
+    """counts with tld and bucket, by the public-suffix rules."""
+    keyed = names.with_suffix(counts, "domain", rules, "own_suffix", "own_reg").withColumn("own_key", names.export_shard(F.col("own_reg"), F.col("own_suffix")))
+    return keyed.withColumn("tld", F.col("own_key.tld")).withColumn("bucket", F.col("own_key.bucket")).drop("own_key", "own_reg", "own_suffix")
 
 
 def write_export(counts: DataFrame, path: str) -> None:

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import ipkey, names
 from ..functions.certs import split_list
+from ..schemas import REV_IP, SAN_INDEX
+from ..session import drop_path
+
+#: The shard of the address bases that are too small for one of their own.
+TAIL = "tail"
 
 
 def address_union(a: DataFrame, aaaa: DataFrame) -> DataFrame:
@@ -19,14 +24,15 @@ def rev_ip(addresses: DataFrame, v6: bool = True) -> DataFrame:
     return ipkey.key16(addresses, v6=v6).groupBy("ip", "domain").agg(F.max("ver").alias("ver"), F.max("fetched_at").alias("fetched_at"))
 
 
-def ip_shards(index: DataFrame, width: int = 1, split_min: int = 0) -> tuple[DataFrame, DataFrame]:
-    """The index with its shard, and the shard counts: bases of at least split_min rows go one byte finer."""
+def ip_shards(index: DataFrame, width: int = 1, split_min: int = 0, least_rows: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The index with its shard, and the shard counts: bases of at least split_min rows go one byte finer, those below
+    least_rows together into one."""
     based = index.withColumn("base", ipkey.shard_name(F.col("ip"), F.col("ver"), width))
     counts = based.groupBy("base").agg(F.count("*").alias("rows")).withColumn("split", F.col("rows") >= split_min if split_min > 0 else F.lit(False))
     # at most 2 * 256 ** width bases
-    out = based.join(F.broadcast(counts.select("base", "split")), "base")
-    shard = F.when(F.col("split"), ipkey.shard_name(F.col("ip"), F.col("ver"), width + 1)).otherwise(F.col("base"))
-    return out.withColumn("shard", shard).drop("base", "split"), counts
+    out = based.join(F.broadcast(counts.select("base", "split", "rows")), "base")
+    shard = F.when(F.col("split"), ipkey.shard_name(F.col("ip"), F.col("ver"), width + 1)).when(F.col("rows") < least_rows, F.lit(TAIL)).otherwise(F.col("base"))
+    return out.withColumn("shard", shard).drop("base", "split", "rows"), counts
 
 
 def shards_for(cidr: str, width: int, split: set[str]) -> list[str]:
@@ -39,10 +45,38 @@ def shards_for(cidr: str, width: int, split: set[str]) -> list[str]:
     return out
 
 
-def write_ip_index(index: DataFrame, path: str, width: int = 1, split_min: int = 0) -> None:
-    """Parquet partitioned by shard and sorted by address, with the shard counts as its manifest."""
-    rows, counts = ip_shards(index, width, split_min)
-    rows.repartitionByRange("shard", "ip").sortWithinPartitions("shard", "ip", "domain").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/shards")
+def _written_sorted(rows: DataFrame, path: str, key: str, columns: str) -> None:
+    """Shard folders sorted by key, and `zones`: file, shard, and the least and greatest key of each file.
+
+    Rows are written once as they come and sorted from there, so that what makes them runs once.
+    """
+    spark, staged = rows.sparkSession, f"{path}/staged"
+    rows.write.mode("overwrite").parquet(staged)
+    found = spark.read.schema(rows.schema).parquet(staged)
+    found.repartitionByRange("shard", key).sortWithinPartitions("shard", key).write.mode("overwrite").partitionBy("shard").parquet(f"{path}/shards")
+    drop_path(spark, staged)
+    stored = spark.read.schema(f"{columns}, shard string").option("basePath", f"{path}/shards").parquet(f"{path}/shards")
+    zones = stored.groupBy(F.col("_metadata.file_path").alias("file"), "shard").agg(F.min(key).alias("least"), F.max(key).alias("most"), F.count("*").alias("rows"))
+    zones.coalesce(1).write.mode("overwrite").parquet(f"{path}/zones")  # a row for each file
+
+
+def zone_files(spark, path: str, kind: str, meets: Column) -> list[str]:
+    """Files of a written index whose least and greatest key meet a condition; they are what a lookup opens."""
+    rows = spark.read.schema(f"file string, shard string, least {kind}, most {kind}, rows long").parquet(f"{path}/zones").where(meets).select("file").collect()
+    return sorted(r.file for r in rows)
+
+
+def _stored(spark, files: list[str], columns: str) -> DataFrame:
+    return spark.read.schema(columns).parquet(*files) if files else spark.createDataFrame([], columns)
+
+
+def write_ip_index(index: DataFrame, path: str, width: int = 1, split_min: int = 0, least_rows: int = 0) -> None:
+    """Parquet partitioned by shard and sorted by address, the shard counts as its manifest, and the zones of its files.
+
+    Bases below least_rows share the shard `tail`, so that small ones don't become a file each.
+    """
+    rows, counts = ip_shards(index, width, split_min, least_rows)
+    _written_sorted(rows.select("ip", "domain", "ver", "fetched_at", "shard"), path, "ip", REV_IP)
     counts.withColumn("width", F.lit(width)).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
@@ -52,21 +86,23 @@ def lookup_cidr(index: DataFrame, cidr: str, shards: list[str] | None = None) ->
     return rows.where(ipkey.in_cidr(F.col("ip"), cidr)).select("ip", "domain").distinct().orderBy("ip", "domain")
 
 
-def ip_shards_for(spark, path: str, cidr: str) -> list[str]:
-    """The shards of a written index that a CIDR overlaps, by its manifest of at most 512 bases."""
-    rows = spark.read.schema("base string, rows long, split boolean, width int").json(f"{path}/manifest").collect()
-    return shards_for(cidr, rows[0].width, {r.base for r in rows if r.split}) if rows else []
+def read_ip_index(spark, path: str) -> DataFrame:
+    """All rows of a written index."""
+    return spark.read.schema(f"{REV_IP}, shard string").parquet(f"{path}/shards")
 
 
 def lookup_written_cidr(spark, path: str, cidr: str) -> DataFrame:
-    """lookup_cidr on a written index; only the shards that the manifest names are read."""
-    return lookup_cidr(spark.read.parquet(f"{path}/shards"), cidr, ip_shards_for(spark, path, cidr))
+    """lookup_cidr on a written index; only files whose zones the CIDR meets are opened, no folder is listed."""
+    lo, hi, _ = ipkey.cidr_bounds(cidr)
+    meets = (F.col("least") <= F.lit(bytearray(hi))) & (F.col("most") >= F.lit(bytearray(lo)))
+    return lookup_cidr(_stored(spark, zone_files(spark, path, "binary", meets), REV_IP), cidr)
 
 
 def lookup_written_ip(spark, path: str, address: str) -> DataFrame:
-    """lookup_ip on a written index; only the address's shard is read."""
-    index = spark.read.parquet(f"{path}/shards")
-    return lookup_ip(index.where(F.col("shard").isin(ip_shards_for(spark, path, address))), address)
+    """lookup_ip on a written index; only files whose zones hold the address are opened."""
+    key = F.lit(bytearray(ipkey.cidr_bounds(address)[0]))
+    files = zone_files(spark, path, "binary", (F.col("least") <= key) & (F.col("most") >= key))
+    return lookup_ip(_stored(spark, files, REV_IP), address)
 
 
 def lookup_ip(index: DataFrame, address: str) -> DataFrame:
@@ -93,22 +129,28 @@ def join_cidrs(index: DataFrame, cidrs: list[str]) -> DataFrame:
     return met.select("cidr", "ip", "domain")
 
 
-def san_index(subjects: DataFrame, native: bool = False, key: str = "id") -> DataFrame:
-    """(san_domain, reg_domain, cert_id, is_wildcard) of every name; empty ones are skipped, invalid ones stay."""
+def san_index(subjects: DataFrame, key: str = "id", rules: names.SuffixRules | None = None, suffix: bool = False) -> DataFrame:
+    """(san_domain, reg_domain, cert_id, is_wildcard) of every name; empty ones are skipped, invalid ones stay.
+
+    suffix adds the public suffix of reg_domain, which is looked up with it.
+    """
     rows = subjects.where("san_domains is not null and san_domains <> ''").select(F.col(key).alias("cert_id"), F.explode(split_list(F.col("san_domains"))).alias("san"))
-    rows = rows.withColumn("n", names.norm_fqdn(F.col("san"))).where("n.name <> ''")
-    reg = names.last_two_labels(F.col("n.name")) if native else names.registrable_domain(F.col("n.name"))
-    return rows.select(F.col("n.name").alias("san_domain"), reg.alias("reg_domain"), "cert_id", F.col("n.wildcard").cast("int").alias("is_wildcard"))
+    rows = rows.withColumn("n", names.norm_fqdn(F.col("san"))).where("n.name <> ''").select("cert_id", F.col("n.name").alias("san_domain"), F.col("n.wildcard").cast("int").alias("is_wildcard"))
+    rows = names.with_suffix(rows, "san_domain", rules, "suffix", "reg")
+    reg = F.coalesce("reg", F.lit(names.OTHER))
+    out = rows.select("san_domain", reg.alias("reg_domain"), "cert_id", "is_wildcard", names.registrable_suffix(reg, F.col("suffix")).alias("suffix"))
+    return out if suffix else out.drop("suffix")
 
 
-def san_classes(index: DataFrame, suffix: Column, dedicate_min: int = 0, split_min: int = 0) -> tuple[DataFrame, DataFrame]:
+def san_classes(index: DataFrame, dedicate_min: int = 0, split_min: int = 0, rules: names.SuffixRules | None = None) -> tuple[DataFrame, DataFrame]:
     """The index with its shard, and (suffix, rows, class): bucketed, then dedicated, then tail."""
-    based = index.withColumn("suffix", names.registrable_suffix(F.col("reg_domain"), suffix))
-    counts = based.groupBy("suffix").agg(F.count("*").alias("rows"))
+    if "suffix" not in index.columns:
+        index = names.with_suffix(index, "reg_domain", rules, "suffix", "own_reg").drop("own_reg").withColumn("suffix", names.registrable_suffix(F.col("reg_domain"), F.col("suffix")))
+    counts = index.groupBy("suffix").agg(F.count("*").alias("rows"))
     bucketed = F.col("suffix").isin(*names.LARGE_SUFFIXES) | ((F.col("rows") >= split_min) if split_min > 0 else F.lit(False))
     dedicated = F.lit(True) if dedicate_min == 0 else F.col("rows") >= dedicate_min
     counts = counts.withColumn("class", F.when(bucketed, "bucketed").when(dedicated, "dedicated").otherwise("tail"))
-    out = based.join(counts.select("suffix", "class"), "suffix")
+    out = index.join(counts.select("suffix", "class"), "suffix")
     s, r = F.col("suffix"), F.col("reg_domain")
     return out.withColumn("shard", _san_shard(F.col("class"), s, r)).drop("class"), counts
 
@@ -118,10 +160,18 @@ def _san_shard(kind: Column, suffix: Column, reg: Column) -> Column:
     return F.when(kind == "bucketed", bucketed).when(kind == "dedicated", names.san_shard_name(suffix, F.lit("all"))).otherwise(names.tail_shard_name(suffix))
 
 
-def write_san_index(index: DataFrame, path: str, suffix: Column, dedicate_min: int = 0, split_min: int = 0) -> None:
-    rows, counts = san_classes(index, suffix, dedicate_min, split_min)
-    rows.repartitionByRange("shard", "san_domain").sortWithinPartitions("shard", "san_domain").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/shards")
+def write_san_index(subjects: DataFrame, path: str, dedicate_min: int = 0, split_min: int = 0, key: str = "id", rules: names.SuffixRules | None = None) -> None:
+    """Name index of subjects in shard folders, sorted by name, with its classes as manifest, and the zones of its files.
+
+    Within a shard names are sorted by registrable domain, then name, so that a domain's names are neighbours.
+    """
+    spark, named = subjects.sparkSession, f"{path}/named"
+    index = san_index(subjects, key, rules, suffix=True)
+    index.write.mode("overwrite").parquet(named)  # suffixes are looked up once
+    rows, counts = san_classes(spark.read.schema(index.schema).parquet(named), dedicate_min, split_min)
+    _written_sorted(rows.select("san_domain", "reg_domain", "cert_id", "is_wildcard", "shard"), path, "reg_domain", SAN_INDEX)
     counts.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+    drop_path(spark, named)
 
 
 def san_shards_for(spark, path: str, name: str, rules: names.SuffixRules | None = None) -> list[str] | None:
@@ -138,10 +188,10 @@ def san_shards_for(spark, path: str, name: str, rules: names.SuffixRules | None
 
 
 def lookup_written_san(spark, path: str, name: str, any_depth: bool = False, rules: names.SuffixRules | None = None) -> DataFrame:
-    """lookup_san on a written index; the manifest says which shard is read."""
-    index = spark.read.parquet(f"{path}/shards")
-    shards = san_shards_for(spark, path, name, rules)
-    return lookup_san(index if shards is None else index.where(F.col("shard").isin(shards)), name, any_depth)
+    """lookup_san on a written index: its registrable domain says by the zones which files are opened, all for a suffix."""
+    reg = (rules or names.suffix_rules()).registrable(name)
+    meets = F.lit(True) if reg is None else (F.col("least") <= reg) & (F.col("most") >= reg)
+    return lookup_san(_stored(spark, zone_files(spark, path, "string", meets), SAN_INDEX), name, any_depth)
 
 
 def lookup_san(index: DataFrame, name: str, any_depth: bool = False) -> DataFrame:

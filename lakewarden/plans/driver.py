@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import certs, ipkey, names, ranges
 from ..operators import archive, chains, dedup, dns, export, intervals, progress, reverse
 from ..schemas import SUBJECTS
-from ..session import shared_folder
+from ..session import file_version, scratch_folder
 from ..streaming import breaker
 from . import catalogue
 
@@ -99,19 +98,31 @@ grouped AS (SELECT s, e, sum(f) OVER (ORDER BY s, e) AS g FROM marked),
 islands AS (SELECT min(s) AS "start", max(e) AS "end" FROM grouped GROUP BY g)"""
 
 
-_written: dict[tuple[str, str, str], str] = {}
+#: Rows from which on a shard of the address index is split, and below which a base shares the common shard.
+IP_SPLIT, IP_LEAST = 1_000_000, 5_000
+#: Rows from which on a suffix has a shard of its own in the name index, and from which on that is cut by first letters.
+SAN_DEDICATE, SAN_SPLIT = 5_000, 100_000
+#: The tables that each index is made of.
+INDEXED = {"ip": ("events",), "san": ("orders", "lineitem")}
+_written: dict[tuple[str, ...], str] = {}
+
+
+def write_index(spark, sf_dir, kind: str) -> str:
+    """Write an index of the tables in sf_dir; its path."""
+    path = scratch_folder(spark, f"index-{kind}")
+    if kind == "ip":
+        reverse.write_ip_index(rev(spark, sf_dir), path, 1, IP_SPLIT, IP_LEAST)
+    else:
+        reverse.write_san_index(subjects(spark, sf_dir), path, SAN_DEDICATE, SAN_SPLIT)
+    return path
 
 
 def written(spark, sf_dir, kind: str) -> str:
-    """Path of an index of the tables in sf_dir, written at the first call of a session; later ones look up in it."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    """Path of the index of the files as they are now: written when a session first asks for it, again if they change."""
+    versions = (file_version(spark, f"{sf_dir}/{t}.parquet") for t in INDEXED[kind])
+    key = (spark.sparkContext.applicationId, sf_dir, kind, *versions)
     if key not in _written:
-        path = f"{shared_folder(spark)}/index-{kind}-{uuid.uuid4().hex}"
-        if kind == "ip":
-            reverse.write_ip_index(rev(spark, sf_dir), path, 1, 5)
-        else:
-            reverse.write_san_index(reverse.san_index(subjects(spark, sf_dir)), path, names.public_suffix(F.col("reg_domain")), 1000, 5000)
-        _written[key] = path
+        _written[key] = write_index(spark, sf_dir, kind)
     return _written[key]
 
 
@@ -279,10 +290,10 @@ def fn10_listing_names(spark, sf_dir):
     return export.listing_counts(subjects(spark, sf_dir))
 
 
-@query(f"""WITH {WITH_SUBJECTS}, k AS (SELECT domain, string_split(domain, '.')[-1] AS tld, string_split(domain, '.')[-2] AS label FROM counts)
+@query(f"""WITH {WITH_SUBJECTS}, k AS (SELECT domain, CASE WHEN ends_with(domain, '.co.uk') THEN 'co.uk' ELSE string_split(domain, '.')[-1] END AS tld, string_split(domain, '.')[-2] AS label FROM counts)
 SELECT domain, tld, CASE WHEN tld <> 'com' THEN 'exports' WHEN regexp_matches(label, '^[a-z]') THEN label[1] WHEN regexp_matches(label, '^[0-9]') THEN '0' ELSE '_other' END AS bucket FROM k""")
 def fn15_shard_key(spark, sf_dir):
-    return export.with_shards(export.dual_counts(export.occurrences(subjects(spark, sf_dir))), native=True).select("domain", "tld", "bucket")
+    return export.with_shards(export.dual_counts(export.occurrences(subjects(spark, sf_dir)))).select("domain", "tld", "bucket")
 
 
 @query(f"WITH {WITH_ADDRESSES} SELECT DISTINCT address, ip, CAST(4 AS INT) AS ver FROM octets JOIN keyed USING (domain, fetched_at) WHERE keyed.o = octets.o")
@@ -504,7 +515,7 @@ def idx03_san_index(spark, sf_dir):
 c AS (SELECT suffix, rows, CASE WHEN suffix = 'com' OR rows >= 5000 THEN 'bucketed' WHEN rows >= 1000 THEN 'dedicated' ELSE 'tail' END AS class FROM n) SELECT suffix, rows, class FROM c""")
 def idx04_san_classes(spark, sf_dir):
     index = reverse.san_index(subjects(spark, sf_dir))
-    return reverse.san_classes(index, names.public_suffix(F.col("reg_domain")), 1000, 5000)[1]
+    return reverse.san_classes(index, 1000, 5000)[1]
 
 
 @query(f"WITH {WITH_ADDRESSES} SELECT DISTINCT domain FROM rev WHERE ip = '00000000000000000000FFFF{bytes([8, 0, 2, 7]).hex().upper()}'")
@@ -514,7 +525,7 @@ def idx05_ip_lookup(spark, sf_dir):
 
 @query(f"WITH {WITH_ADDRESSES} SELECT ip, domain FROM rev WHERE ip BETWEEN '{ipkey.cidr_bounds('8.0.0.0/6')[0].hex().upper()}' AND '{ipkey.cidr_bounds('8.0.0.0/6')[1].hex().upper()}'")
 def idx06_cidr_lookup(spark, sf_dir):
-    return hexed(reverse.lookup_cidr(spark.read.parquet(f"{written(spark, sf_dir, 'ip')}/shards"), "8.0.0.0/6"), "ip")
+    return hexed(reverse.lookup_cidr(reverse.read_ip_index(spark, written(spark, sf_dir, "ip")), "8.0.0.0/6"), "ip")
 
 
 @query(ORACLES["idx06_cidr_lookup"])
@@ -577,10 +588,32 @@ def ext_mx_inverted(spark, sf_dir):
 
 
 # families that earlier had no graded query
-@query(f"WITH {WITH_SUBJECTS} SELECT DISTINCT san_domain AS name, CASE WHEN ends_with(san_domain, '.co.uk') THEN 'co.uk' WHEN contains(san_domain, '.') THEN string_split(san_domain, '.')[-1] ELSE san_domain END AS suffix, CASE WHEN reg_domain = '_other' THEN NULL ELSE reg_domain END AS registrable FROM san_reg")
+#: Names of every kind of rule: bases, each below some labels, and the rules that they meet in the list.
+SUFFIX_BASES = ("com", "example.com", "co.uk", "shop.co.uk", "ck", "www.ck", "city.kobe.jp", "kobe.jp", "github.io", "compute.amazonaws.com", "zz", "a..com", "blogspot.com")
+SUFFIX_RULES = (
+    ("com", "exact"), ("uk", "exact"), ("co.uk", "exact"), ("ck", "wild"), ("www.ck", "exception"), ("jp", "exact"), ("kobe.jp", "wild"), ("city.kobe.jp", "exception"),
+    ("io", "exact"), ("github.io", "exact"), ("compute.amazonaws.com", "wild"), ("blogspot.com", "exact"),
+)
+SUFFIX_HEADS = ("", "a.", "www.b.", "x.y.z.")
+
+
+@query(f"""WITH rules(rule, kind) AS (VALUES {", ".join(map(str, SUFFIX_RULES))}),
+n AS (SELECT DISTINCT CASE o_orderkey % 5 WHEN 0 THEN concat('h', o_custkey, '.', b) ELSE concat(h, b) END AS name FROM (SELECT o_orderkey, o_custkey, {list(SUFFIX_HEADS)}[1 + o_custkey % {len(SUFFIX_HEADS)}] AS h, {list(SUFFIX_BASES)}[1 + o_orderkey % {len(SUFFIX_BASES)}] AS b FROM orders)),
+l AS (SELECT name, string_split(name, '.') AS l, unnest(range(1, len(string_split(name, '.')) + 1)) AS d FROM n), t AS (SELECT name, d, array_to_string(l[-d:], '.') AS tail, array_to_string(l[-(d - 1):], '.') AS parent, len(l) AS k FROM l),
+m AS (SELECT name, CASE WHEN r.kind = 'exception' THEN d - 1 ELSE d END AS labels, r.kind = 'exception' AS first, d FROM t JOIN rules r ON (r.kind <> 'wild' AND r.rule = tail) OR (r.kind = 'wild' AND d > 1 AND r.rule = parent)),
+s AS (SELECT n.name, coalesce(arg_max(labels, d * 2 + CAST(first AS INT)), 1) AS labels, string_split(n.name, '.') AS l FROM n LEFT JOIN m USING (name) GROUP BY n.name)
+SELECT name, array_to_string(l[-labels:], '.') AS suffix, CASE WHEN len(l) > labels AND NOT contains(name, '..') THEN array_to_string(l[-(labels + 1):], '.') END AS registrable FROM s""")
 def fn11_public_suffix(spark, sf_dir):
+    pick = lambda values, at: F.element_at(F.array(*map(F.lit, values)), (at + 1).cast("int"))
+    base, head = pick(SUFFIX_BASES, F.col("o_orderkey") % len(SUFFIX_BASES)), pick(SUFFIX_HEADS, F.col("o_custkey") % len(SUFFIX_HEADS))
+    name = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("h"), "o_custkey", F.lit("."), base)).otherwise(F.concat(head, base))
+    return names.with_suffix(table(spark, sf_dir, "orders").select(name.alias("name")).distinct(), "name")
+
+
+@query(f"WITH {WITH_SUBJECTS} SELECT DISTINCT san_domain AS name, CASE WHEN ends_with(san_domain, '.co.uk') THEN 'co.uk' WHEN contains(san_domain, '.') THEN string_split(san_domain, '.')[-1] ELSE san_domain END AS suffix, CASE WHEN reg_domain = '_other' THEN NULL ELSE reg_domain END AS registrable FROM san_reg")
+def fn11_san_suffix(spark, sf_dir):
     rows = subjects(spark, sf_dir).where("san_domains <> ''").select(F.explode(certs.split_list(F.col("san_domains"))).alias("san")).select(names.norm_fqdn(F.col("san"))["name"].alias("name")).distinct()
-    return rows.withColumn("p", names.suffix_parts(F.col("name"))).select("name", "p.suffix", "p.registrable")
+    return names.with_suffix(rows, "name")
 
 
 _BUCKET_SQL = "CASE WHEN regexp_matches(substr(reg_domain, 1, 1), '[a-z]') THEN substr(reg_domain, 1, 1) WHEN regexp_matches(substr(reg_domain, 1, 1), '[0-9]') THEN '0' ELSE '_other' END"
@@ -588,8 +621,8 @@ _BUCKET_SQL = "CASE WHEN regexp_matches(substr(reg_domain, 1, 1), '[a-z]') THEN
 
 @query(f"WITH {WITH_SUBJECTS}, x AS (SELECT DISTINCT reg_domain, CASE WHEN reg_domain = '_other' THEN '_other' WHEN ends_with(reg_domain, '.co.uk') THEN 'co.uk' ELSE string_split(reg_domain, '.')[-1] END AS suffix FROM san_reg) SELECT reg_domain, concat('san_', suffix, '__', CASE WHEN suffix = 'com' THEN {_BUCKET_SQL} ELSE 'all' END) AS shard, concat('san__tail__', {_BUCKET_SQL.replace('reg_domain', 'suffix')}) AS tail FROM x")
 def fn16_san_shards(spark, sf_dir):
-    rows = reverse.san_index(subjects(spark, sf_dir)).select("reg_domain").distinct()
-    rows = rows.withColumn("s", names.san_shard(F.col("reg_domain"), names.public_suffix(F.col("reg_domain"))))
+    rows = reverse.san_index(subjects(spark, sf_dir), suffix=True).select("reg_domain", "suffix").distinct()
+    rows = rows.withColumn("s", names.san_shard(F.col("reg_domain"), F.col("suffix")))
     return rows.select("reg_domain", names.san_shard_name(F.col("s.suffix"), F.col("s.bucket")).alias("shard"), names.tail_shard_name(F.col("s.suffix")).alias("tail"))
 
 
@@ -690,7 +723,7 @@ u AS (SELECT *, 0 AS r FROM k WHERE id % 2 = 0 UNION ALL SELECT *, 1 FROM k WHER
 @query(_ARCHIVE_SQL)
 def ded08_archive(spark, sf_dir):
     """Two overlapping pools are drained into a month archive, the second of them twice, and all months are sealed."""
-    store = dedup.MonthArchive(spark, f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}")
+    store = dedup.MonthArchive(spark, scratch_folder(spark, "archive"))
     rows = _pool(spark, sf_dir)
     second = rows.where("id % 2 = 1 or id % 3 = 0")
     archive.drain_pools(store, [rows.where("id % 2 = 0"), second, second], seal=True)
@@ -701,7 +734,7 @@ def ded08_archive(spark, sf_dir):
 k AS (SELECT s.id, g.global_id AS ca_id, substr(s.not_before, 1, 7) AS cert_month, coalesce(s.cert_key, concat_ws(':', s.tile_idx, s.entry_idx)) AS key FROM subjects s JOIN g ON g.ca_id = s.ca_id AND g.source = s.ca_id % 3)
 SELECT id, ca_id, cert_month FROM (SELECT *, row_number() OVER (PARTITION BY cert_month, key ORDER BY id) AS nth FROM k) WHERE nth = 1""")
 def ded12_repartition(spark, sf_dir):
-    store = dedup.MonthArchive(spark, f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}")
+    store = dedup.MonthArchive(spark, scratch_folder(spark, "archive"))
     rows = _pool(spark, sf_dir).withColumn("source", F.col("ca_id") % 3)
     mapping = rows.where("ca_id % 11 > 0").select("source", "ca_id", (F.col("ca_id") * 3 + F.col("source")).alias("global_id")).distinct()
     archive.repartition(rows, mapping, store)
@@ -711,7 +744,7 @@ def ded12_repartition(spark, sf_dir):
 @query(ORACLES["agg09_dual_count"])
 def ded11_incremental(spark, sf_dir):
     """Months are exported in two goes; the second skips those that the first has written."""
-    path = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "export")
     rows = subjects(spark, sf_dir)
     export.export_months(spark, rows.where("not_before < '1997'"), path)
     return export.export_months(spark, rows, path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,3 +36,39 @@ def shared_folder(spark: SparkSession) -> str:
         found = f"file://{tempfile.mkdtemp(prefix='lakewarden-')}"
         sc.setCheckpointDir(found)
     return found.rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, if it is there."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def file_version(spark: SparkSession, path: str) -> str:
+    """Changes when the files of a table do: their number, bytes and the latest time of change."""
+    p, fs = _file_system(spark, path)
+    files = fs.listStatus(p)
+    return f"{len(files)}-{sum(f.getLen() for f in files)}-{max((f.getModificationTime() for f in files), default=0)}"
+
+
+def scratch_folder(spark: SparkSession, prefix: str) -> str:
+    """A new path in the shared folder, deleted when Python ends: for what results are read from until then."""
+    path = f"{shared_folder(spark)}/{prefix}-{uuid.uuid4().hex}"
+
+    def drop() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            drop_path(spark, path)
+
+    atexit.register(drop)
+    return path

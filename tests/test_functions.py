@@ -38,12 +38,38 @@ def test_export_shard(spark):
     assert got == {"www.example.com": ("com", "e"), "subdomain.123start.com": ("com", "0"), "example.net": ("net", "exports"), "foo.co.uk": ("co.uk", "exports"), "nodot": ("_other", "exports")}
 
 
+RULES = "com\n*.ck\n!www.ck\nco.uk\nuk\n// remark\nblog.com\na.b.c.d.e\nübung.de\n*.d.e"
+NAMES = ("a.com", "x.y.ck", "www.ck", "w.www.ck", "y.ck", "ck", "a.co.uk", "a.zz", "q.blog.com", "com", "a..com", ".com", "com.", "", "x.a.b.c.d.e", "b.c.d.e", "one", "x.xn--bung-zra.de", "x.übung.de")
+
+
 def test_suffix_rules():
-    rules = names.SuffixRules("com\n*.ck\n!www.ck\nco.uk\nuk\n// remark\nblog.com")
+    rules = names.SuffixRules(RULES)
     assert [rules.suffix(x) for x in ("a.com", "x.y.ck", "www.ck", "a.co.uk", "a.zz", "q.blog.com")] == ["com", "y.ck", "ck", "co.uk", "zz", "blog.com"]
     assert [rules.registrable(x) for x in ("a.b.com", "com", "w.www.ck", "x.y.ck", "y.ck", "a..com", ".com", "")] == ["b.com", None, "www.ck", "x.y.ck", None, None, None, None]
 
 
+def test_suffixes_of_a_table_by_joins(spark, tmp_path):
+    (tmp_path / "rules.dat").write_text(RULES + "\n\n")
+    rules = names.read_suffix_rules(spark, str(tmp_path / "rules.dat"))
+    df = spark.createDataFrame([(n, k) for k, n in enumerate((*NAMES, None, "a.com"))], "`the name` string, suffix2 int")
+    out = names.with_suffix(df.withColumnRenamed("the name", "n"), "n", rules)
+    got = {(r.n, r.suffix2): (r.suffix, r.registrable) for r in out.collect()}
+    own = names.SuffixRules(RULES)
+    assert got == {(n, k): ((own.suffix(n), own.registrable(n)) if n is not None else (None, None)) for k, n in enumerate((*NAMES, None, "a.com"))}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "SortMergeJoin" not in plan
+    assert "hashpartitioning" not in plan
+
+
+def test_public_list_is_part_of_the_package(monkeypatch, tmp_path):
+    import pyspark
+
+    monkeypatch.setattr(pyspark, "__file__", str(tmp_path / "nowhere.py"))  # no jars beside it
+    names.suffix_rules.cache_clear()
+    rules = names.suffix_rules()
+    assert len(rules.kinds) > 9000 and [rules.registrable(n) for n in ("a.b.co.uk", "x.github.io", "city.kobe.jp", "a.b.kobe.jp")] == ["b.co.uk", "x.github.io", "city.kobe.jp", "a.b.kobe.jp"]
+
+
 def test_san_shard(spark):
     df = spark.createDataFrame([("example.com", "com"), ("ebay.com", "com"), ("9292.com", "com"), ("example.co.uk", "co.uk"), ("_other", "_other")], "r string, s string")
     got = [tuple(x.k) for x in df.select(names.san_shard(F.col("r"), F.col("s")).alias("k")).collect()]

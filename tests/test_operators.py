@@ -164,24 +164,24 @@ def test_san_index_and_classes(spark):
     found = reverse.lookup_san(index, "example.com").collect()
     assert sorted({r.cert_id for r in found}) == [1, 2, 3] and {r.is_wildcard for r in found if r.cert_id == 2} == {1}
     assert reverse.lookup_san(index, "b.example.com").count() == 0 and reverse.lookup_san(index, "b.example.com", any_depth=True).count() == 1
-    from lakewarden.functions.names import public_suffix
-
-    out, counts = reverse.san_classes(index, public_suffix(F.col("reg_domain")), 2, 3)
+    out, counts = reverse.san_classes(index, 2, 3)
     assert {r["suffix"]: r["class"] for r in counts.collect()} == {"com": "bucketed", "io": "bucketed", "net": "tail"}
     assert {r.shard for r in out.collect()} == {"san_com__e", "san_io__x", "san_io__y", "san_io__z", "san__tail__n"}
 
 
 def test_written_index_routes_names(spark, tmp_path):
-    from lakewarden.functions.names import public_suffix
-
-    sans = [f"a{i}.site{i % 40}.{tld}" for i in range(300) for tld in ("com", "co.uk", "io")] + ["x.example.net", "example.net", "nodots", "co.uk"]
-    index = reverse.san_index(spark.createDataFrame(list(enumerate(sans)), "id long, san_domains string"))
-    path = str(tmp_path / "san")
-    reverse.write_san_index(index, path, public_suffix(F.col("reg_domain")), 2, 200)
-    for name, deep in (("site7.com", False), ("site7.co.uk", False), ("a7.site7.io", True), ("example.net", False), ("absent.org", False), ("co.uk", True), ("nodots", False)):
+    sans = [f"a{i}.site{i % 40}.{tld}" for i in range(300) for tld in ("com", "co.uk", "io")] + ["x.example.net", "example.net", "nodots", "co.uk", "*.w.site7.com"]
+    rows = spark.createDataFrame(list(enumerate(sans)), "id long, san_domains string")
+    index, path = reverse.san_index(rows), str(tmp_path / "san")
+    reverse.write_san_index(rows, path, 2, 200)
+    assert not (tmp_path / "san" / "named").exists() and not (tmp_path / "san" / "staged").exists()
+    for name, deep in (("site7.com", False), ("w.site7.com", True), ("site7.co.uk", False), ("a7.site7.io", True), ("example.net", False), ("absent.org", False), ("co.uk", True), ("nodots", False)):
         want = [tuple(r) for r in reverse.lookup_san(index, name, deep).collect()]
         assert [tuple(r) for r in reverse.lookup_written_san(spark, path, name, deep).collect()] == want, name
     assert reverse.san_shards_for(spark, path, "site7.com") == ["san_com__s"] and reverse.san_shards_for(spark, path, "absent.org") == [] and reverse.san_shards_for(spark, path, "com") is None
+    stored = spark.read.parquet(f"{path}/shards")
+    assert sorted(map(tuple, stored.select("san_domain", "reg_domain", "cert_id", "is_wildcard").collect())) == sorted(map(tuple, index.collect()))
+    assert len(reverse.lookup_written_san(spark, path, "site7.com").inputFiles()) < len(stored.inputFiles())
 
 
 def test_written_address_index(spark, tmp_path):
@@ -190,6 +190,12 @@ def test_written_address_index(spark, tmp_path):
     reverse.write_ip_index(index, path, 1, 2)
     assert [r.domain for r in reverse.lookup_written_ip(spark, path, "203.0.113.7").collect()] == ["x.com", "y.com"]
     assert [r.domain for r in reverse.lookup_written_cidr(spark, path, "2001:db8::/32").collect()] == ["v6.com"]
+    assert reverse.lookup_written_ip(spark, path, "1.2.3.4").count() == 0
+    one = str(tmp_path / "one")
+    reverse.write_ip_index(index, one, 1, 0, 1000)  # all bases are small
+    assert [r.shard for r in spark.read.parquet(f"{one}/zones").select("shard").distinct().collect()] == [reverse.TAIL]
+    assert [r.domain for r in reverse.lookup_written_cidr(spark, one, "203.0.113.0/24").collect()] == ["x.com", "y.com", "z.com"]
+    assert sorted(map(tuple, reverse.read_ip_index(spark, one).drop("shard").collect())) == sorted(map(tuple, index.select("ip", "domain", "ver", "fetched_at").collect()))
 
 
 def test_shards_read_back_and_fed(spark, tmp_path):
