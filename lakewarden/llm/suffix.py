@@ -9,7 +9,9 @@ fourteenth of the positions are anchors, and only what can still match goes on:
 2. Regions. The strings that an anchor stands for start side by side. Where all of them recur together (inside of a
    copied passage) one sorted name for the region settles them at once; of equal regions the first goes on, and that
    only if its anchor's rank has other regions as well.
-3. Offset of half a length. Of those, each start makes the pair (rank of its first half, rank of its second half). Spark
+3. Offset of a quarter. Starts left and right of the anchor's middle go on apart, if what their side adds to the rank is
+   another region's too.
+4. Offset of half a length. Of those, each start makes the pair (rank of its first half, rank of its second half). Spark
    sorts the pairs and ranks anew; the length is LENGTH now, past the threshold.
 
 Ranks are 64-bit hashes of content: places in an order are as good as any names of equal strings. In each task equal keys
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, drop_shuffles
@@ -76,35 +78,74 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     n = len(data) - length + 1
     least = np.minimum(least[:n], least[width - size : width - size + n])
     first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    return grams, least[first], first, np.concatenate((first[1:], [n])) - 1
+    last = np.concatenate((first[1:], [n])) - 1
+    if (last - first).max() >= width:  # the rank comes again before its anchor is passed: parts of the usual length
+        parts = (last - first) // width + 1
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        first, last = np.repeat(first, parts) + nth * width, np.repeat(last, parts)
+        last = np.minimum(last, first + width - 1)
+    return grams, least[first], first, last
 
 
 def _long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)
 
 
-#: Rows between steps: key (a, b), document (doc, tag), starts from `start` on, `width` of them. `known`: a document of
-#: the same chunk comes before it; `many`: the chunk has the key in several documents.
-ROW = "a long, b long, doc long, tag int, start int, width int, known boolean, many boolean"
-ROW_KIND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc", pa.int64()), ("tag", pa.int32()), ("start", pa.int32()), ("width", pa.int32()), ("known", pa.bool_()), ("many", pa.bool_())])
-
-
-def _combined(parts: list[tuple], step: str) -> Iterator[pa.RecordBatch]:
+#: Ranks: rank, document, flags: whether a document of the same chunk comes before it, and whether the chunk has several.
+RANK = "a long, doc long, flags tinyint"
+#: Regions and pairs: key (a, b), document (doc, tag), place; a place known to come later is negative, -1 - place.
+ROW = "a long, b long, doc long, tag int, place long"
+#: Bits of a place below its start: number of starts less one, way to the anchor, whether the rank comes twice, and a few
+#: bits of what stands left and right of the anchor.
+WIDTH, WAY, TWICE, SIDE = 6, 6, 1, 9
+LOW = WIDTH + WAY + TWICE + 2 * SIDE
+#: Strings of at most so many bytes.
+MOST = 1 << WIDTH
+
+
+def _places(grams: np.ndarray, rank: np.ndarray, first: np.ndarray, last: np.ndarray, half: int, offset: int) -> np.ndarray:
+    """Where regions are, where their anchors stand in them, and some bits of what is left and right of the anchors."""
+    at = np.minimum(first[:, None] + np.arange(2 * half + 1), len(grams) - 1)
+    same = (grams[at] == rank[:, None]) & (np.arange(2 * half + 1) <= (last - first + half)[:, None])
+    way, twice = same.argmax(axis=1), same.sum(axis=1) > 1
+    mid, anchor = (half + 1) // 2, first + way
+    left = grams[np.maximum(anchor - mid, 0)] >> np.uint64(64 - SIDE)
+    right = grams[np.minimum(anchor + half - mid + 1, len(grams) - 1)] >> np.uint64(64 - SIDE)
+    low = (last - first).astype(np.int64)
+    for bits, value in ((WAY, way), (TWICE, twice), (SIDE, left), (SIDE, right)):
+        low = low << bits | value.astype(np.int64)
+    return (first + offset).astype(np.int64) << LOW | low
+
+
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """True where a sorted key begins."""
+    out = np.ones(len(keys[0]), bool)
+    out[1:] = False
+    for k in keys:
+        out[1:] |= k[1:] != k[:-1]
+    return out
+
+
+def _combined(parts: list[tuple], ranks: bool) -> Iterator[pa.RecordBatch]:
     """Rows of a chunk, in order of key and document, each marked as the first of its key or known to come later."""
-    a, b, doc, tag, start, width = (np.concatenate([p[k] for p in parts]) for k in range(6))
-    order = np.lexsort((doc, b, a))
-    a, b, doc, tag, start, width = (x[order] for x in (a, b, doc, tag, start, width))
-    if step == "ranks":  # a document needs to be told of a rank but once
-        keep = np.concatenate(([True], (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])))
-        a, b, doc, tag, start, width = (x[keep] for x in (a, b, doc, tag, start, width))
-    at = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
-    size = np.diff(np.concatenate((at, [len(a)])))
-    first = np.repeat(doc[at], size)
-    many = np.repeat(doc[at + size - 1], size) > first
-    columns = (_long(a), _long(b), doc, tag, start, width, doc > first, many)
-    for i in range(0, len(a), 1 << 16):
-        cut = slice(i, i + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(x[cut].astype(f.type.to_pandas_dtype(), copy=False)) for x, f in zip(columns, ROW_KIND, strict=True)], schema=ROW_KIND)
+    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.lexsort((columns[1], columns[0]) if ranks else (columns[2], columns[1], columns[0]))
+    columns = [x[order] for x in columns]
+    if ranks:  # a document needs to be told of a rank but once
+        keep = _heads(columns[0], columns[1])
+        columns = [x[keep] for x in columns]
+    doc, head = (columns[1], _heads(columns[0])) if ranks else (columns[2], _heads(columns[0], columns[1]))
+    at = np.flatnonzero(head)
+    size = np.diff(np.concatenate((at, [len(doc)])))
+    known = doc > np.repeat(doc[at], size)
+    if ranks:
+        many = np.repeat(doc[at + size - 1] > doc[at], size)
+        columns, names = [_long(columns[0]), doc, (known + 2 * many).astype(np.int8)], ["a", "doc", "flags"]
+    else:
+        a, b, doc, tag, place = columns
+        columns, names = [_long(a), _long(b), doc, tag.astype(np.int32), np.where(known, -1 - place, place)], ["a", "b", "doc", "tag", "place"]
+    for i in range(0, len(doc), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in columns], names)
 
 
 def _rows(length: int, step: str):
@@ -114,15 +155,14 @@ def _rows(length: int, step: str):
     def of_block(doc: int, tag: int, data: np.ndarray, offset: int, counts) -> tuple:
         grams, rank, first, last = anchors(data, length)
         if step == "ranks":
-            zero = np.zeros(len(rank), np.int64)
-            return rank, zero, np.full(len(rank), doc), zero, zero, zero
+            return rank, np.full(len(rank), doc)
         if step == "regions":
             alive = np.isin(_long(rank), counts)
             rank, first, last = rank[alive], first[alive], last[alive]
             name = _mix(_mix(grams[first], grams[first + half]), _mix(grams[last + half], (last - first).astype(np.uint64)))
-            return rank, name, np.full(len(rank), doc), np.full(len(rank), tag), first + offset, last - first + 1
+            return rank, name, np.full(len(rank), doc), np.full(len(rank), tag), _places(grams, rank, first, last, half, offset)
         at = counts[(counts >= offset) & (counts < offset + len(data) - length + 1)] - offset
-        return grams[at], grams[at + half], np.full(len(at), doc), np.full(len(at), tag), at + offset, np.ones(len(at), np.int64)
+        return grams[at], grams[at + half], np.full(len(at), doc), np.full(len(at), tag), (at + offset) << LOW
 
     def run(batches):
         parts, n = [], 0
@@ -135,22 +175,22 @@ def _rows(length: int, step: str):
                 elif step == "pairs":
                     places = batch.column("places")[i].values
                     start, width = (places.field(k).to_numpy() for k in (0, 1))
-                    counts = np.repeat(start - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum())
+                    counts = np.repeat(start - (np.cumsum(width) - width), width) + np.arange(width.sum())
                 for at in range(0, len(data) - length + 1, BLOCK):
                     parts.append(of_block(doc, tag, data[at : at + BLOCK + length - 1], at, counts))
                     n += len(parts[-1][0])
                     if n >= CHUNK:
-                        yield from _combined(parts, step)
+                        yield from _combined(parts, step == "ranks")
                         parts, n = [], 0
         if n:
-            yield from _combined(parts, step)
+            yield from _combined(parts, step == "ranks")
 
     return run
 
 
-def _dealt(rows: DataFrame, *key: str) -> DataFrame:
+def _dealt(rows: DataFrame, known: str, *key: str) -> DataFrame:
     """Rows sorted by key and document in partitions by key; rows known to come later stay spread by document."""
-    return rows.repartition(F.when(F.col("known"), F.xxhash64("doc", *key)).otherwise(F.xxhash64(*key))).sortWithinPartitions(*key, "doc")
+    return rows.repartition(F.when(F.expr(known), F.xxhash64("doc", *key)).otherwise(F.xxhash64(*key))).sortWithinPartitions(*key, "doc")
 
 
 def _column(batch, name: str) -> np.ndarray:
@@ -160,15 +200,15 @@ def _column(batch, name: str) -> np.ndarray:
 def _alive(batches):
     """(doc, rank) where more than one document has a rank; batches are sorted by rank and document."""
 
-    def judged(rank, doc, many):
-        at = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1])))
+    def judged(rank, doc, flags):
+        at = np.flatnonzero(_heads(rank))
         size = np.diff(np.concatenate((at, [len(rank)])))
-        shared = np.repeat(np.logical_or.reduceat(many, at) | (doc[at] != doc[at + size - 1]), size)
+        shared = np.repeat(np.logical_or.reduceat(flags > 1, at) | (doc[at] != doc[at + size - 1]), size)
         return pa.RecordBatch.from_arrays([pa.array(doc[shared]), pa.array(rank[shared])], ["doc", "rank"])
 
     kept = None
     for batch in batches:
-        now = [_column(batch, c) for c in ("a", "doc", "many")]
+        now = [_column(batch, c) for c in ("a", "doc", "flags")]
         if kept is not None:
             now = [np.concatenate(x) for x in zip(kept, now, strict=True)]
         if not len(now[0]):
@@ -181,7 +221,7 @@ def _alive(batches):
         yield judged(*kept)
 
 
-MET = "gone boolean, a long, b long, doc long, tag int, start int, width int"
+MET = "gone boolean, a long, b long, doc long, tag int, place long"
 
 
 def _settled(batches):
@@ -190,13 +230,16 @@ def _settled(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b, doc, known = (_column(batch, c) for c in ("a", "b", "doc", "known"))
-        at = np.flatnonzero(np.concatenate(([key != (a[0], b[0])], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        a, b, doc, place = (_column(batch, c) for c in ("a", "b", "doc", "place"))
+        head = _heads(a, b)
+        head[0] = key != (a[0], b[0])
+        at = np.flatnonzero(head)
         firsts = np.full(len(a), first)
         if len(at):
             firsts[at[0] :] = np.repeat(doc[at], np.diff(np.concatenate((at, [len(a)]))))
         key, first = (a[-1], b[-1]), firsts[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(known | (doc > firsts)), *(batch.column(c) for c in ("a", "b", "doc", "tag", "start", "width"))], ["gone", "a", "b", "doc", "tag", "start", "width"])
+        columns = [pa.array((place < 0) | (doc > firsts)), *(batch.column(c) for c in ("a", "b", "doc", "tag")), pa.array(np.where(place < 0, -1 - place, place))]
+        yield pa.RecordBatch.from_arrays(columns, ["gone", "a", "b", "doc", "tag", "place"])
 
 
 def _removed(length: int, texts_too: bool):
@@ -227,8 +270,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
 
     kept are the remaining bytes, null without texts_too; a cut may fall inside a character.
     """
-    if length < 4:
-        raise ValueError("strings of four bytes and more")
+    if not 4 <= length <= MOST:
+        raise ValueError(f"strings of 4 to {MOST} bytes")
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("tag", F.hash("text"))  # tells rows of an equal id apart
     with Scratch() as tables:
@@ -239,21 +282,44 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
         return tables.keep(out if texts_too else out.drop("kept"))
 
 
+def _start_and_width() -> tuple[Column, Column]:
+    return F.shiftright("place", LOW).cast("int").alias("start"), (F.shiftright("place", LOW - WIDTH) % MOST + 1).cast("int").alias("width")
+
+
 def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     """(doc, tag, start, width): starts of strings that an earlier document has as well, in a table of its own."""
-    alive = tables.write(_dealt(rows.mapInArrow(_rows(length, "ranks"), ROW), "a").mapInArrow(_alive, "doc long, rank long"))
+    ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a")
+    alive = tables.write(ranks.mapInArrow(_alive, "doc long, rank long"))
     drop_shuffles(rows.sparkSession)
     of_doc = alive.groupBy("doc").agg(F.collect_set("rank").alias("alive"))  # no more than the document has anchors
     regions = rows.join(of_doc, "doc").mapInArrow(_rows(length, "regions"), ROW)
-    met = tables.write(_dealt(regions, "a", "b").mapInArrow(_settled, MET))
+    met = tables.write(_dealt(regions, "place < 0", "a", "b").mapInArrow(_settled, MET))
     tables.drop(alive)
     drop_shuffles(rows.sparkSession)
-    first = met.where("not gone")
-    several = first.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most")).where("least <> most").select("a")
-    places = first.join(several, "a").groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("places"))
-    pairs = rows.join(places, ["doc", "tag"]).mapInArrow(_rows(length, "pairs"), ROW)
-    late = _dealt(pairs, "a", "b").mapInArrow(_settled, MET).where("gone").select("doc", "tag", "start", "width")
-    spans = tables.write(met.where("gone").select("doc", "tag", "start", "width").union(late))
+    places = tables.write(_open_places(met.where("not gone"), length))
+    places_of = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("places"))
+    pairs = rows.join(places_of, ["doc", "tag"]).mapInArrow(_rows(length, "pairs"), ROW)
+    late = _dealt(pairs, "place < 0", "a", "b").mapInArrow(_settled, MET).where("gone")
+    spans = tables.write(met.where("gone").union(late).select("doc", "tag", *_start_and_width()))
     tables.drop(met)
+    tables.drop(places)
     drop_shuffles(rows.sparkSession)
     return spans
+
+
+def _open_places(first: DataFrame, length: int) -> DataFrame:
+    """(doc, tag, start, width) of the starts in first regions that other regions may have too.
+
+    Offset of a quarter: the starts of a region before its anchor's middle share with any other region of the rank what
+    stands left of the anchor, the others what stands right of it. Sides whose rank pair no other region has are done.
+    """
+    mid = (length - (length + 1) // 2 + 1) // 2
+    bits = lambda shift, size: F.shiftright("place", shift) % (1 << size)
+    first = first.select("a", "b", "doc", "tag", *_start_and_width(), bits(2 * SIDE + TWICE, WAY).cast("int").alias("way"), (bits(2 * SIDE, TWICE) == 1).alias("twice"), bits(SIDE, SIDE).cast("int").alias("left"), bits(0, SIDE).cast("int").alias("right"))
+    several = first.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"), F.max("twice").alias("any")).where("least <> most").select("a", "any")
+    met = first.join(several, "a")
+    cut = F.greatest(F.lit(0), F.least(F.col("width"), F.col("way") - mid + 1))  # so many starts are left ones
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("near"), F.col("start").alias("start"), cut.alias("width")), F.struct(F.lit(1).alias("side"), F.col("right").alias("near"), (F.col("start") + cut).alias("start"), (F.col("width") - cut).alias("width")))
+    sided = met.where("not any").select("a", "b", "doc", "tag", F.explode(F.filter(sides, lambda x: x["width"] > 0)).alias("s")).select("a", "b", "doc", "tag", "s.*")
+    open_sides = sided.groupBy("a", "side", "near").agg(F.min("b").alias("least"), F.max("b").alias("most")).where("least <> most").select("a", "side", "near")
+    return sided.join(open_sides, ["a", "side", "near"]).select("doc", "tag", "start", "width").union(met.where("any").select("doc", "tag", "start", "width"))
