@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import gc
-import tempfile
+import time
 import uuid
 import zlib
 
@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 #: Documents with this remainder of crc32(doc_id as text) mod 5 are held out from every fit.
 HELD_OUT_MOD = 5
 
@@ -43,22 +45,19 @@ def crc_held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % HELD_OUT_MOD == 0
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where it is unset and all is local."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='lakewarden-')}"
-        sc.setCheckpointDir(found)
-    return found
+def sample_place(key: str, text: str):
+    """Place of a row between 0 and 1 by its id and text, for samples: rows without an id have places of their own too."""
+    return (F.xxhash64(F.col(key).cast("string"), F.col(text).cast("string"), F.lit(1)).cast("double") + 2.0**63) / 2.0**64
+
+
+#: A sample has at most so many times the rows that are asked for, even if one row is repeated without end.
+SAMPLE_SLACK = 1.25
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends at files that outlive executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/lw-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/lw-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._lw_path = path
@@ -77,8 +76,10 @@ def release(df: DataFrame) -> None:
 
 def drop_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs that are done: it does so when the driver's collectors find them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what Python held is free for the driver's JVM only after the first time
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 class Scratch:

@@ -1,11 +1,11 @@
 """Operator 13: repeated byte strings, by distributed prefix doubling on sampled positions.
 
 A byte goes if some string of LENGTH bytes over it also starts in a document of a smaller id. Doubling over every position
-would shuffle each byte of the corpus as a row several times, more than twenty times the input. But any string of LENGTH
-bytes holds one whole gram of half its length, the one with the smallest hash, wherever the string occurs: its anchor. A
-fourteenth of the positions are anchors, and only what can still match goes on:
+would shuffle each byte of the corpus as a row several times, more than twenty times the input. But of the grams of two
+fifths of its length that a string of LENGTH bytes holds, one has the smallest hash, wherever the string occurs: its
+anchor. A sixteenth of the positions are anchors, and only what can still match goes on:
 
-1. Offset 0. Ranks of half length at anchors. Spark sorts (rank, document); ranks of one document alone are unique, done.
+1. Offset 0. Ranks of anchors. Spark sorts (rank, document); ranks of one document alone are unique, done.
 2. Regions. The strings that an anchor stands for start side by side. Where all of them recur together (inside of a
    copied passage) one sorted name for the region settles them at once; of equal regions the first goes on, and that
    only if its anchor's rank has other regions as well.
@@ -53,25 +53,33 @@ def _mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """A hash of every k bytes, by doubling: strings of 1, 2, 4, ... bytes are joined to k."""
-    power, size, out, done = data.astype(np.uint64) + np.uint64(1), 1, None, 0
+def gram_hashes(data: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """For each size a hash of every so many bytes, by doubling: strings of 1, 2, 4, ... bytes are joined to it."""
+    power, length = data.astype(np.uint64) + np.uint64(1), 1
+    out: list = [(None, 0)] * len(sizes)
     while True:
-        if k & size:
-            n = len(data) - done - size + 1
-            out = power if out is None else _mix(out[:n], power[done : done + n])
-            done += size
-        if done == k:
-            return out
-        power = _mix(power[:-size], power[size:])
-        size *= 2
-
-
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(all gram hashes, anchors' ranks, first start, last start): each start of `length` bytes belongs to one anchor."""
-    k = (length + 1) // 2
-    grams, width = gram_hashes(data, k), length - k + 1
-    least, size = grams, 1
+        for i, size in enumerate(sizes):
+            if size & length:
+                grams, done = out[i]
+                n = len(data) - done - length + 1
+                out[i] = power if grams is None else _mix(grams[:n], power[done : done + n]), done + length
+        if length * 2 > max(sizes):
+            return [grams for grams, _ in out]
+        power = _mix(power[:-length], power[length:])
+        length *= 2
+
+
+def sizes_of(length: int) -> tuple[int, int, int]:
+    """Bytes of an anchor, of half a string, and how far a string may begin before its anchor."""
+    k = 2 * length // 5
+    return k, (length + 1) // 2, length - k
+
+
+def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor grams, half grams, ranks, first start, last start): each start of `length` bytes belongs to one anchor."""
+    k, half, slack = sizes_of(length)
+    grams, halves = gram_hashes(data, k, half)
+    least, size, width = grams, 1, slack + 1
     while size * 2 <= width:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
@@ -84,7 +92,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first, last = np.repeat(first, parts) + nth * width, np.repeat(last, parts)
         last = np.minimum(last, first + width - 1)
-    return grams, least[first], first, last
+    return grams, halves, least[first], first, last
 
 
 def _long(x: np.ndarray) -> np.ndarray:
@@ -103,14 +111,15 @@ LOW = WIDTH + WAY + TWICE + 2 * SIDE
 MOST = 1 << WIDTH
 
 
-def _places(grams: np.ndarray, rank: np.ndarray, first: np.ndarray, last: np.ndarray, half: int, offset: int) -> np.ndarray:
+def _places(grams: np.ndarray, halves: np.ndarray, rank: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, offset: int) -> np.ndarray:
     """Where regions are, where their anchors stand in them, and some bits of what is left and right of the anchors."""
-    at = np.minimum(first[:, None] + np.arange(2 * half + 1), len(grams) - 1)
-    same = (grams[at] == rank[:, None]) & (np.arange(2 * half + 1) <= (last - first + half)[:, None])
+    _, half, slack = sizes_of(length)
+    steps = np.arange(2 * slack + 1)
+    same = (grams[np.minimum(first[:, None] + steps, len(grams) - 1)] == rank[:, None]) & (steps <= (last - first + slack)[:, None])
     way, twice = same.argmax(axis=1), same.sum(axis=1) > 1
-    mid, anchor = (half + 1) // 2, first + way
-    left = grams[np.maximum(anchor - mid, 0)] >> np.uint64(64 - SIDE)
-    right = grams[np.minimum(anchor + half - mid + 1, len(grams) - 1)] >> np.uint64(64 - SIDE)
+    mid, anchor = (slack + 1) // 2, first + way
+    left = halves[np.maximum(anchor - mid, 0)] >> np.uint64(64 - SIDE)
+    right = halves[np.minimum(anchor + length - mid + 1 - half, len(halves) - 1)] >> np.uint64(64 - SIDE)
     low = (last - first).astype(np.int64)
     for bits, value in ((WAY, way), (TWICE, twice), (SIDE, left), (SIDE, right)):
         low = low << bits | value.astype(np.int64)
@@ -150,19 +159,19 @@ def _combined(parts: list[tuple], ranks: bool) -> Iterator[pa.RecordBatch]:
 
 def _rows(length: int, step: str):
     """Anchors' rows of texts. Columns: doc, tag, text, and for later steps what of the document still counts."""
-    half = length - (length + 1) // 2
+    half = length - sizes_of(length)[1]
 
     def of_block(doc: int, tag: int, data: np.ndarray, offset: int, counts) -> tuple:
-        grams, rank, first, last = anchors(data, length)
+        grams, halves, rank, first, last = anchors(data, length)
         if step == "ranks":
             return rank, np.full(len(rank), doc)
         if step == "regions":
             alive = np.isin(_long(rank), counts)
             rank, first, last = rank[alive], first[alive], last[alive]
-            name = _mix(_mix(grams[first], grams[first + half]), _mix(grams[last + half], (last - first).astype(np.uint64)))
-            return rank, name, np.full(len(rank), doc), np.full(len(rank), tag), _places(grams, rank, first, last, half, offset)
+            name = _mix(_mix(halves[first], halves[first + half]), _mix(halves[last], halves[last + half]) + (last - first).astype(np.uint64))
+            return rank, name, np.full(len(rank), doc), np.full(len(rank), tag), _places(grams, halves, rank, first, last, length, offset)
         at = counts[(counts >= offset) & (counts < offset + len(data) - length + 1)] - offset
-        return grams[at], grams[at + half], np.full(len(at), doc), np.full(len(at), tag), (at + offset) << LOW
+        return halves[at], halves[at + half], np.full(len(at), doc), np.full(len(at), tag), (at + offset) << LOW
 
     def run(batches):
         parts, n = [], 0
@@ -238,7 +247,9 @@ def _settled(batches):
         if len(at):
             firsts[at[0] :] = np.repeat(doc[at], np.diff(np.concatenate((at, [len(a)]))))
         key, first = (a[-1], b[-1]), firsts[-1]
-        columns = [pa.array((place < 0) | (doc > firsts)), *(batch.column(c) for c in ("a", "b", "doc", "tag")), pa.array(np.where(place < 0, -1 - place, place))]
+        gone = (place < 0) | (doc > firsts)
+        keys = [pa.array(x, mask=gone) for x in (a, b)]  # nobody asks for those of rows that are settled
+        columns = [pa.array(gone), *keys, batch.column("doc"), batch.column("tag"), pa.array(np.where(place < 0, -1 - place, place))]
         yield pa.RecordBatch.from_arrays(columns, ["gone", "a", "b", "doc", "tag", "place"])
 
 
@@ -273,7 +284,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
     if not 4 <= length <= MOST:
         raise ValueError(f"strings of 4 to {MOST} bytes")
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumn("tag", F.hash("text"))  # tells rows of an equal id apart
+    again = rows.where("doc is not null").groupBy("doc").count().where("count > 1").limit(1).count()
+    rows = rows.withColumn("tag", F.hash("text") if again else F.lit(0))  # tells rows of an equal id apart, if there are any
     with Scratch() as tables:
         spans = _repeats(rows.where("doc is not null").where(F.octet_length("text") >= length), length, tables)
         spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("spans"))  # no more than the document has bytes
@@ -291,7 +303,7 @@ def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a")
     alive = tables.write(ranks.mapInArrow(_alive, "doc long, rank long"))
     drop_shuffles(rows.sparkSession)
-    of_doc = alive.groupBy("doc").agg(F.collect_set("rank").alias("alive"))  # no more than the document has anchors
+    of_doc = alive.groupBy("doc").agg(F.collect_list("rank").alias("alive"))  # no more than the document has anchors
     regions = rows.join(of_doc, "doc").mapInArrow(_rows(length, "regions"), ROW)
     met = tables.write(_dealt(regions, "place < 0", "a", "b").mapInArrow(_settled, MET))
     tables.drop(alive)
@@ -313,7 +325,7 @@ def _open_places(first: DataFrame, length: int) -> DataFrame:
     Offset of a quarter: the starts of a region before its anchor's middle share with any other region of the rank what
     stands left of the anchor, the others what stands right of it. Sides whose rank pair no other region has are done.
     """
-    mid = (length - (length + 1) // 2 + 1) // 2
+    mid = (sizes_of(length)[2] + 1) // 2
     bits = lambda shift, size: F.shiftright("place", shift) % (1 << size)
     first = first.select("a", "b", "doc", "tag", *_start_and_width(), bits(2 * SIDE + TWICE, WAY).cast("int").alias("way"), (bits(2 * SIDE, TWICE) == 1).alias("twice"), bits(SIDE, SIDE).cast("int").alias("left"), bits(0, SIDE).cast("int").alias("right"))
     several = first.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"), F.max("twice").alias("any")).where("least <> most").select("a", "any")
