@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, sample_place
 
 PROFILE = 400
 #: Most labelled documents of a language that its profile is counted on.
 FIT_ROWS = 3000
+#: Languages that get a profile, those of most documents first.
+MOST_LANGS = 1000
 WORDS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 
@@ -94,14 +96,13 @@ class Profiles:
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", fit_rows: int = FIT_ROWS) -> Profiles:
     """Profiles of the languages of the documents that are not held out, on at most about fit_rows of each language."""
-    known = docs.where(~held_out(key) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = known.groupBy(F.col(lang).alias("lang")).count()
+    known = docs.where(F.col(key).isNotNull() & ~held_out(key) & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    counts = known.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS)
     share = {r["lang"]: min(1.0, fit_rows / r["count"]) for r in counts.collect()}
     if not share:
         return Profiles({})
     pick = F.create_map([F.lit(x) for pair in share.items() for x in pair])
-    place = (F.xxhash64(F.col(key).cast("string")).cast("double") + 2.0**63) / 2.0**64
-    chosen = known.where(place <= pick[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    chosen = known.where(sample_place(key, text) <= pick[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def count(batches):
         totals: dict[str, dict[int, int]] = defaultdict(lambda: defaultdict(int))

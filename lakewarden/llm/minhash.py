@@ -479,29 +479,42 @@ def link_sets(texts: DataFrame, percent: int, tables: Scratch, region: int = REG
     return signed.select("id", "n"), member.select("id", F.coalesce("component", "rep").alias("component")).distinct()
 
 
-def _own_id(doc_id, text, differ):
-    """An id of its own for a row whose doc_id has other texts too, above all usual ids."""
-    return F.when(differ, F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(doc_id, text), 2)).otherwise(doc_id)
+#: Ids are cut into 2 ** 3 stretches; ids of a row's own come from one in which no document's id is.
+STRETCH = 61
 
 
-def distinct_ids(docs: DataFrame, key: str, text: str, tables: Scratch) -> tuple[DataFrame, DataFrame | None]:
+def _own_id(doc_id, text, differ, base: int):
+    """An id of its own for a row whose doc_id has other texts too, in the free stretch of ids that begins at base."""
+    return F.when(differ, F.lit(base) + F.shiftrightunsigned(F.xxhash64(doc_id, text), 64 - STRETCH)).otherwise(doc_id)
+
+
+def _free_stretch(own: DataFrame) -> int:
+    """Where ids of rows' own begin: above all usual ids, if that stretch is free."""
+    used = {r.k for r in own.select(F.shiftright("doc_id", STRETCH).alias("k")).distinct().collect()}  # eight at most
+    free = next((k for k in (2, 3, 1, -1, -2, -3, -4, 0) if k not in used), None)
+    if free is None:
+        raise ValueError("ids of documents reach into every eighth of the long numbers, and some ids have several texts")
+    return free << STRETCH
+
+
+def distinct_ids(docs: DataFrame, key: str, text: str, tables: Scratch) -> tuple[DataFrame, DataFrame | None, int]:
     """(id, text, doc_id) of the rows whose id is not null, so that rows of an id have equal texts, and the doc_ids of
-    several rows as (doc_id, differ), None if there is none. differ: their texts differ.
+    several rows as (doc_id, differ), None if there is none. differ: their texts differ. Last where own ids begin.
     """
     own = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     again = tables.write(own.groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if not again.take(1):
-        return own.select(F.col("doc_id").alias("id"), "text", "doc_id"), None
+        return own.select(F.col("doc_id").alias("id"), "text", "doc_id"), None, 0
     h = F.xxhash64("text")
     again = tables.write(own.join(again, "doc_id", "left_semi").groupBy("doc_id").agg((F.min(h) < F.max(h)).alias("differ")))
-    rows = own.join(again, "doc_id", "left")
-    return rows.select(_own_id(F.col("doc_id"), F.col("text"), F.coalesce("differ", F.lit(False))).alias("id"), "text", "doc_id"), again
+    rows, base = own.join(again, "doc_id", "left"), _free_stretch(own)
+    return rows.select(_own_id(F.col("doc_id"), F.col("text"), F.coalesce("differ", F.lit(False)), base).alias("id"), "text", "doc_id"), again, base
 
 
 def link_documents(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text", region: int = REGION) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per document with the smallest doc_id it reaches by links."""
     with Scratch() as tables:
-        rows, again = distinct_ids(docs, key, text, tables)
+        rows, again, _ = distinct_ids(docs, key, text, tables)
         sizes, member = link_sets(rows.select("id", "text"), percent, tables, region, again is None)
         if again is not None:
             names = tables.write(rows.join(again, "doc_id", "left_semi").select("id", "doc_id").distinct())
@@ -524,13 +537,13 @@ def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str
     apart by their texts and count after those of other ids. The columns of docs may have any names.
     """
     with Scratch() as tables:
-        rows, again = distinct_ids(docs, key, text, tables)
+        rows, again, base = distinct_ids(docs, key, text, tables)
         _, member = link_sets(rows.select("id", "text"), percent, tables, region, again is None)
         gone = tables.keep(member.where("id <> component").select(F.col("id").alias("lw:id")))
         repeated = None if again is None else tables.keep(again.select(F.col("doc_id").alias("lw:id"), F.col("differ").alias("lw:differ")))
     own = F.col(key).cast("long")
     if repeated is None:
         return docs.join(gone, own == F.col("lw:id"), "left_anti")
-    one = docs.join(repeated, own == F.col("lw:id")).withColumn("lw:own", _own_id(own, F.col(text).cast("string"), F.col("lw:differ"))).drop("lw:id", "lw:differ")
+    one = docs.join(repeated, own == F.col("lw:id")).withColumn("lw:own", _own_id(own, F.col(text).cast("string"), F.col("lw:differ"), base)).drop("lw:id", "lw:differ")
     one = one.dropDuplicates(["lw:own"]).join(gone, F.col("lw:own") == F.col("lw:id"), "left_anti").drop("lw:own")
     return docs.join(repeated.select("lw:id").union(gone), own == F.col("lw:id"), "left_anti").union(one)

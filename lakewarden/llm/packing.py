@@ -14,6 +14,7 @@ than a sequence is cut. Other columns are never read.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
 from array import array
@@ -43,6 +44,30 @@ PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148
 PARTS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u017e]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017e]+")
 
 
+#: What the rules above presume of a tokenizer.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def check_settings(spec: dict) -> None:
+    """Refuse a tokenizer whose rules differ from those that chunks and parts presume."""
+    normalizer, cut, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    cuts = cut.get("pretokenizers") or [{}, {}]
+    wrong = [
+        name
+        for name, bad in {
+            "normalizers": normalizer.get("normalizers") != NORMALIZERS,
+            "cuts": [c.get("type") for c in cuts] != ["Split", "ByteLevel"] or cuts[0].get("pattern") != {"Regex": SPLIT} or cuts[0].get("behavior") != "Removed" or not cuts[0].get("invert"),
+            "bytes": bool(cuts[-1].get("add_prefix_space")) or bool(cuts[-1].get("use_regex")),
+            "model": model.get("type") != "BPE" or bool(model.get("dropout")),
+            "special ids": spec.get("post_processor") is not None or spec.get("truncation") is not None or spec.get("padding") is not None,
+        }.items()
+        if bad
+    ]
+    if wrong:
+        raise ValueError(f"tokenizers with these settings are not supported: {', '.join(wrong)}")
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, each distinct chunk and part encoded once and then kept a while.
 
@@ -59,6 +84,7 @@ class WordEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        check_settings(json.loads(self.tokenizer.to_str()))
         split = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.byte_level = {ord(c): split(c)[0][0] for c in map(chr, range(0x21, 0x180)) if PLAIN.fullmatch(c)}
         self.model = self.tokenizer.model

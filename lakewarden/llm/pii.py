@@ -6,7 +6,8 @@ lexical patterns: one or two words before it, one or two after it, and one on ei
 digits is an instance in the patterns around it. Patterns and instances score each other in rounds over their graph: a
 pattern by the share of its occurrences that score, an instance by the mean of the patterns that seeds support. After
 each round the tokens that look like identifiers and stand in a pattern of high confidence are new entities, of the
-kind `id`, and seeds of the next round. All of it is DataFrame functions; texts are read once and only spans and
+kind `id`, and seeds of the next round; scores only grow, and rounds go on until one finds no further confident pattern.
+All of it is DataFrame functions; texts are read once and only spans and
 hashes are shuffled. The work on a text is linear in its length, but for a small factor.
 
 Offsets are code points: the gaps between matches, which `split` gives, and the matches themselves add up to them.
@@ -30,7 +31,8 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-ROUNDS = 3
+#: Rounds before which the search doesn't end, as scores first have to spread.
+LEAST_ROUNDS = 3
 #: Matches of a text that are added up at a time, so that no array is copied for each match.
 PART = 256
 #: Spans of a text above which it is cut into characters once instead of being searched for each of them.
@@ -188,20 +190,25 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def confident_patterns(slots: DataFrame, tables: Scratch) -> DataFrame:
-    """(pattern) of the patterns that are confident after some rounds over the pattern-instance graph."""
+    """(pattern) of the patterns that are confident once a round over the pattern-instance graph finds no more of them."""
     edges = slots.select("instance", "seed", "like", F.explode("patterns").alias("pattern"))
     edges = tables.write(edges.groupBy("pattern", "instance").agg(F.count("*").alias("c"), F.max("seed").alias("seed"), F.max("like").alias("like")))
     score = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("s"))
-    for k in range(ROUNDS):
+    confident = (F.col("support") >= SUPPORT) & (F.col("p") >= CONFIDENT)
+    before, n, rounds = None, -1, 0
+    while True:
         sure = F.when(F.col("s") == 1, F.col("c")).otherwise(0)
         patterns = edges.join(score, "instance").groupBy("pattern").agg((F.sum(F.col("c") * F.col("s")) / F.sum("c")).alias("p"), F.sum(sure).alias("support"))
         patterns = tables.write(patterns.where("support > 0"))
-        confident = (F.col("support") >= SUPPORT) & (F.col("p") >= CONFIDENT)
-        if k < ROUNDS - 1:
-            met = edges.join(patterns.withColumn("sure", confident), "pattern", "left").groupBy("instance")
-            score = met.agg(F.max(F.col("seed") | (F.col("like") & F.coalesce("sure", F.lit(False)))).alias("known"), (F.sum(F.col("c") * F.coalesce("p", F.lit(0.0))) / F.sum("c")).alias("m"))
-            score = score.select("instance", F.when(F.col("known"), 1.0).otherwise(F.least("m", F.lit(0.999))).alias("s"))
-    return patterns.where(confident).select("pattern")
+        if before is not None:
+            tables.drop(before)
+        before, rounds, found = patterns, rounds + 1, patterns.where(confident).count()
+        if rounds >= LEAST_ROUNDS and found == n:
+            return patterns.where(confident).select("pattern")
+        n = found
+        met = edges.join(patterns.withColumn("sure", confident), "pattern", "left").groupBy("instance")
+        score = met.agg(F.max(F.col("seed") | (F.col("like") & F.coalesce("sure", F.lit(False)))).alias("known"), (F.sum(F.col("c") * F.coalesce("p", F.lit(0.0))) / F.sum("c")).alias("m"))
+        score = score.select("instance", F.when(F.col("known"), 1.0).otherwise(F.least("m", F.lit(0.999))).alias("s"))
 
 
 def discover(scanned: DataFrame, tables: Scratch) -> DataFrame:

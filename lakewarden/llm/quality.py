@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, held_out
+from .common import SAMPLE_SLACK, Recent, held_out, sample_place
 
 FIT_ROWS = 4000
 BUCKETS = 1024
@@ -189,7 +189,6 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", fit_rows: int
         return QualityModel(0.5, np.full((width, 2, 3), 1 / 3), 0.0, np.zeros(BUCKETS))
     patterns = [(tuple(r.code // 3 ** (width - 1 - j) % 3 for j in range(width)), r.n) for r in sorted(counted, key=lambda r: r.code)]
     good, rates = expectation_maximisation(patterns)
-    place = (F.xxhash64("k", F.lit(1)).cast("double") + 2.0**63) / 2.0**64
 
     def feature(batches):
         for batch in batches:
@@ -199,7 +198,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", fit_rows: int
             y = posterior(np.array([votes(m) for m in found]), good, rates) if found else []
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.float64())], ["x", "y"])
 
-    sample = rows.where(place <= min(1.0, fit_rows / total)).select("text").mapInArrow(feature, "x binary, y double").collect()
+    sample = rows.where(sample_place("k", "text") <= fit_rows / total).select("text").mapInArrow(feature, "x binary, y double").limit(int(SAMPLE_SLACK * fit_rows)).collect()
     if not sample:
         return QualityModel(good, rates, 0.0, np.zeros(BUCKETS))
     x = np.array([np.frombuffer(r.x, np.float32) for r in sample], np.float64)

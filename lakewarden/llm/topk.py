@@ -7,9 +7,9 @@ The slices of the sum are then read from the most significant downward to keep t
 at the boundary are taken by smaller id. Query blocks meet candidate blocks; each pair is one group of two rows.
 
 Defined results: vectors that are null, hold null or non-finite components or have a null id take no part. Vectors
-meet only vectors of as many components. Rows of equal id are different candidates, but none is a candidate of a query
-with its id. A query without candidates has no row. Other columns are never read. Values of 2 ** 20 and more in
-magnitude are refused, for sums must stay in 64 bits.
+meet only vectors of as many components. Rows of an equal id are vectors of their own, and candidates of each other. A
+query without candidates has no row. Other columns are never read; an empty table gives an empty result. Finite values
+of any size take part; a score beyond the range of a long counts as its end.
 """
 
 from __future__ import annotations

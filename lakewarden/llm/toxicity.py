@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Recent, held_out
+from .common import SAMPLE_SLACK, Recent, held_out
 
 #: Most labelled documents that are fitted on; as a term is in some share of them, this bounds the lexicon too.
 FIT_ROWS = 20_000
@@ -207,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
             found = [features(trie, x.as_py()) or [0.0] * FEATURES for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([pa.array([int(x == 1) for x in batch.column(0).to_pylist()], pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["toxic", "x"])
 
-    rows = train.mapInArrow(measure, "toxic long, x array<double>").collect()  # bounded by fit_rows
+    rows = train.mapInArrow(measure, "toxic long, x array<double>").limit(int(SAMPLE_SLACK * fit_rows)).collect()
     return ToxicityModel(terms, logistic(np.array([r.x for r in rows]), np.array([r.toxic for r in rows], float)))
 
 

@@ -71,7 +71,7 @@ def entities(text):
     }
 
 
-def identifiers(texts, kinds=("email", "ip", "card", "phone"), rounds=3, support=8, confident=0.6):
+def identifiers(texts, kinds=("email", "ip", "card", "phone"), least_rounds=3, support=8, confident=0.6):
     """{position of a text: [(start, end)]} of identifiers found by the bootstrap, with plain dictionaries."""
     slots = []
     for nth, text in enumerate(texts):
@@ -103,7 +103,9 @@ def identifiers(texts, kinds=("email", "ip", "card", "phone"), rounds=3, support
             if ok:
                 like.add(core)
     score = {c: float(c in seeds) for _, c in edges}
-    for k in range(rounds):
+    k, confident_before = 0, -1
+    while True:
+        k += 1
         total, good, sure = defaultdict(int), defaultdict(float), defaultdict(int)
         for (p, c), n in edges.items():
             total[p] += n
@@ -111,6 +113,9 @@ def identifiers(texts, kinds=("email", "ip", "card", "phone"), rounds=3, support
             sure[p] += n * (score[c] == 1)
         value = {p: good[p] / total[p] for p in total if sure[p] > 0}
         trusted = {p for p, v in value.items() if sure[p] >= support and v >= confident}
+        if k >= least_rounds and len(trusted) == confident_before:
+            break
+        confident_before = len(trusted)
         fresh, number = defaultdict(float), defaultdict(int)
         known = set(seeds)
         for (p, c), n in edges.items():

@@ -147,6 +147,15 @@ def test_rows_of_an_id_with_different_texts_keep_their_links(spark):
     assert minhash.keep_one(clash).columns == clash.columns and minhash.keep_one(clash).count() == 3
 
 
+def test_ids_of_their_own_keep_away_from_real_ones(spark):
+    base = "one two three four five six seven eight nine ten"
+    rows = [(7, base), (7, "other words of the same id that are quite different from it all"), ((1 << 62) + 5, base + " eleven"), ((1 << 62) + (1 << 61) + 1, "alone"), ((1 << 62) + 9, base)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert minhash._free_stretch(df) == 1 << 61
+    got = {r.doc_id: (r.component_id, r.kept) for r in minhash.link_documents(df).collect()}
+    assert got == {7: (7, True), (1 << 62) + 5: (7, False), (1 << 62) + 9: (7, False), (1 << 62) + (1 << 61) + 1: ((1 << 62) + (1 << 61) + 1, True)}
+
+
 def test_filter_of_ids_and_join_give_the_same_sets(spark):
     from lakewarden.llm.common import Scratch
 
@@ -263,6 +272,22 @@ def test_found_identifiers_seed_later_rounds(spark):
     assert all(got[i] == "id:14:24" for i in range(20, 32)) and all(got[i] == "id:11:21" for i in range(100, 115))
 
 
+def test_rounds_go_on_until_nothing_new_is_found(spark):
+    """Seven families of identifiers, each found in the contexts of the one before."""
+    rows, n = [], 0
+    for k in range(8):  # family k stands in contexts k - 1 and k; family 0 are addresses
+        for j in range(36):
+            token = f"u{j}@mail.org" if k == 0 else f"{'ABCDEFGH'[k] * 2}-{1000 * k + j}-77"
+            for c in (k - 1, k, k):
+                if c >= 0:
+                    rows.append((n, f"p{n} {'context' + 'abcdefgh'[c]} {token} q{n}"))
+                    n += 1
+    got = {r.doc_id: r.spans for r in pii.find_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute.identifiers([t for _, t in rows])
+    found = {i for i, spans in got.items() if "id:" in spans}
+    assert found == set(want) == {i for i, t in rows if "@" not in t}
+
+
 def test_secrets_are_found_in_their_context(spark):
     rnd = random.Random(3)
     rows = [(i, f"w{'ab' * i} token = \"{rnd.getrandbits(160):040x}\" v{'cd' * i}") for i in range(40)]

@@ -244,6 +244,36 @@ def test_quality_follows_the_labels_it_never_saw(spark):
     assert quality.score(docs.where("false"), quality.fit(docs.where("false"))).count() == 0
 
 
+def test_samples_of_null_and_repeated_ids(spark):
+    """All ids null, or one id for all rows: junk is told apart as with ids of their own, and samples stay bounded."""
+    good = spark.range(9000).selectExpr("concat_ws(' ', transform(sequence(1, 60), i -> element_at(array('the', 'river', 'of', 'time', 'and', 'stone', 'was', 'under', 'a', 'quiet', 'morning'), cast(1 + xxhash64(id, i) % 11 + if(xxhash64(id, i) < 0, 10, 0) as int))), '.') AS text", "true AS fine")
+    junk = spark.range(9000).selectExpr("concat_ws(' ', transform(sequence(1, 40), i -> concat('$$', hex(xxhash64(id, i)), '%%'))) AS text", "false AS fine")
+    both = good.union(junk).cache()
+    for key in (F.lit(None).cast("long"), F.lit(7).cast("long")):
+        docs = both.withColumn("doc_id", key)
+        model = quality.fit(docs)
+        kept = quality.keep_good(docs, model).groupBy("fine").count().collect()
+        assert abs(model.weights).sum() > 0 and {r.fine: r["count"] for r in kept} == {True: 9000}
+    both.unpersist()
+    same = spark.range(50_000).selectExpr("7L AS doc_id", "'the same words again and again' AS text", "'en' AS lang", "1 AS toxic")
+    quality.fit(same)
+    model = toxicity.fit(same, spark.createDataFrame([(7, 1), (8, 0)], "doc_id long, toxic int"), fit_rows=100)
+    assert len(model.weights) == toxicity.FEATURES + 1
+    assert langid.fit(same.withColumn("doc_id", F.lit(None).cast("long"))).langs == []
+
+
+def test_tokenizers_of_other_rules_are_refused(tmp_path):
+    import json
+
+    from public_tokenizers import path
+
+    spec = json.loads(open(path("word_bpe_49k.json")).read())
+    packing.check_settings(spec)
+    for part, other in (("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}), ("post_processor", {"type": "x"})):
+        with pytest.raises(ValueError):
+            packing.check_settings(spec | {part: other})
+
+
 def test_quality_equals_plain_version(spark):
     """Scores from dictionaries of shapes, and posteriors by Bayes' rule, for a fitted model."""
     import math
