@@ -40,8 +40,8 @@ from .common import Scratch, drop_shuffles
 LENGTH = 50
 #: Rows that a task combines at a time.
 CHUNK = 1 << 20
-#: Bytes of a text that are hashed at a time.
-BLOCK = 1 << 22
+#: Bytes that are hashed at a time, of several short texts or of a part of a long one: they fit a processor's cache.
+BLOCK = 1 << 16
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -75,8 +75,11 @@ def sizes_of(length: int) -> tuple[int, int, int]:
     return k, (length + 1) // 2, length - k
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor grams, half grams, ranks, first start, last start): each start of `length` bytes belongs to one anchor."""
+def anchors(data: np.ndarray, length: int, begins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor grams, half grams, ranks, first start, last start): each start of `length` bytes belongs to one anchor.
+
+    begins: where the texts begin that data is made of, if it is several; no start reaches from one into the next.
+    """
     k, half, slack = sizes_of(length)
     grams, halves = gram_hashes(data, k, half)
     least, size, width = grams, 1, slack + 1
@@ -85,8 +88,18 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         size *= 2
     n = len(data) - length + 1
     least = np.minimum(least[:n], least[width - size : width - size + n])
-    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    last = np.concatenate((first[1:], [n])) - 1
+    head = np.ones(n + 1, bool)
+    head[1:n] = least[1:] != least[:-1]
+    if begins is not None and len(begins) > 1:
+        head[begins[1:]] = True
+        out = begins[1:] - length + 1  # from here on starts reach into the next text
+        head[out] = True
+    at = np.flatnonzero(head)
+    first, last = at[:-1], at[1:] - 1
+    if begins is not None and len(begins) > 1:
+        nth = np.searchsorted(begins, first, "right")
+        inside = first <= np.append(begins[1:], len(data))[nth - 1] - length
+        first, last = first[inside], last[inside]
     if (last - first).max() >= width:  # the rank comes again before its anchor is passed: parts of the usual length
         parts = (last - first) // width + 1
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -161,20 +174,27 @@ def _rows(length: int, step: str):
     """Anchors' rows of texts. Columns: doc, tag, text, and for later steps what of the document still counts."""
     half = length - sizes_of(length)[1]
 
-    def of_block(doc: int, tag: int, data: np.ndarray, offset: int, counts) -> tuple:
-        grams, halves, rank, first, last = anchors(data, length)
+    def of_block(pieces: list[tuple]) -> tuple:
+        docs, tags, offsets = (np.array([p[k] for p in pieces]) for k in range(3))
+        texts = [p[3] for p in pieces]
+        begins = np.cumsum([0, *map(len, texts[:-1])])
+        grams, halves, rank, first, last = anchors(np.concatenate(texts), length, begins)
+        of = np.searchsorted(begins, first, "right") - 1
         if step == "ranks":
-            return rank, np.full(len(rank), doc)
-        if step == "regions":
-            alive = np.isin(_long(rank), counts)
-            rank, first, last = rank[alive], first[alive], last[alive]
+            return rank, docs[of]
+        if step == "regions":  # a rank that one document shares with others is alive in all that have it
+            alive = np.isin(_long(rank), np.concatenate([p[4] for p in pieces]))
+            rank, first, last, of = rank[alive], first[alive], last[alive], of[alive]
             name = _mix(_mix(halves[first], halves[first + half]), _mix(halves[last], halves[last + half]) + (last - first).astype(np.uint64))
-            return rank, name, np.full(len(rank), doc), np.full(len(rank), tag), _places(grams, halves, rank, first, last, length, offset)
-        at = counts[(counts >= offset) & (counts < offset + len(data) - length + 1)] - offset
-        return halves[at], halves[at + half], np.full(len(at), doc), np.full(len(at), tag), (at + offset) << LOW
+            return rank, name, docs[of], tags[of], _places(grams, halves, rank, first, last, length, offsets[of] - begins[of])
+        starts = [p[4][(p[4] >= p[2]) & (p[4] <= p[2] + len(p[3]) - length)] for p in pieces]
+        of = np.repeat(np.arange(len(pieces)), [len(x) for x in starts])
+        start = np.concatenate(starts)
+        at = start + (begins - offsets)[of]
+        return halves[at], halves[at + half], docs[of], tags[of], start << LOW
 
     def run(batches):
-        parts, n = [], 0
+        parts, n, pieces, size = [], 0, [], 0
         for batch in batches:
             docs, tags, texts = batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), batch.column("text")
             for i, (doc, tag) in enumerate(zip(docs, tags, strict=True)):
@@ -183,23 +203,28 @@ def _rows(length: int, step: str):
                     counts = batch.column("alive")[i].values.to_numpy()
                 elif step == "pairs":
                     places = batch.column("places")[i].values
-                    start, width = (places.field(k).to_numpy() for k in (0, 1))
+                    start, width = (places.field(k).to_numpy().astype(np.int64) for k in (0, 1))
                     counts = np.repeat(start - (np.cumsum(width) - width), width) + np.arange(width.sum())
                 for at in range(0, len(data) - length + 1, BLOCK):
-                    parts.append(of_block(doc, tag, data[at : at + BLOCK + length - 1], at, counts))
-                    n += len(parts[-1][0])
+                    pieces.append((doc, tag, at, data[at : at + BLOCK + length - 1], counts))
+                    size += len(pieces[-1][3])
+                    if size >= BLOCK:
+                        parts.append(of_block(pieces))
+                        n, pieces, size = n + len(parts[-1][0]), [], 0
                     if n >= CHUNK:
                         yield from _combined(parts, step == "ranks")
                         parts, n = [], 0
-        if n:
+        if pieces:
+            parts.append(of_block(pieces))
+        if sum(len(p[0]) for p in parts):
             yield from _combined(parts, step == "ranks")
 
     return run
 
 
 def _dealt(rows: DataFrame, known: str, *key: str) -> DataFrame:
-    """Rows sorted by key and document in partitions by key; rows known to come later stay spread by document."""
-    return rows.repartition(F.when(F.expr(known), F.xxhash64("doc", *key)).otherwise(F.xxhash64(*key))).sortWithinPartitions(*key, "doc")
+    """Rows in partitions by key; rows known to come later stay spread by document."""
+    return rows.repartition(F.when(F.expr(known), F.xxhash64("doc", *key)).otherwise(F.xxhash64(*key)))
 
 
 def _column(batch, name: str) -> np.ndarray:
@@ -207,12 +232,12 @@ def _column(batch, name: str) -> np.ndarray:
 
 
 def _alive(batches):
-    """(doc, rank) where more than one document has a rank; batches are sorted by rank and document."""
+    """(doc, rank) where more than one document has a rank; batches are sorted by rank."""
 
     def judged(rank, doc, flags):
         at = np.flatnonzero(_heads(rank))
         size = np.diff(np.concatenate((at, [len(rank)])))
-        shared = np.repeat(np.logical_or.reduceat(flags > 1, at) | (doc[at] != doc[at + size - 1]), size)
+        shared = np.repeat(np.logical_or.reduceat(flags > 1, at) | (np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)), size)
         return pa.RecordBatch.from_arrays([pa.array(doc[shared]), pa.array(rank[shared])], ["doc", "rank"])
 
     kept = None
@@ -300,18 +325,19 @@ def _start_and_width() -> tuple[Column, Column]:
 
 def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     """(doc, tag, start, width): starts of strings that an earlier document has as well, in a table of its own."""
-    ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a")
+    ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a").sortWithinPartitions("a")
     alive = tables.write(ranks.mapInArrow(_alive, "doc long, rank long"))
     drop_shuffles(rows.sparkSession)
     of_doc = alive.groupBy("doc").agg(F.collect_list("rank").alias("alive"))  # no more than the document has anchors
     regions = rows.join(of_doc, "doc").mapInArrow(_rows(length, "regions"), ROW)
-    met = tables.write(_dealt(regions, "place < 0", "a", "b").mapInArrow(_settled, MET))
+    met = tables.write(_dealt(regions, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_settled, MET))
     tables.drop(alive)
     drop_shuffles(rows.sparkSession)
     places = tables.write(_open_places(met.where("not gone"), length))
+    drop_shuffles(rows.sparkSession)
     places_of = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("places"))
     pairs = rows.join(places_of, ["doc", "tag"]).mapInArrow(_rows(length, "pairs"), ROW)
-    late = _dealt(pairs, "place < 0", "a", "b").mapInArrow(_settled, MET).where("gone")
+    late = _dealt(pairs, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_settled, MET).where("gone")
     spans = tables.write(met.where("gone").union(late).select("doc", "tag", *_start_and_width()))
     tables.drop(met)
     tables.drop(places)

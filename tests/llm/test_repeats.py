@@ -164,7 +164,7 @@ def test_suffix_dedup_query_equals_plain_version(spark):
     assert got == plain_removed(rows, 50) and sum(r[2] > 0 for r in got) > 10
 
 
-@pytest.mark.parametrize("length,block,chunk", [(50, 1 << 22, 1 << 20), (7, 64, 50), (12, 33, 1000)])
+@pytest.mark.parametrize("length,block,chunk", [(50, 1 << 16, 1 << 20), (50, 200, 99), (7, 64, 50), (12, 33, 1000)])
 def test_suffix_dedup_on_odd_rows(spark, monkeypatch, length, block, chunk):
     monkeypatch.setattr(suffix, "BLOCK", block)
     monkeypatch.setattr(suffix, "CHUNK", chunk)
