@@ -98,6 +98,8 @@ def extra_data(data: bytes, entry_type: str) -> dict:
     return out
 
 
+#: What names a leaf's log: its id, and a number below LOGS, which makes ids of entries unique across logs.
+LOG, LOGS = ("log_id", "log_no"), 1024
 COLUMNS = [c.split()[0] for c in LEAF.split(", ")]
 
 
@@ -105,6 +107,26 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame([[r.get(c) for c in COLUMNS] for r in rows], columns=COLUMNS)
 
 
+def _carried(rows: DataFrame) -> tuple[list[str], str]:
+    """Columns that name a leaf's log, which readers pass on, and the schema with them."""
+    kinds = dict(rows.dtypes)
+    names = [c for c in LOG if c in kinds]
+    return names, "".join(f", {c} {kinds[c]}" for c in names)
+
+
+def leaves_of_tiles(files: DataFrame) -> DataFrame:
+    """Leaves of rows (tile, content), with their index; log_id and log_no are passed on if there are any."""
+    names, schema = _carried(files)
+
+    def run(frames):
+        for f in frames:
+            for k, (tile, content) in enumerate(zip(f["tile"], f["content"], strict=True)):
+                out = _frame([{**x, "index": tile * TILE + i} for i, x in enumerate(tile_leaves(bytes(content)))])
+                yield out.assign(**{c: f[c].iloc[k] for c in names})
+
+    return files.select("tile", "content", *names).mapInPandas(run, LEAF + schema)
+
+
 def read_tiles(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """Leaves of captured data tiles below a folder `.../tile/data/`, with their index; first and last cut the range, both included."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -115,19 +137,18 @@ def read_tiles(spark: SparkSession, path: str, first: int | None = None, last: i
     if last is not None:
         files = files.where(F.col("tile") <= last // TILE)
 
-    def run(frames):
-        for f in frames:
-            for tile, content in zip(f["tile"], f["content"], strict=True):
-                yield _frame([{**x, "index": tile * TILE + i} for i, x in enumerate(tile_leaves(bytes(content)))])
-
-    rows = files.select("tile", "content").mapInPandas(run, LEAF)
+    rows = leaves_of_tiles(files)
     if first is not None:
         rows = rows.where(F.col("index") >= first)
     return rows if last is None else rows.where(F.col("index") <= last)
 
 
 def parse_leaves(pages: DataFrame) -> DataFrame:
-    """Leaves of rows (index, leaf_input, extra_data); what can't be read keeps its index and an error."""
+    """Leaves of rows (index, leaf_input, extra_data); what can't be read keeps its index and an error.
+
+    log_id and log_no are passed on if there are any.
+    """
+    names, schema = _carried(pages)
 
     def run(frames):
         for f in frames:
@@ -140,9 +161,9 @@ def parse_leaves(pages: DataFrame) -> DataFrame:
                 except (ValueError, TypeError) as e:
                     row["error"] = str(e)
                 rows.append(row)
-            yield _frame(rows)
+            yield _frame(rows).assign(**{c: f[c].to_numpy() for c in names})
 
-    return pages.select("index", "leaf_input", "extra_data").mapInPandas(run, LEAF)
+    return pages.select("index", "leaf_input", "extra_data", *names).mapInPandas(run, LEAF + schema)
 
 
 def read_pages(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -180,7 +201,8 @@ def issuers_of(leaves: DataFrame) -> DataFrame:
 def subjects_of(leaves: DataFrame, issuers: DataFrame | None = None) -> DataFrame:
     """Subject rows of leaves; the precertificate stands for a precert; unreadable certificates are left out.
 
-    The issuer is found by the first fingerprint of the chain; without a match ca_id is 0.
+    The issuer is found by the first fingerprint of the chain; without a match ca_id is 0. With log_no ids are those of
+    entries of all logs, in order of index, then log; without it they are the index in the one log.
     """
     from ..functions import certs
     from .der import certificate
@@ -195,9 +217,9 @@ def subjects_of(leaves: DataFrame, issuers: DataFrame | None = None) -> DataFram
     sans = F.col("m.san_domains")
     text = lambda c: F.coalesce(F.col(f"m.{c}"), F.lit("")).alias(c)
     return rows.select(
-        F.col("index").alias("id"), ids.alias("ca_id"), text("serial_number"), text("common_name"), text("organization"), text("state"), text("country"), text("not_before"), text("not_after"),
+        (F.col("index") * LOGS + F.col("log_no") if "log_no" in leaves.columns else F.col("index")).cast("long").alias("id"), ids.alias("ca_id"), text("serial_number"), text("common_name"), text("organization"), text("state"), text("country"), text("not_before"), text("not_after"),
         F.array_join(sans, ",").alias("san_domains"), F.array_join("m.san_ips", ",").alias("san_ips"), certs.subject_url(sans, F.col("m.common_name")).alias("url"), certs.has_wildcard(sans).alias("is_wildcard"),
-        certs.name_count(sans).alias("san_count"), "entry_type", F.lit(None).cast("long").alias("tile_idx"), F.lit(None).cast("long").alias("entry_idx"), certs.cert_hash(F.col("der")).alias("cert_hash"), F.lit(None).cast("binary").alias("log_id"),
+        certs.name_count(sans).alias("san_count"), "entry_type", F.lit(None).cast("long").alias("tile_idx"), F.lit(None).cast("long").alias("entry_idx"), certs.cert_hash(F.col("der")).alias("cert_hash"), (F.col("log_id") if "log_id" in leaves.columns else F.lit(None)).cast("binary").alias("log_id"),
     )
 
 
