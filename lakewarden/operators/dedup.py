@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.certs import cert_month, dedup_key
+from ..session import drop_path, list_names, path_exists, put_if_absent, read_text
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -31,10 +36,10 @@ def flush(archive_keys: DataFrame, pool: DataFrame, key: str = "cert_hash", orde
     return unseen(keep_first(pool, [key], list(order)), archive_keys, key)
 
 
-def merge_first(existing: DataFrame, incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
+def merge_first(existing: DataFrame, incoming: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
     """Union by key where existing rows win over incoming ones, and earlier over later."""
     both = existing.withColumn("own_rank", F.lit(0)).unionByName(incoming.withColumn("own_rank", F.lit(1)))
-    return keep_first(both, [key], ["own_rank", *order]).drop("own_rank")
+    return keep_first(both, [key] if isinstance(key, str) else key, ["own_rank", *order]).drop("own_rank")
 
 
 def duplicates(rows: DataFrame, key: str) -> DataFrame:
@@ -69,24 +74,42 @@ def remap(rows: DataFrame, mapping: DataFrame, keys: list[str], old: str, new: s
 
 
 class MonthArchive:
-    """A deduplicated archive of subjects in month partitions: `subjects/`, and the keys seen in `seen/`."""
+    """A deduplicated archive of subjects in month partitions, with the keys seen, as versions of one manifest.
+
+    Writers put files of a batch aside and then name them in the next version, which is made only if nobody else has made
+    it: what a failed writer leaves is in no version, and a writer that comes second begins again on what the first has
+    added. A reader holds to the version it began with; files of old versions stay until vacuum().
+    """
+
+    TABLES = ("subjects", "keys")
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _read(self, name: str):
-        try:
-            return self.spark.read.parquet(f"{self.path}/{name}")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            return None
+    def versions(self) -> list[int]:
+        names = list_names(self.spark, f"{self.path}/manifest")
+        return sorted(int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json") and n[1:-5].isdigit())
+
+    def manifest(self, version: int | None = None) -> tuple[int, dict[str, dict[str, list[str]]]]:
+        """Number of a version, of the current one without a number, and its batches by table and month; 0 is empty."""
+        version = max(self.versions(), default=0) if version is None else version
+        return version, json.loads(read_text(self.spark, f"{self.path}/manifest/v{version}.json")) if version else {t: {} for t in self.TABLES}
+
+    def _commit(self, version: int, batches: dict) -> bool:
+        """Make the version after `version`, unless it has been made."""
+        return put_if_absent(self.spark, f"{self.path}/manifest/v{version + 1}.json", json.dumps(batches, sort_keys=True))
+
+    def of_months(self, name: str, months: list[str] | None = None, version: int | None = None) -> DataFrame | None:
+        """The stored rows of some months, or of all; folders of other months aren't even listed."""
+        batches = self.manifest(version)[1][name]
+        paths = [f"{self.path}/{name}/batch={b}/cert_month={m}" for m in sorted(batches if months is None else set(months) & set(batches)) for b in batches[m]]
+        return self.spark.read.option("basePath", f"{self.path}/{name}").parquet(*paths).drop("batch").withColumn("cert_month", F.col("cert_month").cast("string")) if paths else None
 
-    def subjects(self) -> DataFrame | None:
-        return self._read("subjects")
+    def subjects(self, version: int | None = None) -> DataFrame | None:
+        return self.of_months("subjects", version=version)
 
-    def seen(self) -> DataFrame | None:
-        return self._read("seen")
+    def seen(self, version: int | None = None) -> DataFrame | None:
+        return self.of_months("keys", version=version)
 
     @staticmethod
     def keyed(rows: DataFrame) -> DataFrame:
@@ -94,18 +117,12 @@ class MonthArchive:
 
     def refused(self) -> DataFrame | None:
         """Rows that came without any key, each of them once."""
-        rows = self._read("refused")
-        return None if rows is None else rows.distinct()
-
-    def of_months(self, name: str, months: list[str]) -> DataFrame | None:
-        """The stored rows of some months; the condition on the partition column keeps the others unread."""
-        rows = self._read(name)
-        return None if rows is None else rows.where(F.col("cert_month").isin(months))
+        return self.spark.read.parquet(f"{self.path}/refused").distinct() if path_exists(self.spark, f"{self.path}/refused") else None
 
     def flush(self, pool: DataFrame) -> int:
-        """Append the pool's new rows month by month, then their keys; a repeated flush appends nothing.
+        """Add the pool's new rows month by month with their keys; a repeated flush adds nothing.
 
-        Only the months of the pool are read. Rows without any key would be appended again by a repeat: they go to
+        Only the months of the pool are read. Rows without any key would be added again by a repeat: they go to
         `refused/`, and their number is returned.
         """
         rows = self.keyed(pool).persist()
@@ -116,34 +133,92 @@ class MonthArchive:
                 rows.where("key is null").drop("key").write.mode("append").partitionBy("cert_month").parquet(f"{self.path}/refused")
             months = sorted(r.cert_month for r in found if r.keyed)
             if months:
-                self._append(rows.where("key is not null"), months)
+                self._retried(lambda version, batches: self._added(rows.where("key is not null"), months, version, batches))
             return refused
         finally:
             rows.unpersist()
 
-    def _append(self, rows: DataFrame, months: list[str]) -> None:
-        on = ["cert_month", "key"]
-        seen = self.of_months("seen", months)
+    def _retried(self, change) -> None:
+        """Make a change of the current version; if another writer is first, drop what was written and begin again."""
+        while True:
+            version, batches = self.manifest()
+            batch = change(version, batches)
+            if batch is None or self._commit(version, batches):
+                return
+            for t in self.TABLES:
+                drop_path(self.spark, f"{self.path}/{t}/batch={batch}")
+
+    def _write(self, name: str, batch: str, rows: DataFrame) -> list[str]:
+        """Months that the rows of a batch turn out to have."""
+        path = f"{self.path}/{name}/batch={batch}"
+        rows.write.partitionBy("cert_month").parquet(path)
+        return [unquote(n.removeprefix("cert_month=")) for n in list_names(self.spark, path) if n.startswith("cert_month=")]
+
+    def _added(self, rows: DataFrame, months: list[str], version: int, batches: dict) -> str | None:
+        on, batch = ["cert_month", "key"], uuid.uuid4().hex
+        seen = self.of_months("keys", months, version)
         fresh = keep_first(rows, on, ["id"])
         if seen is not None:
             fresh = fresh.join(seen, on, "left_anti")
-        fresh.write.mode("append").partitionBy("cert_month").parquet(f"{self.path}/subjects")
-        # keys go last: after a failure in between, the next flush appends rows again and seal takes them out
-        written = self.of_months("subjects", months).join(rows.select(*on).distinct(), on, "left_semi").select(*on).distinct()
-        if seen is not None:
-            written = written.join(seen, on, "left_anti")
-        written.write.mode("append").partitionBy("cert_month").parquet(f"{self.path}/seen")
+        there = self._write("subjects", batch, fresh)
+        if not there:
+            drop_path(self.spark, f"{self.path}/subjects/batch={batch}")
+            return None
+        own = self.spark.read.parquet(f"{self.path}/subjects/batch={batch}")
+        self._write("keys", batch, own.select(F.col("cert_month").cast("string"), "key"))
+        for t in self.TABLES:
+            for m in there:
+                batches[t].setdefault(m, []).append(batch)
+        return batch
+
+    def _replaced(self, months: list[str], make) -> None:
+        """Give some months anew what make(rows of a version) says, in order of name, all of them at once."""
+
+        def change(version: int, batches: dict) -> str | None:
+            batch, rows = uuid.uuid4().hex, make(version)
+            if rows is None:
+                return None
+            there = self._write("subjects", batch, rows.repartitionByRange("cert_month", "common_name", "id").sortWithinPartitions("cert_month", "common_name", "id"))
+            self._write("keys", batch, self.spark.read.parquet(f"{self.path}/subjects/batch={batch}").select(F.col("cert_month").cast("string"), "key"))
+            for t in self.TABLES:
+                batches[t] |= {m: [batch] for m in there}
+            return batch
+
+        self._retried(change)
 
     def seal(self, months: list[str]) -> None:
-        """Compact duplicate keys of some months, the lowest id wins, and write each month anew in order of name."""
-        rows = self.of_months("subjects", months) if months else None
-        if rows is None or not rows.take(1):
-            return
-        out = keep_first(rows, ["cert_month", "key"], ["id"])
-        staged = f"{self.path}/sealing"
-        out.write.mode("overwrite").partitionBy("cert_month").parquet(staged)
-        done = self.spark.read.parquet(staged).sortWithinPartitions("cert_month", "common_name")
-        done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("cert_month").parquet(f"{self.path}/subjects")
+        """Compact some months to one batch, duplicate keys to the lowest id, each month in order of name."""
+        there = self.manifest()[1]["subjects"]
+        months = [m for m in months if m in there]
+        if months:
+            self._replaced(months, lambda version: keep_first(self.of_months("subjects", months, version), ["cert_month", "key"], ["id"]))
+
+    def rebuild(self, incoming: DataFrame) -> None:
+        """Merge rows into their months from the ground up: what is stored wins, then the lowest id; all months at once."""
+        rows = self.keyed(incoming).where("key is not null")
+        months = sorted(r.cert_month for r in rows.select("cert_month").distinct().collect())  # a pool has few months
+
+        def make(version: int) -> DataFrame | None:
+            stored = self.of_months("subjects", months, version)
+            return merge_first(rows.limit(0) if stored is None else stored.select(*rows.columns), rows, ["cert_month", "key"], ["id"])
+
+        if months:
+            self._replaced(months, make)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete batches that none of the last `keep` versions names, and older versions; the number of batches.
+
+        To be run while nobody writes: a batch that is being written is in no version yet.
+        """
+        versions = self.versions()
+        kept = {b for v in versions[-keep:] for t in self.TABLES for own in self.manifest(v)[1][t].values() for b in own}
+        gone = {n.removeprefix("batch=") for t in self.TABLES for n in list_names(self.spark, f"{self.path}/{t}") if n.startswith("batch=")} - kept
+        for b in gone:
+            for t in self.TABLES:
+                drop_path(self.spark, f"{self.path}/{t}/batch={b}")
+        for v in versions[:-keep]:
+            drop_path(self.spark, f"{self.path}/manifest/v{v}.json")
+        return len(gone)
 
 
 def new_in_ledger(incoming: DataFrame, ledger: DataFrame, key: str = "domain", order: tuple[str, ...] = ("fetched_at",)) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names
 from ..functions.certs import split_list
+from ..session import path_exists
 
 
 def occurrences(subjects: DataFrame, sans: str = "san_domains") -> DataFrame:
@@ -77,12 +78,7 @@ def export_months(spark, subjects: DataFrame, path: str) -> DataFrame:
     """Partial counts of months not yet exported are written, one partition a month; returns all partials merged."""
     from ..functions.certs import cert_month
 
-    try:
-        done = spark.read.parquet(f"{path}/partials").select("cert_month").distinct()
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        done = None
+    done = spark.read.parquet(f"{path}/partials").select("cert_month").distinct() if path_exists(spark, f"{path}/partials") else None
     rows = subjects.withColumn("cert_month", cert_month(F.col("not_before")))
     if done is not None:
         rows = rows.join(F.broadcast(done), "cert_month", "left_anti")  # one row a month

@@ -730,6 +730,20 @@ def ded08_archive(spark, sf_dir):
     return store.subjects().select("id", "cert_month")
 
 
+@query(f"""WITH {WITH_SUBJECTS}, k AS (SELECT id, substr(not_before, 1, 7) AS cert_month, coalesce(cert_key, concat_ws(':', tile_idx, entry_idx)) AS key FROM subjects),
+b AS (SELECT *, row_number() OVER (PARTITION BY cert_month, key ORDER BY id) AS nth FROM k WHERE id % 2 = 0), u AS (SELECT id, cert_month, key, 0 AS r FROM b WHERE nth = 1 UNION ALL SELECT *, 1 FROM k WHERE id % 2 = 1 OR id % 3 = 0),
+a AS (SELECT *, row_number() OVER (PARTITION BY cert_month, key ORDER BY r, id) AS nth FROM u) SELECT 'before' AS read, id, cert_month FROM b WHERE nth = 1 UNION ALL SELECT 'after', id, cert_month FROM a WHERE nth = 1""")
+def ded06_rebuild(spark, sf_dir):
+    """Months are rebuilt under a reader, who still reads the version before."""
+    store = dedup.MonthArchive(spark, scratch_folder(spark, "archive"))
+    rows = _pool(spark, sf_dir)
+    store.flush(rows.where("id % 2 = 0"))
+    reader = store.subjects(store.manifest()[0])
+    store.rebuild(rows.where("id % 2 = 1 or id % 3 = 0"))
+    both = reader.select(F.lit("before").alias("read"), "id", "cert_month")
+    return both.union(store.subjects().select(F.lit("after"), "id", "cert_month"))
+
+
 @query(f"""WITH {WITH_SUBJECTS}, m AS (SELECT id, ca_id % 3 AS source, ca_id FROM subjects), g AS (SELECT DISTINCT source, ca_id, ca_id * 3 + source AS global_id FROM m WHERE ca_id % 11 > 0),
 k AS (SELECT s.id, g.global_id AS ca_id, substr(s.not_before, 1, 7) AS cert_month, coalesce(s.cert_key, concat_ws(':', s.tile_idx, s.entry_idx)) AS key FROM subjects s JOIN g ON g.ca_id = s.ca_id AND g.source = s.ca_id % 3)
 SELECT id, ca_id, cert_month FROM (SELECT *, row_number() OVER (PARTITION BY cert_month, key ORDER BY id) AS nth FROM k) WHERE nth = 1""")

@@ -7,6 +7,7 @@ import contextlib
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -55,6 +56,41 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    p, fs = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    p, fs = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all; false if there is one already."""
+    sc = spark.sparkContext
+    aside, fs = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    none = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 0)  # doesn't replace a file
+    try:
+        sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration()).rename(fs.makeQualified(aside), fs.makeQualified(p), none)
+    except Py4JJavaError as e:
+        fs.delete(aside, False)
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def file_version(spark: SparkSession, path: str) -> str:
     """Changes when the files of a table do: their number, bytes and the latest time of change."""
     p, fs = _file_system(spark, path)
