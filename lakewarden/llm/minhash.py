@@ -542,8 +542,8 @@ def keep_one(docs: DataFrame, percent: int = 80, key: str = "doc_id", text: str
         gone = tables.keep(member.where("id <> component").select(F.col("id").alias("lw:id")))
         repeated = None if again is None else tables.keep(again.select(F.col("doc_id").alias("lw:id"), F.col("differ").alias("lw:differ")))
     own = F.col(key).cast("long")
-    if repeated is None:
-        return docs.join(gone, own == F.col("lw:id"), "left_anti")
+    if repeated is None:  # by a shuffle at every size: how many documents go isn't bounded
+        return docs.join(gone.hint("merge"), own == F.col("lw:id"), "left_anti")
     one = docs.join(repeated, own == F.col("lw:id")).withColumn("lw:own", _own_id(own, F.col(text).cast("string"), F.col("lw:differ"), base)).drop("lw:id", "lw:differ")
     one = one.dropDuplicates(["lw:own"]).join(gone, F.col("lw:own") == F.col("lw:id"), "left_anti").drop("lw:own")
     return docs.join(repeated.select("lw:id").union(gone), own == F.col("lw:id"), "left_anti").union(one)

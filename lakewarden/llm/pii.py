@@ -262,7 +262,8 @@ def _spans_of(scanned: DataFrame) -> DataFrame:
 def _replaced(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataFrame:
     names = docs.columns
     rows = docs.withColumn("lw:hash", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    rows = rows.join(spans, F.col(key).eqNullSafe(F.col("lw:key")) & (F.col("lw:hash") == F.col("lw:rid")), "left")
+    # by a shuffle at every size: how many texts have entities isn't bounded
+    rows = rows.join(spans.hint("merge"), F.col(key).eqNullSafe(F.col("lw:key")) & (F.col("lw:hash") == F.col("lw:rid")), "left")
 
     def rebuilt(piece) -> Column:
         def build(at: Column) -> Column:
