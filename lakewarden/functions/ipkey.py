@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import ipaddress
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 V4 = rf"^{OCTET}(?:\.{OCTET}){{3}}$"
@@ -20,15 +18,27 @@ def v4_key(text: Column) -> Column:
     return F.when(text.rlike(V4), F.unhex(F.concat(F.lit(V4_PREFIX), hexes)))
 
 
-@F.pandas_udf(T.BinaryType())
-def v6_key(text: pd.Series) -> pd.Series:
-    def key(x):
-        try:
-            return ipaddress.IPv6Address(x.partition("%")[0]).packed
-        except (ValueError, AttributeError):
-            return None
-
-    return text.map(key)
+def v6_key(text: Column) -> Column:
+    """16-byte key of an IPv6 address in any of its forms; null for anything else.
+
+    Eight groups of up to four hex digits, or fewer around one `::`, which stands for one zero group at least. The last
+    two may be a dotted quad. A zone after `%` is left out; an empty one is an error.
+    """
+    bare = F.regexp_replace(text, "%.+$", "")
+    tail = F.substring_index(bare, ":", -1)
+    octets = F.transform(F.split(tail, r"\."), lambda o: F.lpad(F.hex(o.cast("int")), 2, "0"))
+    quad = F.concat(F.get(octets, F.lit(0)), F.get(octets, F.lit(1)), F.lit(":"), F.get(octets, F.lit(2)), F.get(octets, F.lit(3)))
+    head = F.substring(bare, F.lit(1), F.length(bare) - F.length(tail))
+    plain = F.when(~F.contains(bare, F.lit(".")), bare).when(F.contains(bare, F.lit(":")) & tail.rlike(V4), F.concat(head, quad))
+    groups = lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, ":"))
+    short = F.contains(plain, F.lit("::"))
+    at = F.instr(plain, "::")
+    left = groups(F.when(short, F.substring(plain, F.lit(1), at - 1)).otherwise(plain))
+    right = F.when(short, groups(F.substring(plain, at + 2, F.length(plain)))).otherwise(F.array().cast("array<string>"))
+    n = F.size(left) + F.size(right)
+    fits = F.when(short, n <= 7).otherwise(n == 8) & F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9A-Fa-f]{1,4}$"))
+    hexes = lambda a: F.array_join(F.transform(a, lambda g: F.lpad(g, 4, "0")), "")
+    return F.when(F.contains(text, F.lit(":")) & fits, F.unhex(F.concat(hexes(left), F.repeat(F.lit("0000"), F.greatest(F.lit(0), 8 - n)), hexes(right))))
 
 
 def ip_version(key: Column) -> Column:
@@ -36,15 +46,15 @@ def ip_version(key: Column) -> Column:
     return F.when(F.hex(F.substring(key, 1, 12)) == V4_PREFIX, F.lit(4)).otherwise(F.lit(6))
 
 
-def key16(addresses: DataFrame, text: str = "address", v6: bool = True) -> DataFrame:
-    """addresses with ip and ver; rows that are no address are dropped. Only rows that aren't dotted quads reach Python."""
-    named = addresses.withColumn("ip_text", F.regexp_replace(F.col(text), r"^\s+|\s+$", ""))
-    four = named.withColumn("ip", v4_key(F.col("ip_text"))).where("ip is not null")
-    out = four
-    if v6:
-        six = named.where(F.contains("ip_text", F.lit(":"))).withColumn("ip", v6_key(F.col("ip_text"))).where("ip is not null")
-        out = four.unionByName(six)
-    return out.withColumn("ver", ip_version(F.col("ip"))).drop("ip_text")
+def key16(addresses: DataFrame, text: str = "address", v6: bool = True, dropped: Observation | None = None) -> DataFrame:
+    """addresses with ip and ver; rows that are no address are dropped, and counted as `dropped` of an observation."""
+    trimmed = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
+    rows = addresses.withColumn("ip_text", trimmed)
+    key = v4_key(F.col("ip_text"))
+    rows = rows.withColumn("ip", F.coalesce(key, v6_key(F.col("ip_text"))) if v6 else key).drop("ip_text")
+    if dropped is not None:
+        rows = rows.observe(dropped, F.count_if(F.col("ip").isNull()).alias("dropped"))
+    return rows.where("ip is not null").withColumn("ver", ip_version(F.col("ip")))
 
 
 def cidr_bounds(cidr: str) -> tuple[bytes, bytes, int]:

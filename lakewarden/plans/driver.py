@@ -301,6 +301,29 @@ def fn18_ipkey(spark, sf_dir):
     return hexed(ipkey.key16(addresses(spark, sf_dir).select("address").distinct(), v6=False), "ip")
 
 
+#: IPv6 texts in every form, made of two numbers h and i by Spark and by DuckDB alike; the last ones are no addresses.
+SIX_FORMS = (
+    "concat('2001:db8::', {h}, ':', {i})", "concat('2001:DB8:0:0:1:', {h}, ':0:', {i})", "concat('::ffff:10.', {n} % 256, '.0.', {m} % 256)", "concat(' fe80::', {i}, '%eth0 ')",
+    "concat({h}, ':', {i}, ':3:4:5:6:7::')", "concat('::', {h})", "concat('1:2:3:4:5:6:', {m} % 256, '.2.3.4')", "'::'",
+    "concat('1:2:3:4:5:6:7:8:', {h})", "concat('1::2::', {h})", "concat('1:2:3:4:5:6:7::', {h})", "concat('12345::', {h})", "concat('::1.2.3.', 256 + {m} % 9)", "concat({h}, ':')",
+)
+_SIX = "CASE event_id %% %d %s END" % (len(SIX_FORMS), " ".join(f"WHEN {k} THEN {f}" for k, f in enumerate(SIX_FORMS)))
+_SIX_SQL = _SIX.format(h="lower(to_base(user_id % 65536, 16))", i="lower(to_base(event_id % 65536, 16))", n="user_id", m="event_id")
+
+
+@query(f"""WITH t AS (SELECT DISTINCT {_SIX_SQL} AS address FROM events), z AS (SELECT address, regexp_replace(trim(address), '%.+$', '') AS b FROM t),
+q AS (SELECT address, CASE WHEN regexp_matches(b, ':[0-9.]+$') AND contains(b, '.') THEN CASE WHEN list_max(list_transform(string_split(string_split(b, ':')[-1], '.'), lambda o: CAST(o AS INT))) < 256 THEN
+ concat(regexp_replace(b, '[^:]*$', ''), printf('%02x%02x:%02x%02x', CAST(string_split(string_split(b, ':')[-1], '.')[1] AS INT), CAST(string_split(string_split(b, ':')[-1], '.')[2] AS INT), CAST(string_split(string_split(b, ':')[-1], '.')[3] AS INT), CAST(string_split(string_split(b, ':')[-1], '.')[4] AS INT))) END ELSE b END AS p FROM z),
+g AS (SELECT address, p, contains(p, '::') AS s, list_filter(string_split(CASE WHEN contains(p, '::') THEN split_part(p, '::', 1) ELSE p END, ':'), lambda x: x <> '' OR NOT contains(p, '::')) AS l,
+ CASE WHEN contains(p, '::') THEN list_filter(string_split(substr(p, instr(p, '::') + 2), ':'), lambda x: x <> '' OR contains(substr(p, instr(p, '::') + 2), ':')) ELSE [] END AS r FROM q WHERE p IS NOT NULL),
+k AS (SELECT address, upper(concat(array_to_string(list_transform(l, lambda x: lpad(x, 4, '0')), ''), repeat('0000', greatest(0, 8 - len(l) - len(r))), array_to_string(list_transform(r, lambda x: lpad(x, 4, '0')), ''))) AS ip FROM g
+ WHERE (CASE WHEN s THEN len(l) + len(r) <= 7 ELSE len(l) = 8 END) AND len(list_filter(list_concat(l, r), lambda x: NOT regexp_matches(x, '^[0-9A-Fa-f]{{1,4}}$'))) = 0)
+SELECT address, ip, CAST(CASE WHEN starts_with(ip, '00000000000000000000FFFF') THEN 4 ELSE 6 END AS INT) AS ver FROM k""")
+def fn18_ipv6(spark, sf_dir):
+    text = _SIX.format(h="lower(hex(user_id % 65536))", i="lower(hex(event_id % 65536))", n="user_id", m="event_id")
+    return hexed(ipkey.key16(table(spark, sf_dir, "events").selectExpr(f"{text} AS address").distinct()), "ip")
+
+
 @query(f"WITH {WITH_ADDRESSES} SELECT ip, domain, concat('v4_', o[1]) AS one, concat('v4_', o[1], '_', o[2]) AS two FROM rev")
 def fn20_ip_shard(spark, sf_dir):
     c = (F.col("ip"), F.col("ver"))

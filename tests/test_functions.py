@@ -114,3 +114,28 @@ def test_bad_addresses_are_dropped(spark):
 @pytest.mark.parametrize(("cidr", "n"), [("10.1.2.0/24", 1), ("10.1.0.0/16", 1), ("10.0.0.0/15", 2), ("10.0.0.0/14", 4), ("10.0.0.0/8", 256), ("2001:db8::/32", 1), ("2001::/16", 1), ("2000::/12", 16)])
 def test_shards_of_cidr(cidr, n):
     assert len(ipkey.shard_names_of(cidr, 2)) == n
+
+
+ODD_ADDRESSES = (
+    "::", "::1", "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1::8", "FE80::aB", "fe80::1%eth0", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4", "::1.2.3.4", " 2001:db8::5 ",
+    "1.2.3.4", "", ":", ":::", "1:::2", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1:2:3:4:5:6:7::8", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:", "12345::", "g::", "::1.2.3", "::1.2.3.256", "::01.2.3.4", "1.2.3.4::", "::1.2.3.4:5", "1:2:3:4:5:6:7:1.2.3.4", "fe80::1%", "x", None,
+)
+
+
+def test_six_byte_forms_natively_and_counted(spark):
+    from pyspark.sql import Observation
+
+    def key(x):
+        try:
+            if x is None or x.strip().endswith("%"):
+                return None
+            a = ipaddress.ip_address(x.strip().partition("%")[0])
+        except ValueError:
+            return None
+        return a.packed if a.version == 6 else bytes(10) + b"\xff\xff" + a.packed
+
+    seen = Observation()
+    out = ipkey.key16(spark.createDataFrame([(a,) for a in ODD_ADDRESSES], "address string"), dropped=seen)
+    assert {r.address: bytes(r.ip) for r in out.collect()} == {a: key(a) for a in ODD_ADDRESSES if key(a) is not None}
+    assert seen.get["dropped"] == sum(key(a) is None for a in ODD_ADDRESSES)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
