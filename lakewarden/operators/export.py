@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,27 @@ def merge_counts(parts: DataFrame) -> DataFrame:
     return parts.groupBy("domain").agg(F.sum("direct").alias("direct"), F.sum("wildcard").alias("wildcard"))
 
 
+#: Buckets of partial counts; all partials that are to be merged have as many.
+BUCKETS = 64
+
+
+def save_partial(counts: DataFrame, path: str, buckets: int = BUCKETS) -> str:
+    """Write partial counts of some months as a table of buckets, a file each, in order of name; the table's name.
+
+    The names of a bucket are shuffled here, once, and never again by a merge.
+    """
+    table = f"partial_{uuid.uuid4().hex}"
+    rows = counts.repartition(buckets, "domain")
+    rows.write.bucketBy(buckets, "domain").sortBy("domain").option("path", path).saveAsTable(table)
+    return table
+
+
+def merge_partials(spark, tables: list[str]) -> DataFrame:
+    """Saved partials summed by name: bucket meets bucket, without a shuffle."""
+    parts = [spark.table(t).select("domain", "direct", "wildcard") for t in tables]
+    return merge_counts(reduce(DataFrame.union, parts))
+
+
 def split_counts(subjects: DataFrame) -> DataFrame:
     """(fqdn, occurrences) with every `*.` taken out, as the reporting query counts them."""
     return occurrences(subjects).where("name <> ''").groupBy(F.lower(F.replace("name", F.lit("*."), F.lit(""))).alias("fqdn")).agg(F.count("*").alias("occurrences"))

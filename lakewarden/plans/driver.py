@@ -210,6 +210,14 @@ def agg10_incremental_merge(spark, sf_dir):
     return export.merge_counts(parts[0].union(parts[1]).union(parts[2]))
 
 
+@query(f"WITH {WITH_SUBJECTS} SELECT * FROM counts")
+def agg10_saved_partials(spark, sf_dir):
+    """Counts of three years' parts are saved in buckets and merged from there."""
+    rows = subjects(spark, sf_dir)
+    parts = [rows.where("not_before < '1994'"), rows.where("not_before >= '1994' and not_before < '1996'"), rows.where("not_before >= '1996' or not_before is null")]
+    return export.merge_partials(spark, [export.save_partial(export.dual_counts(export.occurrences(p)), scratch_folder(spark, "partial"), 8) for p in parts])
+
+
 @query(f"WITH {WITH_SUBJECTS} SELECT ca_id, i.common_name AS issuer, count(*) AS n FROM subjects s JOIN issuers i USING (ca_id) WHERE substr(not_before, 1, 7) BETWEEN '1996-01' AND '1996-03' GROUP BY ALL")
 def agg11_quarter(spark, sf_dir):
     return catalogue.per_issuer_between(subjects(spark, sf_dir), issuers(spark, sf_dir), "1996-01", "1996-03")

@@ -297,3 +297,18 @@ def test_chains(spark):
     assert got[1] == ([b"i", b"r"], True) and got[2] == ([None], False)
     new = spark.createDataFrame([(h(b"n"), b"n"), (h(b"i"), b"i"), (h(b"bad"), b"other")], "fingerprint binary, der binary")
     assert [bytes(r.der) for r in chains.put_if_absent(store, new).collect()] == [b"n"]
+
+
+def test_saved_partials_merge_without_a_shuffle(spark, tmp_path):
+    from functools import reduce
+
+    rnd = random.Random(8)
+    parts = [spark.createDataFrame([(f"d{k}.com", rnd.randrange(9), rnd.randrange(3)) for k in rnd.sample(range(400), 250)], "domain string, direct long, wildcard long") for _ in range(4)]
+    tables = [export.save_partial(p, str(tmp_path / f"p{k}"), 4) for k, p in enumerate(parts)]
+    out = export.merge_partials(spark, tables)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    want = export.merge_counts(reduce(lambda a, b: a.union(b), parts))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+    for t in tables:
+        spark.sql(f"DROP TABLE {t}")

@@ -129,6 +129,28 @@ def test_partition_files(spark, tmp_path, compress):
     assert records.listed(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_partition_files_are_written_once_and_together(spark, tmp_path):
+    from lakewarden.sources import partition_sink
+
+    day, root = 86_400_000, tmp_path / "out"
+    kinds = "index long, timestamp_ms long, entry_type string, source string, leaf_input binary, precertificate binary, issuer_key_hash binary, chain_fingerprints array<binary>"
+    entries = spark.createDataFrame([(i, (i // 4) * day, "x509", "static", b"leaf %d" % i, None, None, [b"f" * 32]) for i in (*range(10, 30), *range(40, 44))], kinds).repartition(3)
+    partition_sink.write_partitions(entries, str(root))
+    want = {f"{f.day}/{f.name}": bytes(f.content) for f in records.partition_files(entries).collect()}
+    there = lambda: {str(p.relative_to(root)): p.read_bytes() for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    assert there() == want and "1970-01-03/a-b.binpb" in want and "1970-01-11/14-17.binpb" in want
+    assert sorted(r["index"] for r in records.read_partitions(spark, str(root)).collect()) == [*range(10, 30), *range(40, 44)]
+    more = entries.where("index < 20").union(spark.createDataFrame([(90, 90 * day, "x509", "static", b"l", None, None, [])], kinds))
+    with pytest.raises(Exception, match="never change"):  # one of its files is there, so none is written
+        partition_sink.write_partitions(more, str(root))
+    assert there() == want
+    bad = spark.range(40).selectExpr("'1980-01-01' AS day", "concat('f', id, '.binpb') AS name", "if(id = 33, cast(raise_error('lost') as binary), cast(id as string)) AS content").repartition(4)
+    spark.dataSource.register(partition_sink.PartitionSink)
+    with pytest.raises(Exception, match="lost"):
+        bad.write.format("partition_files").option("root", str(root)).mode("append").save()
+    assert there() == want
+
+
 def log(name, state, **more):
     return {"description": name, "log_id": base64.b64encode(hashlib.sha256(name.encode()).digest()).decode(), "mmd": 86400, "state": state} | more
 
