@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,25 +27,26 @@ def merge_counts(parts: DataFrame) -> DataFrame:
     return parts.groupBy("domain").agg(F.sum("direct").alias("direct"), F.sum("wildcard").alias("wildcard"))
 
 
-#: Buckets of partial counts; all partials that are to be merged have as many.
+#: Buckets of a table of partial counts.
 BUCKETS = 64
 
 
-def save_partial(counts: DataFrame, path: str, buckets: int = BUCKETS) -> str:
-    """Write partial counts of some months as a table of buckets, a file each, in order of name; the table's name.
+def save_partial(counts: DataFrame, table: str, part: str, path: str, buckets: int = BUCKETS) -> bool:
+    """Add partial counts, those of a month say, to a table of buckets, unless it has the part; whether it was added.
 
-    The names of a bucket are shuffled here, once, and never again by a merge.
+    A part's names are shuffled here, once, and never again by a merge. Only one writer may add to a table at a time.
     """
-    table = f"partial_{uuid.uuid4().hex}"
-    rows = counts.repartition(buckets, "domain")
-    rows.write.bucketBy(buckets, "domain").sortBy("domain").option("path", path).saveAsTable(table)
-    return table
+    spark = counts.sparkSession
+    if spark.catalog.tableExists(table) and spark.table(table).where(F.col("part") == part).take(1):
+        return False
+    rows = counts.select("domain", "direct", "wildcard", F.lit(part).alias("part")).repartition(buckets, "domain")
+    rows.write.mode("append").partitionBy("part").bucketBy(buckets, "domain").sortBy("domain").option("path", path).saveAsTable(table)
+    return True
 
 
-def merge_partials(spark, tables: list[str]) -> DataFrame:
-    """Saved partials summed by name: bucket meets bucket, without a shuffle."""
-    parts = [spark.table(t).select("domain", "direct", "wildcard") for t in tables]
-    return merge_counts(reduce(DataFrame.union, parts))
+def merge_partials(spark, table: str) -> DataFrame:
+    """All parts of a table summed by name: a bucket's files are read by one task, without a shuffle."""
+    return merge_counts(spark.table(table))
 
 
 def split_counts(subjects: DataFrame) -> DataFrame:

@@ -214,8 +214,12 @@ def agg10_incremental_merge(spark, sf_dir):
 def agg10_saved_partials(spark, sf_dir):
     """Counts of three years' parts are saved in buckets and merged from there."""
     rows = subjects(spark, sf_dir)
-    parts = [rows.where("not_before < '1994'"), rows.where("not_before >= '1994' and not_before < '1996'"), rows.where("not_before >= '1996' or not_before is null")]
-    return export.merge_partials(spark, [export.save_partial(export.dual_counts(export.occurrences(p)), scratch_folder(spark, "partial"), 8) for p in parts])
+    parts = {"early": "not_before < '1994'", "middle": "not_before >= '1994' and not_before < '1996'", "late": "not_before >= '1996' or not_before is null"}
+    path = scratch_folder(spark, "partials")
+    name = path.rpartition("/")[2].replace("-", "_")
+    for part, where in parts.items():
+        export.save_partial(export.dual_counts(export.occurrences(rows.where(where))), name, part, path, 8)
+    return export.merge_partials(spark, name)
 
 
 @query(f"WITH {WITH_SUBJECTS} SELECT ca_id, i.common_name AS issuer, count(*) AS n FROM subjects s JOIN issuers i USING (ca_id) WHERE substr(not_before, 1, 7) BETWEEN '1996-01' AND '1996-03' GROUP BY ALL")

@@ -304,11 +304,12 @@ def test_saved_partials_merge_without_a_shuffle(spark, tmp_path):
 
     rnd = random.Random(8)
     parts = [spark.createDataFrame([(f"d{k}.com", rnd.randrange(9), rnd.randrange(3)) for k in rnd.sample(range(400), 250)], "domain string, direct long, wildcard long") for _ in range(4)]
-    tables = [export.save_partial(p, str(tmp_path / f"p{k}"), 4) for k, p in enumerate(parts)]
-    out = export.merge_partials(spark, tables)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Bucketed: true" in plan
+    for _ in range(2):  # a part that is there isn't added again
+        added = [export.save_partial(p, "partials_of_test", f"2025-0{k}", str(tmp_path / "partials"), 4) for k, p in enumerate(parts)]
+    assert added == [False] * 4
+    out = export.merge_partials(spark, "partials_of_test")
     want = export.merge_counts(reduce(lambda a, b: a.union(b), parts))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
-    for t in tables:
-        spark.sql(f"DROP TABLE {t}")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    spark.sql("DROP TABLE partials_of_test")
