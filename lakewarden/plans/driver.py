@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import certs, ipkey, names, ranges
-from ..operators import archive, chains, dedup, dns, export, intervals, progress, reverse
+from ..operators import archive, chains, dedup, dns, enrich, export, intervals, progress, reverse
 from ..schemas import SUBJECTS
 from ..session import file_version, scratch_folder
 from ..streaming import breaker
@@ -415,6 +415,30 @@ def jn11_cidr_many(spark, sf_dir):
     return hexed(reverse.join_cidrs(rev(spark, sf_dir), list(CIDRS)), "ip")
 
 
+#: Ranges of addresses, one inside the other: each customer's first byte, half of it, and a few addresses of its own.
+_RANGES_SQL = """nets AS (SELECT DISTINCT concat('n', c_custkey % 223 + 1) AS value, (c_custkey % 223 + 1) * 16777216 AS lo, (c_custkey % 223 + 1) * 16777216 + 16777215 AS hi FROM customer
+ UNION ALL SELECT DISTINCT concat('h', c_custkey % 223 + 1), (c_custkey % 223 + 1) * 16777216 + 131072, (c_custkey % 223 + 1) * 16777216 + 400000 FROM customer WHERE c_custkey % 3 = 0
+ UNION ALL SELECT concat('c', c_custkey), (c_custkey % 50 + 1) * 16777216 + c_custkey % 7 * 65536 + c_custkey % 4 * 256, (c_custkey % 50 + 1) * 16777216 + c_custkey % 7 * 65536 + c_custkey % 4 * 256 + c_custkey % 300 FROM customer)"""
+
+
+@query(f"""WITH {WITH_ADDRESSES}, {_RANGES_SQL}, p AS (SELECT DISTINCT ip, CAST(o[1] AS BIGINT) * 16777216 + CAST(o[2] AS BIGINT) * 65536 + CAST(o[3] AS BIGINT) * 256 + CAST(o[4] AS BIGINT) AS n FROM rev
+ UNION ALL SELECT '00000000000000000000FFFF08000207', 8 * 16777216 + 2 * 256 + 7 FROM events WHERE user_id % 3 = 0),
+j AS (SELECT ip, value FROM (SELECT DISTINCT ip, n FROM p) JOIN nets ON n BETWEEN lo AND hi QUALIFY row_number() OVER (PARTITION BY ip ORDER BY hi - lo, lo, value) = 1)
+SELECT p.ip, value, count(*) AS n FROM p LEFT JOIN j USING (ip) GROUP BY 1, 2""")
+def jn12_most_specific(spark, sf_dir):
+    """Addresses, one of them a third of all rows, with the smallest of nested ranges."""
+    six = lambda n: F.unhex(F.concat(F.lit(ipkey.V4_PREFIX), F.lpad(F.hex(n), 8, "0")))
+    c, base = table(spark, sf_dir, "customer").select("c_custkey"), (F.col("c_custkey") % 223 + 1) * 16777216
+    own = (F.col("c_custkey") % 50 + 1) * 16777216 + F.col("c_custkey") % 7 * 65536 + F.col("c_custkey") % 4 * 256
+    rows = lambda df, name, lo, hi: df.select(name.alias("value"), six(lo).alias("lo"), six(hi).alias("hi"))
+    nets = rows(c, F.concat(F.lit("n"), F.col("c_custkey") % 223 + 1), base, base + 16777215).distinct()
+    nets = nets.union(rows(c.where("c_custkey % 3 = 0"), F.concat(F.lit("h"), F.col("c_custkey") % 223 + 1), base + 131072, base + 400000).distinct())
+    nets = nets.union(rows(c, F.concat(F.lit("c"), "c_custkey"), own, own + F.col("c_custkey") % 300))
+    hot = table(spark, sf_dir, "events").where("user_id % 3 = 0").select(F.lit(bytearray(ipkey.cidr_bounds("8.0.2.7")[0])).alias("ip"))
+    found = enrich.most_specific(rev(spark, sf_dir).select("ip").distinct().union(hot), nets)
+    return hexed(found.groupBy("ip", F.col("range_value").alias("value")).agg(F.count("*").alias("n")), "ip")
+
+
 # windows and ranges
 @query(f"WITH {WITH_SUBJECTS}, r AS (SELECT id, cert_key, row_number() OVER (PARTITION BY cert_key ORDER BY id) AS k FROM subjects) SELECT id, cert_key FROM r WHERE k = 1 OR cert_key IS NULL")
 def win01_keep_first(spark, sf_dir):

@@ -313,3 +313,28 @@ def test_saved_partials_merge_without_a_shuffle(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Bucketed: true" in plan
     spark.sql("DROP TABLE partials_of_test")
+
+
+def test_most_specific_range_equals_brute_force(spark):
+    from lakewarden.operators import enrich
+
+    rnd = random.Random(12)
+    byte = lambda n: n.to_bytes(2, "big")
+    ranges = [(0, 65535, "all"), (7, 7, "one"), (9, 8, "none"), (100, 100, "b"), (100, 100, "a")]
+    for k in range(300):  # nested, and some that only overlap
+        lo = rnd.randrange(60_000)
+        ranges.append((lo, lo + rnd.choice((0, 3, 40, 500, 5000)), f"r{k}"))
+    keys = [rnd.randrange(65_536) for _ in range(3000)] + [100] * 2000 + [7] * 10
+    df = spark.createDataFrame([(k, bytearray(byte(k))) for k in keys] + [(None, None)], "n int, ip binary").withColumn("value", F.lit("clash")).repartition(5)
+    nets = spark.createDataFrame([(bytearray(byte(lo)), bytearray(byte(hi)), v) for lo, hi, v in ranges if hi < 65_536] + [(None, bytearray(b"zz"), "x")], "lo binary, hi binary, value string").repartition(3)
+    want = {k: min(((hi - lo, lo, v) for lo, hi, v in ranges if lo <= k <= hi < 65_536), default=(0, 0, None))[2] for k in set(keys)}
+    for parts in ("3", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = enrich.most_specific(df, nets).collect()
+        assert len(got) == len(keys) + 1 and all(r.range_value == want[r.n] for r in got if r.n is not None) and [r.range_value for r in got if r.n is None] == [None]
+        bare = enrich.most_specific(df, nets.where("value = 'one'")).groupBy("range_value").count().collect()
+        assert {r.range_value: r["count"] for r in bare} == {"one": keys.count(7), None: len(keys) + 1 - keys.count(7)}
+    assert enrich.most_specific(df.where("false"), nets).count() == 0
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
