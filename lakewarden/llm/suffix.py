@@ -284,12 +284,14 @@ def _removed(length: int, texts_too: bool):
             texts, spans, out = batch.column("text"), batch.column("spans"), []
             for i in range(batch.num_rows):
                 data = np.frombuffer((texts[i].as_buffer() if texts[i].is_valid else None) or b"", np.uint8)
-                step = np.zeros(len(data) + 1, np.int32)
+                gone = np.zeros(len(data), bool)
                 if spans[i].is_valid:
-                    start, width = (spans[i].values.field(k).to_numpy() for k in (0, 1))
-                    np.add.at(step, start, 1)
-                    np.add.at(step, start + width + length - 1, -1)
-                gone = np.cumsum(step[:-1], dtype=np.int32) > 0
+                    word, bits = (spans[i].values.field(k).to_numpy() for k in (0, 1))
+                    starts = np.zeros(len(data) // 64 + 2, np.int64)
+                    starts[word] = bits
+                    n = np.cumsum(np.unpackbits(starts.view(np.uint8), bitorder="little")[: len(data)], dtype=np.int32)
+                    n[length:] -= n[:-length].copy()  # starts that reach here
+                    gone = n > 0
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
                 kept = data[~gone].tobytes()
                 whole = [{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)]
@@ -313,7 +315,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
     rows = rows.withColumn("tag", F.hash("text") if again else F.lit(0))  # tells rows of an equal id apart, if there are any
     with Scratch() as tables:
         spans = _repeats(rows.where("doc is not null").where(F.octet_length("text") >= length), length, tables)
-        spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("spans"))  # no more than the document has bytes
+        spans = _as_bits(spans).groupBy("doc", "tag").agg(F.collect_list(F.struct("word", "bits")).alias("spans"))  # a bit for each byte
         found = rows.join(spans, ["doc", "tag"], "left").select("doc", "text", "spans")
         out = found.mapInArrow(_removed(length, texts_too), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>, kept binary")
         return tables.keep(out if texts_too else out.drop("kept"))
@@ -323,6 +325,15 @@ def _start_and_width() -> tuple[Column, Column]:
     return F.shiftright("place", LOW).cast("int").alias("start"), (F.shiftright("place", LOW - WIDTH) % MOST + 1).cast("int").alias("width")
 
 
+def _as_bits(spans: DataFrame) -> DataFrame:
+    """(doc, tag, word, bits): starts as bits of 64-bit words, each word once; combined before they are shuffled."""
+    at, mask = F.col("start") % 64, F.expr("shiftleft(1L, width) - 1")
+    low = F.struct(F.floor(F.col("start") / 64).cast("int").alias("word"), F.call_function("shiftleft", mask, at).alias("bits"))
+    high = F.struct((F.floor(F.col("start") / 64) + 1).cast("int").alias("word"), F.when(at > 0, F.call_function("shiftrightunsigned", mask, 64 - at)).otherwise(F.lit(0)).cast("long").alias("bits"))
+    words = spans.select("doc", "tag", F.explode(F.filter(F.array(low, high), lambda x: x["bits"] != 0)).alias("x")).select("doc", "tag", "x.word", "x.bits")
+    return words.groupBy("doc", "tag", "word").agg(F.bit_or("bits").alias("bits"))
+
+
 def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     """(doc, tag, start, width): starts of strings that an earlier document has as well, in a table of its own."""
     ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a").sortWithinPartitions("a")
