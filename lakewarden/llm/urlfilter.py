@@ -12,8 +12,8 @@ size; a longer one is joined by shuffle. Exploded tokens meet the index before a
 grouped is one row per fitting rule, keyed by row and URL.
 
 Defined results: a null URL, or one without `://`, has an empty host and path; only patterns can fit it. Repeated rows
-keep their number, equal ids with different URLs are judged apart, other columns are never read. An empty table gives an
-empty result.
+keep their number, equal ids with different URLs are judged apart, other columns are never read. URLs are read whole however
+long they are, each different token of them once. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ import pytest
 from shared import SF, rows_of
 from pyspark.sql import functions as F
 
-from lakewarden.llm import embdedup, minhash, pii, queries, topk, urlfilter
+from lakewarden.llm import common, embdedup, minhash, pii, queries, topk, urlfilter
 from lakewarden.llm.common import connected_components
 
 
@@ -18,12 +18,14 @@ def test_queries_equal_oracles(spark, duck, name):
     assert rows_of(queries.queries()[name](spark, SF).toPandas()) == rows_of(duck.execute(queries.oracle_sql()[name]).df())
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
     rnd = random.Random(4)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 600)] + [(700, x) for x in range(701, 900)] + [(1, 1), (None, 3)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     nodes = {x for a, b in edges for x in (a, b) if a is not None and a != b}
     assert got == brute.components(nodes, [e for e in edges if None not in e])
+    monkeypatch.setattr(common, "CONTRACT_ROWS", 20)  # in rounds
+    assert {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()} == got
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
@@ -67,6 +69,15 @@ def test_top_k_takes_large_components_and_every_row_of_an_id(spark):
     assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(want)
 
 
+def test_scores_beyond_a_long_end_at_its_end_in_every_block(spark, monkeypatch):
+    for name, n in (("BLOCK_ROWS", 2), ("QUERY_ROWS", 1), ("LEAST_ROWS", 2), ("LEAST_QUERIES", 1)):
+        monkeypatch.setattr(topk, name, n)
+    rows = [(50, [1e18, 0.0]), (1, [1e18, 1.0]), (2, [9e17, 0.0]), (3, [-1e18, 0.0]), (4, [1.0, 1.0]), (5, [1e18, -5.0]), (7, [0.0, 0.0])]
+    got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    top = 2**63 - 1
+    assert [(k, i, s) for _, k, i, s in got] == [(1, 1, top), (2, 2, top), (3, 4, top), (4, 5, top), (5, 7, 0)]
+
+
 def test_embedding_links_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embdedup, "BLOCK", 11)
     monkeypatch.setattr(embdedup, "PIVOT_ROWS", 8)
@@ -206,6 +217,7 @@ def test_url_filter_equals_each_rule_tried(spark):
 
     rows = [(i, u) for i, u in enumerate(URLS)]
     rows += rows[:4] + [(0, "http://other.net/"), (None, "http://x.net/")]
+    rows += [(900, "http://long.net/" + "a/" * 100_000), (901, "https://" + "sub." * 20_000 + "example.com/de/x"), (902, "http://c.org/?" + "q=1&" * 50_000 + "phpsessid=1")]
     df = spark.createDataFrame(rows, "page_id long, url string").withColumn("token", F.lit(1)).withColumn("name", F.lit("clash"))
     c = duckdb.connect()
     frame = df.select("page_id", "url").toPandas()
