@@ -192,11 +192,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a is not null and b is not null and a <> b")
     current = materialize(edges.mapInArrow(contract_batches, "a long, b long").distinct())
     seen = current.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    if 0 < seen.n <= CONTRACT_ROWS:
-        done = materialize(current.coalesce(1).mapInArrow(contract_batches, "a long, b long"))
-        release(current)
-        current = done
-    while seen.n > CONTRACT_ROWS:
+    while seen.n:
+        if seen.n <= CONTRACT_ROWS:
+            done = materialize(current.coalesce(1).mapInArrow(contract_batches, "a long, b long"))
+            release(current)
+            current = done
+            break
         sym = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = sym.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = sym.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()

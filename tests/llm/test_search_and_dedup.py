@@ -24,7 +24,9 @@ def test_components(spark, monkeypatch):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
     nodes = {x for a, b in edges for x in (a, b) if a is not None and a != b}
     assert got == brute.components(nodes, [e for e in edges if None not in e])
-    monkeypatch.setattr(common, "CONTRACT_ROWS", 20)  # in rounds
+    monkeypatch.setattr(common, "CONTRACT_ROWS", 20)  # in rounds to the end
+    assert {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()} == got
+    monkeypatch.setattr(common, "CONTRACT_ROWS", 560)  # in rounds, then in one step
     assert {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()} == got
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
