@@ -255,11 +255,8 @@ def _alive(batches):
         yield judged(*kept)
 
 
-MET = "gone boolean, a long, b long, doc long, tag int, place long"
-
-
-def _settled(batches):
-    """Each row, and whether a smaller document has its key (`gone`); batches are sorted by key and document."""
+def _judged(batches):
+    """Batches sorted by key and document, whether a smaller document has the key of each row (`gone`), and its place."""
     key, first = None, 0
     for batch in batches:
         if not batch.num_rows:
@@ -272,10 +269,24 @@ def _settled(batches):
         if len(at):
             firsts[at[0] :] = np.repeat(doc[at], np.diff(np.concatenate((at, [len(a)]))))
         key, first = (a[-1], b[-1]), firsts[-1]
-        gone = (place < 0) | (doc > firsts)
-        keys = [pa.array(x, mask=gone) for x in (a, b)]  # nobody asks for those of rows that are settled
-        columns = [pa.array(gone), *keys, batch.column("doc"), batch.column("tag"), pa.array(np.where(place < 0, -1 - place, place))]
-        yield pa.RecordBatch.from_arrays(columns, ["gone", "a", "b", "doc", "tag", "place"])
+        yield batch, (place < 0) | (doc > firsts), np.where(place < 0, -1 - place, place)
+
+
+MET = "gone boolean, a long, b long, doc long, tag int, place long"
+
+
+def _settled(batches):
+    """Each region, and whether it is gone."""
+    for batch, gone, place in _judged(batches):
+        keys = [pa.array(_column(batch, c), mask=gone) for c in ("a", "b")]  # nobody asks for those of rows that are settled
+        yield pa.RecordBatch.from_arrays([pa.array(gone), *keys, batch.column("doc"), batch.column("tag"), pa.array(place)], ["gone", "a", "b", "doc", "tag", "place"])
+
+
+def _late(batches):
+    """The starts that are gone."""
+    for batch, gone, place in _judged(batches):
+        at = pa.array(np.flatnonzero(gone))
+        yield pa.RecordBatch.from_arrays([batch.column("doc").take(at), batch.column("tag").take(at), pa.array((place[gone] >> LOW).astype(np.int32)), pa.array(np.ones(len(at), np.int32))], ["doc", "tag", "start", "width"])
 
 
 def _removed(length: int, texts_too: bool):
@@ -315,7 +326,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
     rows = rows.withColumn("tag", F.hash("text") if again else F.lit(0))  # tells rows of an equal id apart, if there are any
     with Scratch() as tables:
         spans = _repeats(rows.where("doc is not null").where(F.octet_length("text") >= length), length, tables)
-        spans = _as_bits(spans).groupBy("doc", "tag").agg(F.collect_list(F.struct("word", "bits")).alias("spans"))  # a bit for each byte
+        spans = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("word", "bits")).alias("spans"))  # a bit for each byte
         found = rows.join(spans, ["doc", "tag"], "left").select("doc", "text", "spans")
         out = found.mapInArrow(_removed(length, texts_too), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>, kept binary")
         return tables.keep(out if texts_too else out.drop("kept"))
@@ -335,7 +346,7 @@ def _as_bits(spans: DataFrame) -> DataFrame:
 
 
 def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
-    """(doc, tag, start, width): starts of strings that an earlier document has as well, in a table of its own."""
+    """(doc, tag, word, bits): starts of strings that an earlier document has as well, in a table of its own."""
     ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a").sortWithinPartitions("a")
     alive = tables.write(ranks.mapInArrow(_alive, "doc long, rank long"))
     drop_shuffles(rows.sparkSession)
@@ -348,8 +359,8 @@ def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     drop_shuffles(rows.sparkSession)
     places_of = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("places"))
     pairs = rows.join(places_of, ["doc", "tag"]).mapInArrow(_rows(length, "pairs"), ROW)
-    late = _dealt(pairs, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_settled, MET).where("gone")
-    spans = tables.write(met.where("gone").union(late).select("doc", "tag", *_start_and_width()))
+    late = _dealt(pairs, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_late, "doc long, tag int, start int, width int")
+    spans = tables.write(_as_bits(met.where("gone").select("doc", "tag", *_start_and_width()).union(late)))
     tables.drop(met)
     tables.drop(places)
     drop_shuffles(rows.sparkSession)
