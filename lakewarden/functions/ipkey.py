@@ -30,15 +30,23 @@ def v6_key(text: Column) -> Column:
     quad = F.concat(F.get(octets, F.lit(0)), F.get(octets, F.lit(1)), F.lit(":"), F.get(octets, F.lit(2)), F.get(octets, F.lit(3)))
     head = F.substring(bare, F.lit(1), F.length(bare) - F.length(tail))
     plain = F.when(~F.contains(bare, F.lit(".")), bare).when(F.contains(bare, F.lit(":")) & tail.rlike(V4), F.concat(head, quad))
-    groups = lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, ":"))
-    short = F.contains(plain, F.lit("::"))
-    at = F.instr(plain, "::")
-    left = groups(F.when(short, F.substring(plain, F.lit(1), at - 1)).otherwise(plain))
-    right = F.when(short, groups(F.substring(plain, at + 2, F.length(plain)))).otherwise(F.array().cast("array<string>"))
-    n = F.size(left) + F.size(right)
-    fits = F.when(short, n <= 7).otherwise(n == 8) & F.forall(F.concat(left, right), lambda g: g.rlike("^[0-9A-Fa-f]{1,4}$"))
     hexes = lambda a: F.array_join(F.transform(a, lambda g: F.lpad(g, 4, "0")), "")
-    return F.when(F.contains(text, F.lit(":")) & fits, F.unhex(F.concat(hexes(left), F.repeat(F.lit("0000"), F.greatest(F.lit(0), 8 - n)), hexes(right))))
+
+    def halves(p: Column) -> Column:
+        groups = lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, ":"))
+        short, at = F.contains(p, F.lit("::")), F.instr(p, "::")
+        left = groups(F.when(short, F.substring(p, F.lit(1), at - 1)).otherwise(p))
+        right = F.when(short, groups(F.substring(p, at + 2, F.length(p)))).otherwise(F.array().cast("array<string>"))
+        return F.struct(short.alias("short"), left.alias("left"), right.alias("right"))
+
+    def key(x: Column) -> Column:
+        n = F.size(x["left"]) + F.size(x["right"])
+        fits = F.when(x["short"], n <= 7).otherwise(n == 8) & F.forall(F.concat(x["left"], x["right"]), lambda g: g.rlike("^[0-9A-Fa-f]{1,4}$"))
+        return F.when(fits, F.unhex(F.concat(hexes(x["left"]), F.repeat(F.lit("0000"), F.greatest(F.lit(0), 8 - n)), hexes(x["right"]))))
+
+    # arrays of one value hold what several places use, so that it is evaluated once
+    found = F.transform(F.transform(F.array(plain), halves), key)
+    return F.when(F.contains(text, F.lit(":")), found[0])
 
 
 def ip_version(key: Column) -> Column:
