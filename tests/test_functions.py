@@ -96,6 +96,25 @@ def test_months_and_urls(spark):
     assert column(spark, [512, 2048, 5 * 1024**3], "long", certs.bytes_text) == ["512 B", "2.0 KiB", "5.0 GiB"]
 
 
+def test_one_decimal_is_that_of_the_exact_value(spark):
+    hours = [s / 3600 for s in range(5400, 200_000, 60)] + [0.0, 0.05, 0.25, 0.35, 0.95, 9.95, 99.95, 1.25e9 + 0.05, 2.0**47 + 0.25]
+    assert column(spark, hours, "double", certs.one_decimal) == [f"{h:.1f}" for h in hours]
+    assert column(spark, [5940.0, 9180.0, 5400.0, None], "double", certs.eta_text) == ["~1.6h", "~2.5h", "~1.5h", None]
+    assert column(spark, [1280, 1792], "long", certs.bytes_text) == ["1.2 KiB", "1.8 KiB"]
+
+
+def test_texts_equal_their_sql_at_many_keys(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from shared import rows_of
+
+    from lakewarden.plans import driver
+
+    spark.range(1, 90_001).withColumnRenamed("id", "c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert rows_of(driver.QUERIES["fn28_texts"](spark, str(tmp_path)).toPandas()) == rows_of(duck.execute(driver.ORACLES["fn28_texts"]).df())
+
+
 @settings(max_examples=3, deadline=None)
 @given(st.lists(st.ip_addresses(), min_size=5, max_size=40))
 def test_keys_keep_order(spark, addresses):
