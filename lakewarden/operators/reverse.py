@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,8 @@ from ..session import drop_path
 
 #: The shard of the address bases that are too small for one of their own.
 TAIL = "tail"
+#: Rows that a task sorts when an index is written or read, about: their number makes the tasks, not a task's memory.
+TASK_ROWS = 500_000
 
 
 def address_union(a: DataFrame, aaaa: DataFrame) -> DataFrame:
@@ -45,25 +48,65 @@ def shards_for(cidr: str, width: int, split: set[str]) -> list[str]:
     return out
 
 
-def _written_sorted(rows: DataFrame, path: str, key: str, columns: str) -> None:
+def _parts(rows: int) -> int:
+    return max(1, -(-rows // TASK_ROWS))
+
+
+def _ends(batches):
+    """(file, least, most, rows) of each file that a task reads, batch by batch; nothing is sorted."""
+    found: dict = {}
+    for batch in batches:
+        kinds = [("key", "min"), ("key", "max"), ("key", "count")]
+        for row in pa.Table.from_batches([batch]).group_by("file").aggregate(kinds).to_pylist():
+            least, most, n = found.get(row["file"], (row["key_min"], row["key_max"], 0))
+            found[row["file"]] = min(least, row["key_min"]), max(most, row["key_max"]), n + row["key_count"]
+    if found:
+        columns = zip(*((f, *e) for f, e in found.items()), strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["file", "least", "most", "rows"])
+
+
+def _zones(stored: DataFrame, key: str) -> DataFrame:
+    """(file, shard, least, most, rows) of the files of an index. A minimum of strings would make Spark sort all rows.
+
+    Rows name their file by a hash; files of equal hashes would share the wider zone.
+    """
+    path = F.col("_metadata.file_path")
+    ends = stored.select(F.xxhash64(path).alias("file"), F.col(key).alias("key")).mapInArrow(_ends, f"file long, least {stored.schema[key].dataType.simpleString()}, most {stored.schema[key].dataType.simpleString()}, rows long")
+    ends = ends.groupBy("file").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("rows").alias("rows"))  # a row for each part of a file
+    files = stored.select(path.alias("path"), "shard").distinct()
+    return files.join(ends, F.xxhash64("path") == F.col("file")).select(F.col("path").alias("file"), "shard", "least", "most", "rows")
+
+
+def _written_sorted(rows: DataFrame, path: str, key: str, then: tuple[str, ...], columns: str) -> None:
     """Shard folders sorted by key, and `zones`: file, shard, and the least and greatest key of each file.
 
-    Rows are written once as they come and sorted from there, so that what makes them runs once.
+    Rows are written once as they come and sorted from there, so that what makes them runs once. Ranges are cut within
+    a key too, by the columns in `then`: a key with most of the rows is spread over as many tasks and files as it fills.
     """
     spark, staged = rows.sparkSession, f"{path}/staged"
     rows.write.mode("overwrite").parquet(staged)
-    found = spark.read.schema(rows.schema).parquet(staged)
-    found.repartitionByRange("shard", key).sortWithinPartitions("shard", key).write.mode("overwrite").partitionBy("shard").parquet(f"{path}/shards")
+    found, order = spark.read.schema(rows.schema).parquet(staged), ("shard", key, *then)
+    found.repartitionByRange(_parts(found.count()), *order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("shard").parquet(f"{path}/shards")
     drop_path(spark, staged)
     stored = spark.read.schema(f"{columns}, shard string").option("basePath", f"{path}/shards").parquet(f"{path}/shards")
-    zones = stored.groupBy(F.col("_metadata.file_path").alias("file"), "shard").agg(F.min(key).alias("least"), F.max(key).alias("most"), F.count("*").alias("rows"))
-    zones.coalesce(1).write.mode("overwrite").parquet(f"{path}/zones")  # a row for each file
+    _zones(stored, key).coalesce(1).write.mode("overwrite").parquet(f"{path}/zones")  # a row for each file
 
 
 def zone_files(spark, path: str, kind: str, meets: Column) -> list[str]:
     """Files of a written index whose least and greatest key meet a condition; they are what a lookup opens."""
-    rows = spark.read.schema(f"file string, shard string, least {kind}, most {kind}, rows long").parquet(f"{path}/zones").where(meets).select("file").collect()
-    return sorted(r.file for r in rows)
+    return _met_zones(spark, path, kind, meets)[0]
+
+
+def _met_zones(spark, path: str, kind: str, meets: Column) -> tuple[list[str], int]:
+    """Files whose zones meet a condition, and how many tasks their rows make."""
+    zones = spark.read.schema(f"file string, shard string, least {kind}, most {kind}, rows long").parquet(f"{path}/zones")
+    rows = zones.where(meets).select("file", "rows").collect()
+    return sorted(r.file for r in rows), _parts(sum(r.rows for r in rows))
+
+
+def _distinct_in_order(rows: DataFrame, parts: int | None, *order: str) -> DataFrame:
+    """Distinct rows in order; with a number of parts one shuffle by ranges serves both, and no task holds more than a part."""
+    return (rows if parts is None else rows.repartitionByRange(parts, *order)).distinct().orderBy(*order)
 
 
 def _stored(spark, files: list[str], columns: str) -> DataFrame:
@@ -76,14 +119,14 @@ def write_ip_index(index: DataFrame, path: str, width: int = 1, split_min: int =
     Bases below least_rows share the shard `tail`, so that small ones don't become a file each.
     """
     rows, counts = ip_shards(index, width, split_min, least_rows)
-    _written_sorted(rows.select("ip", "domain", "ver", "fetched_at", "shard"), path, "ip", REV_IP)
+    _written_sorted(rows.select("ip", "domain", "ver", "fetched_at", "shard"), path, "ip", ("domain",), REV_IP)
     counts.withColumn("width", F.lit(width)).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
-def lookup_cidr(index: DataFrame, cidr: str, shards: list[str] | None = None) -> DataFrame:
-    """(ip, domain) in a CIDR, in order; shards prunes partitions."""
+def lookup_cidr(index: DataFrame, cidr: str, shards: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """(ip, domain) in a CIDR, in order; shards prunes partitions, parts is a number of tasks for the result."""
     rows = index if shards is None else index.where(F.col("shard").isin(shards))
-    return rows.where(ipkey.in_cidr(F.col("ip"), cidr)).select("ip", "domain").distinct().orderBy("ip", "domain")
+    return _distinct_in_order(rows.where(ipkey.in_cidr(F.col("ip"), cidr)).select("ip", "domain"), parts, "ip", "domain")
 
 
 def read_ip_index(spark, path: str) -> DataFrame:
@@ -95,20 +138,21 @@ def lookup_written_cidr(spark, path: str, cidr: str) -> DataFrame:
     """lookup_cidr on a written index; only files whose zones the CIDR meets are opened, no folder is listed."""
     lo, hi, _ = ipkey.cidr_bounds(cidr)
     meets = (F.col("least") <= F.lit(bytearray(hi))) & (F.col("most") >= F.lit(bytearray(lo)))
-    return lookup_cidr(_stored(spark, zone_files(spark, path, "binary", meets), REV_IP), cidr)
+    files, parts = _met_zones(spark, path, "binary", meets)
+    return lookup_cidr(_stored(spark, files, REV_IP), cidr, parts=parts)
 
 
 def lookup_written_ip(spark, path: str, address: str) -> DataFrame:
     """lookup_ip on a written index; only files whose zones hold the address are opened."""
     key = F.lit(bytearray(ipkey.cidr_bounds(address)[0]))
-    files = zone_files(spark, path, "binary", (F.col("least") <= key) & (F.col("most") >= key))
-    return lookup_ip(_stored(spark, files, REV_IP), address)
+    files, parts = _met_zones(spark, path, "binary", (F.col("least") <= key) & (F.col("most") >= key))
+    return lookup_ip(_stored(spark, files, REV_IP), address, parts)
 
 
-def lookup_ip(index: DataFrame, address: str) -> DataFrame:
+def lookup_ip(index: DataFrame, address: str, parts: int | None = None) -> DataFrame:
     """Names of one address, in order."""
     lo, _, _ = ipkey.cidr_bounds(address)
-    return index.where(F.col("ip") == F.lit(bytearray(lo))).select("domain").distinct().orderBy("domain")
+    return _distinct_in_order(index.where(F.col("ip") == F.lit(bytearray(lo))).select("domain"), parts, "domain")
 
 
 def join_cidrs(index: DataFrame, cidrs: list[str]) -> DataFrame:
@@ -150,9 +194,11 @@ def san_classes(index: DataFrame, dedicate_min: int = 0, split_min: int = 0, rul
     bucketed = F.col("suffix").isin(*names.LARGE_SUFFIXES) | ((F.col("rows") >= split_min) if split_min > 0 else F.lit(False))
     dedicated = F.lit(True) if dedicate_min == 0 else F.col("rows") >= dedicate_min
     counts = counts.withColumn("class", F.when(bucketed, "bucketed").when(dedicated, "dedicated").otherwise("tail"))
-    out = index.join(counts.select("suffix", "class"), "suffix")
+    # only classes that few suffixes have, for their rows, are sent to the rows: nothing is shuffled by suffix
+    usual = "dedicated" if dedicate_min == 0 else "tail"
+    out = index.join(F.broadcast(counts.where(F.col("class") != usual).select("suffix", "class")), "suffix", "left")
     s, r = F.col("suffix"), F.col("reg_domain")
-    return out.withColumn("shard", _san_shard(F.col("class"), s, r)).drop("class"), counts
+    return out.withColumn("shard", _san_shard(F.coalesce("class", F.lit(usual)), s, r)).drop("class"), counts
 
 
 def _san_shard(kind: Column, suffix: Column, reg: Column) -> Column:
@@ -169,7 +215,7 @@ def write_san_index(subjects: DataFrame, path: str, dedicate_min: int = 0, split
     index = san_index(subjects, key, rules, suffix=True)
     index.write.mode("overwrite").parquet(named)  # suffixes are looked up once
     rows, counts = san_classes(spark.read.schema(index.schema).parquet(named), dedicate_min, split_min)
-    _written_sorted(rows.select("san_domain", "reg_domain", "cert_id", "is_wildcard", "shard"), path, "reg_domain", SAN_INDEX)
+    _written_sorted(rows.select("san_domain", "reg_domain", "cert_id", "is_wildcard", "shard"), path, "reg_domain", ("san_domain", "cert_id"), SAN_INDEX)
     counts.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
     drop_path(spark, named)
 
@@ -191,12 +237,16 @@ def lookup_written_san(spark, path: str, name: str, any_depth: bool = False, rul
     """lookup_san on a written index: its registrable domain says by the zones which files are opened, all for a suffix."""
     reg = (rules or names.suffix_rules()).registrable(name)
     meets = F.lit(True) if reg is None else (F.col("least") <= reg) & (F.col("most") >= reg)
-    return lookup_san(_stored(spark, zone_files(spark, path, "string", meets), SAN_INDEX), name, any_depth)
+    files, parts = _met_zones(spark, path, "string", meets)
+    return lookup_san(_stored(spark, files, SAN_INDEX), name, any_depth, parts)
+
 
+def lookup_san(index: DataFrame, name: str, any_depth: bool = False, parts: int | None = None) -> DataFrame:
+    """Distinct (san_domain, is_wildcard, cert_id) at a name or, if it is registrable, under it; any_depth goes under any name.
 
-def lookup_san(index: DataFrame, name: str, any_depth: bool = False) -> DataFrame:
-    """Distinct (san_domain, is_wildcard, cert_id) at a name or, if it is registrable, under it; any_depth goes under any name."""
+    parts is a number of tasks for the result.
+    """
     at = (F.col("san_domain") == name) | (F.col("reg_domain") == name)
     if any_depth:
         at |= F.endswith("san_domain", F.lit("." + name))
-    return index.where(at).select("san_domain", "is_wildcard", "cert_id").distinct().orderBy("san_domain", "cert_id")
+    return _distinct_in_order(index.where(at).select("san_domain", "is_wildcard", "cert_id"), parts, "san_domain", "cert_id")

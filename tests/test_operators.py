@@ -232,6 +232,21 @@ def test_written_index_routes_names(spark, tmp_path):
     assert len(reverse.lookup_written_san(spark, path, "site7.com").inputFiles()) < len(stored.inputFiles())
 
 
+def test_written_index_spreads_one_domain(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reverse, "TASK_ROWS", 100)
+    rows = spark.createDataFrame([(i, f"a{i % 3}.hot.com,a{i % 3}.hot.com,b.s{i % 50}.org") for i in range(1000)], "id long, san_domains string")
+    path = str(tmp_path / "san")
+    reverse.write_san_index(rows, path)
+    sizes = [r["count"] for r in spark.read.parquet(f"{path}/shards").where("reg_domain = 'hot.com'").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 400  # one domain fills many files, not one
+    found = reverse.lookup_written_san(spark, path, "hot.com")
+    assert [tuple(r) for r in found.collect()] == sorted((f"a{i % 3}.hot.com", 0, i) for i in range(1000))
+    assert max(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()) <= 300
+    zones = spark.read.parquet(f"{path}/zones").collect()
+    stored = spark.read.parquet(f"{path}/shards").groupBy(F.col("_metadata.file_path").alias("file"), "shard").agg(F.min("reg_domain"), F.max("reg_domain"), F.count("*"))
+    assert sorted(map(tuple, zones)) == sorted(map(tuple, stored.collect()))
+
+
 def test_written_address_index(spark, tmp_path):
     index = ip_index(spark)
     path = str(tmp_path / "ip")
