@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import gc
-import time
 import uuid
 import zlib
 
@@ -54,11 +52,23 @@ def sample_place(key: str, text: str):
 SAMPLE_SLACK = 1.25
 
 
+#: Spark's setting that a query's shuffle files go as soon as it ends; else they go when the driver's collector finds them.
+END_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: lineage ends at files that outlive executors."""
+    """Write df as Parquet to the shared folder and read it back: lineage ends at files that outlive executors.
+
+    What the write has shuffled is deleted with its end: nothing reads it again.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lw-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    own = spark.conf.get(END_SHUFFLES, "false")
+    spark.conf.set(END_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(END_SHUFFLES, own)
     out = spark.read.schema(df.schema).parquet(path)
     out._lw_path = path
     return out
@@ -74,14 +84,6 @@ def release(df: DataFrame) -> None:
             p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def drop_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of jobs that are done: it does so when the driver's collectors find them."""
-    for _ in range(2):  # what Python held is free for the driver's JVM only after the first time
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 class Scratch:
     """Tables in the shared folder that go when the work is done; those that a result still reads are named to keep()."""
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, drop_shuffles
+from .common import Scratch
 
 LENGTH = 50
 #: Rows that a task combines at a time.
@@ -349,21 +349,22 @@ def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     """(doc, tag, word, bits): starts of strings that an earlier document has as well, in a table of its own."""
     ranks = _dealt(rows.mapInArrow(_rows(length, "ranks"), RANK), "flags % 2 = 1", "a").sortWithinPartitions("a")
     alive = tables.write(ranks.mapInArrow(_alive, "doc long, rank long"))
-    drop_shuffles(rows.sparkSession)
     of_doc = alive.groupBy("doc").agg(F.collect_list("rank").alias("alive"))  # no more than the document has anchors
     regions = rows.join(of_doc, "doc").mapInArrow(_rows(length, "regions"), ROW)
     met = tables.write(_dealt(regions, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_settled, MET))
     tables.drop(alive)
-    drop_shuffles(rows.sparkSession)
     places = tables.write(_open_places(met.where("not gone"), length))
-    drop_shuffles(rows.sparkSession)
+    # of regions only bits stay: what is settled is narrow before the pairs are shuffled
+    settled = tables.write(_as_bits(met.where("gone").select("doc", "tag", *_start_and_width())))
+    tables.drop(met)
     places_of = places.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "width")).alias("places"))
     pairs = rows.join(places_of, ["doc", "tag"]).mapInArrow(_rows(length, "pairs"), ROW)
     late = _dealt(pairs, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_late, "doc long, tag int, start int, width int")
-    spans = tables.write(_as_bits(met.where("gone").select("doc", "tag", *_start_and_width()).union(late)))
-    tables.drop(met)
+    late = tables.write(_as_bits(late))
     tables.drop(places)
-    drop_shuffles(rows.sparkSession)
+    spans = tables.write(settled.union(late).groupBy("doc", "tag", "word").agg(F.bit_or("bits").alias("bits")))
+    tables.drop(settled)
+    tables.drop(late)
     return spans
 
 

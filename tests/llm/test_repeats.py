@@ -185,3 +185,21 @@ def test_suffix_dedup_on_odd_rows(spark, monkeypatch, length, block, chunk):
     for r in found.collect():
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and sum(s.end - s.start for s in r.spans) == r.n_removed
     assert suffix.remove_repeats(df.where("false"), length).count() == 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from lakewarden.llm.common import END_SHUFFLES, materialize, release
+
+    def files():
+        names = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return {n.rpartition("/")[2] for n in names.split(",") if "/shuffle_" in n}
+
+    before, own = files(), spark.conf.get(END_SHUFFLES)
+    out = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 5
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and out.count() == 7 and spark.conf.get(END_SHUFFLES) == own
+    release(out)
