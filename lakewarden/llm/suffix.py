@@ -353,7 +353,9 @@ def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     regions = rows.join(of_doc, "doc").mapInArrow(_rows(length, "regions"), ROW)
     met = tables.write(_dealt(regions, "place < 0", "a", "b").sortWithinPartitions("a", "b", "doc").mapInArrow(_settled, MET))
     tables.drop(alive)
-    places = tables.write(_open_places(met.where("not gone"), length))
+    shared = tables.write(_shared_ranks(met.where("not gone")))
+    places = tables.write(_open_places(shared, length))
+    tables.drop(shared)
     # of regions only bits stay: what is settled is narrow before the pairs are shuffled
     settled = tables.write(_as_bits(met.where("gone").select("doc", "tag", *_start_and_width())))
     tables.drop(met)
@@ -368,17 +370,21 @@ def _repeats(rows: DataFrame, length: int, tables: Scratch) -> DataFrame:
     return spans
 
 
-def _open_places(first: DataFrame, length: int) -> DataFrame:
-    """(doc, tag, start, width) of the starts in first regions that other regions may have too.
+def _shared_ranks(first: DataFrame) -> DataFrame:
+    """First regions whose rank has other regions as well, their places taken apart; read three times, so in a table."""
+    bits = lambda shift, size: F.shiftright("place", shift) % (1 << size)
+    first = first.select("a", "b", "doc", "tag", *_start_and_width(), bits(2 * SIDE + TWICE, WAY).cast("int").alias("way"), (bits(2 * SIDE, TWICE) == 1).alias("twice"), bits(SIDE, SIDE).cast("int").alias("left"), bits(0, SIDE).cast("int").alias("right"))
+    several = first.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"), F.max("twice").alias("any")).where("least <> most").select("a", "any")
+    return first.join(several, "a")
+
+
+def _open_places(met: DataFrame, length: int) -> DataFrame:
+    """(doc, tag, start, width) of the starts in such regions that other regions may have too.
 
     Offset of a quarter: the starts of a region before its anchor's middle share with any other region of the rank what
     stands left of the anchor, the others what stands right of it. Sides whose rank pair no other region has are done.
     """
     mid = (sizes_of(length)[2] + 1) // 2
-    bits = lambda shift, size: F.shiftright("place", shift) % (1 << size)
-    first = first.select("a", "b", "doc", "tag", *_start_and_width(), bits(2 * SIDE + TWICE, WAY).cast("int").alias("way"), (bits(2 * SIDE, TWICE) == 1).alias("twice"), bits(SIDE, SIDE).cast("int").alias("left"), bits(0, SIDE).cast("int").alias("right"))
-    several = first.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"), F.max("twice").alias("any")).where("least <> most").select("a", "any")
-    met = first.join(several, "a")
     cut = F.greatest(F.lit(0), F.least(F.col("width"), F.col("way") - mid + 1))  # so many starts are left ones
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("near"), F.col("start").alias("start"), cut.alias("width")), F.struct(F.lit(1).alias("side"), F.col("right").alias("near"), (F.col("start") + cut).alias("start"), (F.col("width") - cut).alias("width")))
     sided = met.where("not any").select("a", "b", "doc", "tag", F.explode(F.filter(sides, lambda x: x["width"] > 0)).alias("s")).select("a", "b", "doc", "tag", "s.*")
