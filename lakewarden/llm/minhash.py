@@ -207,12 +207,11 @@ def id_filter(ids: DataFrame, count: int) -> np.ndarray:
     return out
 
 
-def _picked(rows: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int) -> tuple[DataFrame, np.ndarray]:
-    """rows (id, ...) with FILTER_HASHES places, last, in a filter of the ids in need, and that filter.
+def _picked(rows: DataFrame, need: DataFrame, filter_ids: int) -> tuple[DataFrame, np.ndarray]:
+    """rows (id, ...) with FILTER_HASHES places, last, in a filter of the distinct ids in the table need, and that filter.
 
     Where there are more ids than a filter of 64 MB serves, rows are joined with them, and the filter lets all through.
     """
-    need = tables.write(need.distinct())
     count = need.count()
     if count > filter_ids:
         zeros = [F.lit(0).cast("long").alias(f"p{k}") for k in range(FILTER_HASHES)]
@@ -232,7 +231,12 @@ def _there(batch: pa.RecordBatch, words: np.ndarray) -> pa.RecordBatch:
 
 def some_signatures(sigs: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int = FILTER_IDS) -> DataFrame:
     """(id, sig) of the ids in need, and a few more: a join with need then shuffles little else."""
-    rows, words = _picked(sigs.select("id", "sig"), need, tables, filter_ids)
+    return _signatures_in(sigs, tables.write(need.distinct()), filter_ids)
+
+
+def _signatures_in(sigs: DataFrame, need: DataFrame, filter_ids: int = FILTER_IDS) -> DataFrame:
+    """some_signatures for a table of distinct ids."""
+    rows, words = _picked(sigs.select("id", "sig"), need, filter_ids)
 
     def run(batches):
         for batch in batches:
@@ -243,7 +247,7 @@ def some_signatures(sigs: DataFrame, need: DataFrame, tables: Scratch, filter_id
 
 def full_sets(texts: DataFrame, need: DataFrame, tables: Scratch, filter_ids: int = FILTER_IDS) -> DataFrame:
     """(id, shingles) of the rows of texts (id, text) whose id is in need, and of a few more; no text is shuffled."""
-    rows, words = _picked(texts.select("id", "text"), need, tables, filter_ids)
+    rows, words = _picked(texts.select("id", "text"), tables.write(need.distinct()), filter_ids)
 
     def run(batches):
         for batch in batches:
@@ -385,27 +389,34 @@ def _linked(percent: int):
     return _by_block(make, ["a", "b"])
 
 
-def forest_regions(signed: DataFrame, reps: DataFrame, tables: Scratch, region: int = REGION) -> tuple[DataFrame, DataFrame]:
-    """(region, key, id, n) of the first level, and (region, tree, depth, id, n, mask) to be compared, of all levels.
+def forest_regions(sigs: DataFrame, reps: DataFrame, tables: Scratch, region: int = REGION) -> tuple[DataFrame, DataFrame]:
+    """(region, tree, id, n) of the first level, and (region, tree, depth, id, n, mask) to be compared, of all levels.
 
     mask has a bit for each tree in which the row's region of that level is compared. Regions of one are left out.
+    sigs has (id, sig) of all documents, reps is a table of (id, n) of those that take part. Of a signature only the
+    prefixes of a level are shuffled, and at the levels after the first only those of documents in dense regions.
     """
     first = compared = None
     members = reps
     for depth, trees in LEVELS:
-        rows = signed.join(members.select("id"), "id", "left_semi").select("id", "n", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "sig")
-        rows = rows.select("id", "n", "tree", F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("key"))
-        rows = rows.withColumn("region", F.concat(F.expr(f"unhex(lpad(hex(tree * 8 + {depth}), 4, '0'))"), F.substring("key", 1, 2 * depth)))
+        known = sigs if first is None else _signatures_in(sigs, members)
+        prefixes = [F.expr(f"substring(sig, {2 * DEPTH * t + 1}, {2 * depth})") for t in range(trees)]
+        # not a semi join, which Spark moves below the prefixes, to whole signatures
+        rows = known.select("id", F.concat(*prefixes).alias("prefixes")).join(members, "id").select("id", "n", "prefixes", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        region_of = F.concat(F.expr(f"unhex(lpad(hex(tree * 8 + {depth}), 4, '0'))"), F.expr(f"substring(prefixes, tree * {2 * depth} + 1, {2 * depth})"))
+        rows = rows.select(region_of.alias("region"), "id", "n", "tree")
         size = rows.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
-        rows = tables.write(rows.join(size, "region").select("region", "key", "id", "n", "size", "tree"))
+        rows = tables.write(rows.join(size, "region").select("region", "id", "n", "size", "tree"))
         first = rows if first is None else first
         last = depth == DEPTH
         leaf = rows if last else rows.where(F.col("size") <= region)
         mask = leaf.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, tree)")).alias("mask"))
         leaf = leaf.join(mask, "id").select("region", "tree", F.lit(depth).alias("depth"), "id", "n", "mask")
         compared = leaf if compared is None else compared.union(leaf)
-        members = rows.where(F.col("size") > region).select("id").distinct()
-        if last or not members.take(1):
+        if last:
+            return first, compared
+        members = tables.write(rows.where(F.col("size") > region).select("id", "n").distinct())
+        if not members.take(1):
             return first, compared
 
 
@@ -447,13 +458,13 @@ def link_sets(texts: DataFrame, percent: int, tables: Scratch, region: int = REG
     signed = texts.mapInArrow(_sign, "id long, n long, k1 long, k2 long, sig binary")
     signed = tables.write(signed if unique else signed.dropDuplicates(["id"]))
     copies = signed.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
-    reps = tables.write(copies.select(F.col("rep").alias("id")))
-    signed_sets = signed.select("id", "n", "sig")
-    first, compared = forest_regions(signed_sets, reps, tables, region)
+    reps = tables.write(copies.select(F.col("rep").alias("id"), "n"))
     sigs = signed.select("id", "sig")
+    first, compared = forest_regions(sigs, reps, tables, region)
 
     order = first.where(F.col("tree") < ORDERS)
     order = order.join(some_signatures(sigs, order.select("id"), tables), "id")
+    order = order.withColumn("key", F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})"))
     sorted_ = order.repartitionByRange(tasks, "region", "key", "id").sortWithinPartitions("region", "key", "id").select("region", "id", "n", "sig")
     pairs = tables.write(sorted_.mapInArrow(_neighbours(percent), "a long, b long").where("a <> b").distinct())
     ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))

@@ -140,6 +140,43 @@ def test_dense_regions_keep_their_links(spark, monkeypatch):
     assert sum(got[i] != want[i] for i in want) == 0
 
 
+def shuffled(spark, work) -> int:
+    """Bytes that work writes to shuffles."""
+    sc = spark.sparkContext
+    doubles, statuses = sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList()
+
+    def stages():
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, doubles, statuses)
+        return {x.stageId(): x.shuffleWriteBytes() for x in map(found.apply, range(found.size()))}
+
+    before = stages()
+    work()
+    return sum(n for k, n in stages().items() if k not in before)
+
+
+def test_regions_shuffle_no_whole_signatures(spark):
+    from lakewarden.llm.common import Scratch
+
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(100)]
+    dense = [" ".join([*base, f"x{k}"]) for k in range(30)]  # alike in most places: dense at every level
+    rows = [*enumerate(dense), *((100 + i, " ".join(f"v{rnd.random()}" for _ in range(40))) for i in range(3000))]
+    own = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the ids are too many to be broadcast
+    try:
+        with Scratch() as tables:
+            signed = tables.write(spark.createDataFrame(rows, "id long, text string").mapInArrow(minhash._sign, "id long, n long, k1 long, k2 long, sig binary"))
+            reps = tables.write(signed.select("id", "n"))
+            found = []
+            size = shuffled(spark, lambda: found.extend(minhash.forest_regions(signed.select("id", "sig"), reps, tables, 20)))
+            at_last = found[1].where(f"depth = {minhash.DEPTH}").select("id").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert at_last == len(dense)
+    assert size < len(rows) * 2 * minhash.PLACES  # a signature of each document is more
+
+
 def test_near_duplicates_on_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash.link_documents(df).collect())
